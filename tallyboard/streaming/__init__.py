@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+Every delivery is a full snapshot since 1 January and the newest one replaces
+the others, so a stream over the landing folder would count each case once per
+delivery. Weekly batches with idempotent sinks are the right execution model.
+"""
