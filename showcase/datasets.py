@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyboard.sources.datasets import literal_rows
 from tallyboard.spec import Feed, ReportSpec
 
 WEEK = "1998-W24"
@@ -21,8 +22,26 @@ FIRST_WEEK, LAST_WEEK = "1994-W52", "2001-W31"
 TARGET_COLUMNS = {"unit": "unit", "start": "start_target", "annual": "annual_target"}
 
 
+# Declared schemas: nothing is inferred, so opening a table starts no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def orders_wide(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +71,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     segment = F.col("c_mktsegment")
     segment_text = (
         F.when(key % 11 == 0, None)
-        .when(key % 7 == 0, F.concat(F.lit("\t"), segment, F.lit("  ")))
+        .when(key % 7 == 0, F.concat(F.lit("\t"), segment, F.lit("\u00a0 ")))
         .otherwise(segment)
     )
     unit_text = (
@@ -75,8 +94,8 @@ def nation_targets(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("n_nationkey")
     full = F.when(key == 3, 0.0).when(key != 4, (30 + 5 * (key % 5)).cast("double"))
     named = table(spark, folder, "nation").filter(key != 5)
-    extra = spark.createDataFrame(
-        [("NATION_99", 10.0, 20.0)], "unit string, start_target double, annual_target double"
+    extra = literal_rows(
+        spark, "unit string, start_target double, annual_target double", [("NATION_99", 10.0, 20.0)]
     )
     return named.select(
         F.col("n_name").alias("unit"),
@@ -114,7 +133,7 @@ def dirty_targets(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.floor("c_acctbal").cast("string"))
     )
     annual = F.when(key % 8 == 0, F.lit(float("nan"))).otherwise(F.floor("c_acctbal") * 2.0)
-    unit = F.when(key % 10 != 0, F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")))
+    unit = F.when(key % 10 != 0, F.concat(F.lit(" "), F.col("c_name"), F.lit("\u00a0")))
     return table(spark, folder, "customer").select(
         unit.alias("unit"), start.alias("start_target"), annual.alias("annual_target")
     )

@@ -79,20 +79,27 @@ def totals(
         .withColumn("excluded", F.when(F.col("found_excluded"), excluded_unit))
     )
 
-    def row(label: Column, prefix: str, row_type: str) -> Column:
+    def row(label: Column, prefix: str, whole: bool) -> Column:
         return F.struct(
             label.alias("unit_code"),
             *(F.coalesce(f"{prefix}_{c}", F.lit(0)).alias(c) for c in _COUNTS),
             *(F.col(f"{prefix}_{c}").alias(c) for c in _TARGETS),
-            F.lit(row_type).alias("row_type"),
+            F.lit(whole).alias("whole"),
         )
 
     # Without the excluded unit its label is NULL, and the row is dropped below.
     rows = F.array(
-        row(F.lit(TOTAL_LABEL), "all", TOTAL),
-        row(F.concat(F.lit(EXCLUDED_LABEL), "excluded"), "rest", TOTAL_EXCLUDED),
+        row(F.lit(TOTAL_LABEL), "all", True),
+        row(F.concat(F.lit(EXCLUDED_LABEL), "excluded"), "rest", False),
+    )
+    # As a conditional of two constants, the row type lets the optimizer see
+    # that a board reduced to its units needs no totals at all.
+    row_type = F.when(F.col("whole"), TOTAL).otherwise(TOTAL_EXCLUDED)
+    return (
+        sums.select(*keys, F.inline(rows))
+        .filter(F.col("unit_code").isNotNull())
+        .select(*keys, "unit_code", *_COUNTS, *_TARGETS, row_type.alias("row_type"))
     )
-    return sums.select(*keys, F.inline(rows)).filter(F.col("unit_code").isNotNull())
 
 
 def board(

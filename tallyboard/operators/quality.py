@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyboard.functions.ratios import attainment
 from tallyboard.functions.weeks import WeekWindow
 from tallyboard.operators.filters import passes, wanted_values
-from tallyboard.sources.datasets import header
+from tallyboard.sources.datasets import header, literal_rows
 from tallyboard.spec import ReportSpec
 
 UNKNOWN_SEGMENT = "unknown_segment"
@@ -87,8 +87,8 @@ def warnings(
             planned = F.when((F.col("report") == spec.name) & (unit == wanted), wanted)
             target_evidence.append(_finding(spec.name, NO_EXCLUDED, planned, F.lit(0), True))
 
-    spark = counted.sparkSession
-    seed = spark.createDataFrame([row for s in specs for row in _expected(s)], _FINDING)
+    expected = [row for spec in specs for row in _expected(spec)]
+    seed = literal_rows(counted.sparkSession, _FINDING, expected)
     active = counted.select(F.inline(F.array(*evidence))).filter("n > 0 AND subject IS NOT NULL")
     planned = targets.filter(F.col("report").isin(*(s.name for s in specs)))
     rows = seed.unionByName(active).unionByName(
@@ -142,8 +142,10 @@ def segment_check(spec: ReportSpec, extract: DataFrame) -> DataFrame:
     ``status`` is ``kept`` (requested and present), ``ignored`` (present only)
     or ``unknown`` (requested only).
     """
-    requested = extract.sparkSession.createDataFrame(
-        [(value, True) for value in spec.segments], "segment string, requested boolean"
+    requested = literal_rows(
+        extract.sparkSession,
+        "segment string, requested boolean",
+        [(value, True) for value in spec.segments],
     )
     present = extract.filter("segment IS NOT NULL").select(
         "segment", F.lit(False).alias("requested")

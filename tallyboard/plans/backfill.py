@@ -30,7 +30,7 @@ def weeks_between(spark: SparkSession, first: str, last: str) -> DataFrame:
     start, end = week_span(first, last)
     count = (end - start).days // 7 + 1
     monday = F.date_add(F.lit(start), (F.col("id") * 7).cast("int"))
-    days = spark.range(count).select(monday.alias("monday"))
+    days = spark.range(0, count, 1, 1).select(monday.alias("monday"))
     return days.withColumn("week", week_id(F.col("monday")))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyboard.operators.board import align, board, sort_board
 from tallyboard.operators.quality import run_metrics, warnings
 from tallyboard.operators.tally import activity_by_report, filter_headers, on_board, tally
+from tallyboard.sources.datasets import literal_rows
 from tallyboard.sources.extract import clean_extract
 from tallyboard.sources.targets import clean_targets
 from tallyboard.spec import ReportSpec
@@ -66,7 +67,7 @@ def targets_by_report(
 
 
 def report_list(spark: SparkSession, specs: Sequence[ReportSpec]) -> DataFrame:
-    return spark.createDataFrame([(s.name,) for s in specs], "report string")
+    return literal_rows(spark, "report string", [(s.name,) for s in specs])
 
 
 def listing(spark: SparkSession, specs: Sequence[ReportSpec]) -> DataFrame:
@@ -80,7 +81,7 @@ def listing(spark: SparkSession, specs: Sequence[ReportSpec]) -> DataFrame:
         for s in specs
     ]
     columns = "report string, label string, source string, targets string, segments string"
-    return spark.createDataFrame(rows, columns)
+    return literal_rows(spark, columns, rows)
 
 
 def _excluded(specs: Sequence[ReportSpec]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard.errors import ContractError, LandingError
 from tallyboard.sources.landing import newest_file
@@ -16,6 +16,18 @@ def header(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def literal_rows(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
+    """A few declared values as a relation in a single partition, without the
+    Python-side partitions that ``createDataFrame`` would spread them over."""
+    kind = T.StructType.fromDDL(schema)
+    values = [
+        F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind)))
+        for row in rows
+    ]
+    one = spark.range(0, 1, 1, 1)
+    return one.select(F.inline(F.array(*values).cast(T.ArrayType(kind))))
+
+
 def choose(names: Sequence[str], wanted: int | str, where: str) -> str:
     """One dataset by name or position."""
     if isinstance(wanted, int) and 0 <= wanted < len(names):

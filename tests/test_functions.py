@@ -1,0 +1,81 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tallyboard.functions import cleaning, display
+
+
+def column(spark, values, kind):
+    return spark.createDataFrame([(v,) for v in values], f"v {kind}").coalesce(2)
+
+
+def test_strip_removes_every_unicode_space(spark):
+    spaces = [chr(i) for i in range(0x110000) if chr(i).isspace()]
+    texts = [f"{c}a{c}b{c}" for c in spaces] + ["", " ", "​x", None]
+    rows = column(spark, texts, "string").select("v", cleaning.stripped(F.col("v")).alias("s"))
+    for row in rows.collect():
+        assert row.s == (None if row.v is None else row.v.strip())
+
+
+@pytest.mark.parametrize(
+    "text,value",
+    [
+        ("12", 12.0), (" 12.5 ", 12.5), ("-3", -3.0), ("+.5", 0.5), ("1e3", 1000.0), ("5.", 5.0),
+        (" 7\t", 7.0), ("12d", None), ("3f", None), ("0x1p3", None), ("1,5", None),
+        ("n/a", None), ("", None), ("nan", None), (None, None), ("inf", float("inf")),
+    ],
+)
+def test_numbers_in_text(spark, text, value):
+    frame = column(spark, [text], "string")
+    assert frame.select(cleaning.as_number(F.col("v"), T.StringType())).first()[0] == value
+
+
+def test_nan_is_missing(spark):
+    frame = column(spark, [float("nan"), 2.0, None], "double")
+    rows = frame.select(cleaning.as_number(F.col("v"), T.DoubleType()).alias("n")).collect()
+    assert sorted(str(r.n) for r in rows) == ["2.0", "None", "None"]
+
+
+def test_display_rounds_half_even_on_the_exact_value(spark):
+    rng = random.Random(7)
+    values = [0.0, -0.0, 0.05, 0.25, 0.35, 0.5, 1.5, 2.5, 0.95, 99.95, 0.125, 0.005, -1.35, -0.25]
+    values += [k / 8 for k in range(200)] + [k / 20 for k in range(400)]
+    values += [rng.random() * 10 ** rng.randint(-4, 9) for _ in range(1500)]
+    values += [round(rng.random() * 300, 2) for _ in range(1500)]
+    rows = column(spark, values, "double").select(
+        "v",
+        *(display.fixed_text(F.col("v"), d).alias(f"d{d}") for d in (0, 1, 2)),
+        display.integer_text(F.col("v")).alias("whole"),
+        display.gap_text(F.col("v")).alias("gap"),
+        display.percent_text(F.col("v")).alias("percent"),
+    )
+    for row in rows.collect():
+        assert [row.d0, row.d1, row.d2] == [f"{row.v:.{d}f}" for d in (0, 1, 2)], row.v
+        assert row.whole == f"{round(row.v):,}".replace(",", " ")
+        assert row.gap == f"{round(row.v):+,}".replace(",", " ")
+        assert row.percent == f"{row.v * 100:.1f} %".replace(".", ",")
+
+
+def test_display_of_missing_values(spark):
+    row = column(spark, [None], "double").select(
+        display.integer_text(F.col("v")).alias("whole"),
+        display.gap_text(F.col("v")).alias("gap"),
+        display.percent_text(F.col("v")).alias("percent"),
+        display.gap_class(F.col("v")).alias("tone"),
+        display.gap_arrow(F.col("v")).alias("arrow"),
+    ).first()
+    assert tuple(row) == ("—", "—", "—", "neutral", "")
+
+
+@pytest.mark.parametrize("value,tone,arrow", [(0.0, "up", "▲"), (3.0, "up", "▲"), (-0.1, "down", "▼")])
+def test_sign_of_a_gap(spark, value, tone, arrow):
+    row = column(spark, [value], "double").select(
+        display.gap_class(F.col("v")), display.gap_arrow(F.col("v"))
+    ).first()
+    assert tuple(row) == (tone, arrow)
+
+
+def test_large_values_still_show(spark):
+    row = column(spark, [2.0**60, 1e300], "double").select(display.integer_text(F.col("v")))
+    assert [r[0].replace(" ", "") for r in row.collect()] == [str(2**60), "—"]
