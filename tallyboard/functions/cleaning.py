@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -34,11 +34,33 @@ def as_number(value: Column, data_type: T.DataType) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def _shape(pattern: str) -> str | None:
+    """Regular expression of the texts a purely numeric date pattern can read;
+    None for patterns with names, fractions or optional parts."""
+    runs = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", pattern)
+    for letter, more, rest in runs:
+        month_name = letter == "M" and len(more) >= 2
+        if month_name or letter not in "yMdHms" or set(rest) & set("'[]{}#"):
+            return None
+    parts = [
+        (r"\d{%d}" % (1 + len(more)) if more else r"\d{1,2}") if letter else re.escape(rest)
+        for letter, more, rest in runs
+    ]
+    return "^" + "".join(parts) + "$"
+
+
+def _reading(text: Column, pattern: str) -> Column:
+    # A failing parse throws inside the engine, which is slow; texts of another
+    # shape are therefore turned away first.
+    shape = _shape(pattern)
+    readable = text if shape is None else F.when(text.rlike(shape), text)
+    return F.try_to_timestamp(readable, F.lit(pattern))
+
+
 def as_moment(value: Column, data_type: T.DataType, formats: Sequence[str]) -> Column:
     """The date role. Typed columns pass untouched, so predicates on them still
     reach the scan; text is read with the declared formats, first match wins."""
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return value
     text = stripped(value)
-    readings = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]
-    return reduce(lambda a, b: F.coalesce(a, b), readings).cast("timestamp_ntz")
+    return F.coalesce(*(_reading(text, pattern) for pattern in formats)).cast("timestamp_ntz")

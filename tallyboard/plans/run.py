@@ -25,7 +25,7 @@ from tallyboard.plans.many import (
     targets_by_report,
 )
 from tallyboard.sinks.publish import PublishOutcome, check_destination, publish
-from tallyboard.sinks.weekly import write_partitions, write_report
+from tallyboard.sinks.weekly import write_findings, write_partitions, write_report
 from tallyboard.sources.datasets import open_feed
 from tallyboard.sources.extract import clean_extract, refuse_unreadable_dates
 from tallyboard.sources.targets import clean_targets, require_unique_targets
@@ -58,13 +58,13 @@ def open_inputs(
     return {s.name: RawInputs(resolve(s.source, "source"), resolve(s.targets, "targets")) for s in specs}
 
 
-def _cut_lineage(spark: SparkSession, counted: DataFrame, out: str) -> DataFrame:
-    """The tally on reliable storage, so that neither its many uses nor a lost
-    executor cause the extract to be read again."""
+def _cut_lineage(spark: SparkSession, data: DataFrame, out: str) -> DataFrame:
+    """A small result on reliable storage, so that neither its many uses nor a
+    lost executor cause the extract to be read again."""
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(shared or f"{out}/_checkpoints")
-    return counted.checkpoint()
+    return data.checkpoint()
 
 
 def _check_dates(groups: Sequence[ExtractGroup], inputs: Mapping[str, RawInputs]) -> None:
@@ -130,10 +130,10 @@ def run(
     write_partitions(
         run_metrics(entries, report_list(spark, specs), week), f"{out}/run_metrics"
     )
-    found = group_warnings(groups, targets, week)
-    for spec in specs:
-        write_report(found, f"{out}/warnings", week, spec.name)
-        if keep_detail:
+    found = _cut_lineage(spark, group_warnings(groups, targets, week), out)
+    write_findings(found, f"{out}/warnings", week, [s.name for s in specs])
+    if keep_detail:
+        for spec in specs:
             extract = clean_extract(spec, inputs[spec.name].extract)
             detail = retained_detail(spec, extract, WeekWindow(week, spec.cutoff))
             write_report(detail, f"{out}/detail", week, spec.name)

@@ -7,18 +7,27 @@ or losses.
 
 from __future__ import annotations
 
-from urllib.parse import quote
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 KEYS = ("week", "report")
 
+# The characters Spark escapes in the names of partition folders.
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+_ESCAPES = str.maketrans({character: f"%{ord(character):02X}" for character in ESCAPED})
+
 
 def write_partitions(rows: DataFrame, path: str) -> None:
     """All weeks and reports found in ``rows``, in one job. For results that
-    never lack rows: a partition without rows would keep its old content."""
+    never lack rows: a partition without rows would keep its old content.
+
+    Rebalancing gathers the few rows of a small board into one file and splits
+    a large one, whatever the parallelism of the job before.
+    """
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", *KEYS)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*KEYS)
         .parquet(path)
@@ -26,13 +35,19 @@ def write_partitions(rows: DataFrame, path: str) -> None:
 
 
 def partition_path(path: str, week: str, report: str) -> str:
-    return f"{path}/week={quote(week, safe='')}/report={quote(report, safe=' ')}"
+    return f"{path}/week={week.translate(_ESCAPES)}/report={report.translate(_ESCAPES)}"
 
 
 def write_report(rows: DataFrame, path: str, week: str, report: str) -> None:
-    """The partition of one report and week. Replaced even by zero rows, which
-    a dynamic overwrite would not do."""
-    own = rows.drop(*KEYS)
-    if "report" in rows.columns:
-        own = rows.filter(F.col("report") == report).drop(*KEYS)
-    own.write.mode("overwrite").parquet(partition_path(path, week, report))
+    """The partition of one report and week, replaced even by zero rows."""
+    rows.drop(*KEYS).write.mode("overwrite").parquet(partition_path(path, week, report))
+
+
+def write_findings(rows: DataFrame, path: str, week: str, reports: Iterable[str]) -> None:
+    """One week of results in which a report may have no row: its partition is
+    then emptied, so that findings of an earlier run do not survive."""
+    write_partitions(rows, path)
+    found = {row.report for row in rows.select("report").distinct().collect()}
+    for report in reports:
+        if report not in found:
+            write_report(rows.limit(0), path, week, report)

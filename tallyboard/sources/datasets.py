@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard.errors import ContractError, LandingError
@@ -17,15 +18,11 @@ def header(name: str) -> Column:
 
 
 def literal_rows(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
-    """A few declared values as a relation in a single partition, without the
-    Python-side partitions that ``createDataFrame`` would spread them over."""
+    """A few declared values as a relation whose size the optimizer knows."""
     kind = T.StructType.fromDDL(schema)
-    values = [
-        F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind)))
-        for row in rows
-    ]
-    one = spark.range(0, 1, 1, 1)
-    return one.select(F.inline(F.array(*values).cast(T.ArrayType(kind))))
+    values = zip(*rows) if rows else ([] for _ in kind)
+    columns = {field.name: pa.array(list(v)) for field, v in zip(kind, values)}
+    return spark.createDataFrame(pa.table(columns), kind)
 
 
 def choose(names: Sequence[str], wanted: int | str, where: str) -> str:

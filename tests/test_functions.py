@@ -79,3 +79,29 @@ def test_sign_of_a_gap(spark, value, tone, arrow):
 def test_large_values_still_show(spark):
     row = column(spark, [2.0**60, 1e300], "double").select(display.integer_text(F.col("v")))
     assert [r[0].replace(" ", "") for r in row.collect()] == [str(2**60), "—"]
+
+
+@pytest.mark.parametrize(
+    "pattern,shape",
+    [
+        ("yyyy-MM-dd", r"^\d{4}\-\d{2}\-\d{2}$"),
+        ("d/M/yyyy HH:mm", r"^\d{1,2}/\d{1,2}/\d{4}\ \d{2}:\d{2}$"),
+        ("dd MMM yyyy", None),
+        ("yyyy-MM-dd[ HH:mm]", None),
+        ("yyyy-MM-dd'T'HH:mm", None),
+    ],
+)
+def test_shape_of_a_date_pattern(pattern, shape):
+    assert cleaning._shape(pattern) == shape
+
+
+def test_patterns_with_names_and_options(spark):
+    formats = ("d MMM yyyy", "yyyy-MM-dd['T'HH:mm]", "yyyyMMdd")
+    texts = ["7 Sep 2026", "2026-09-07T10:30", "2026-09-07", "20260907", "20260931", "7/9/2026"]
+    frame = column(spark, texts, "string")
+    found = frame.select("v", cleaning.as_moment(F.col("v"), T.StringType(), formats).alias("m"))
+    assert {r.v: str(r.m) for r in found.collect()} == {
+        "7 Sep 2026": "2026-09-07 00:00:00", "2026-09-07T10:30": "2026-09-07 10:30:00",
+        "2026-09-07": "2026-09-07 00:00:00", "20260907": "2026-09-07 00:00:00",
+        "20260931": "None", "7/9/2026": "None",
+    }
