@@ -20,8 +20,14 @@ NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 
 def stripped(value: Column) -> Column:
-    """Text without surrounding white space; an all-blank text becomes ''."""
-    return F.btrim(value.cast("string"), F.lit(WHITESPACE))
+    """Text without surrounding white space; an all-blank text becomes ''.
+
+    A general trim walks every text. Most texts begin and end with a visible
+    ASCII character, which two comparisons of bytes tell; those pass as is.
+    """
+    text = value.cast("string")
+    visible = [(c >= "!") & (c < "\x80") for c in (text, F.right(text, F.lit(1)))]
+    return F.when(visible[0] & visible[1], text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def as_number(value: Column, data_type: T.DataType) -> Column:

@@ -98,9 +98,9 @@ def week_span(first: str, last: str) -> list[dt.date]:
 # --------------------------------------------------------------- column side
 def week_id(day: Column) -> Column:
     """ISO week id of a date or timestamp."""
-    return F.format_string(
-        "%04d-W%02d", F.extract(F.lit("YEAROFWEEK"), day), F.extract(F.lit("WEEK"), day)
-    )
+    year = F.extract(F.lit("YEAROFWEEK"), day).cast("string")
+    number = F.weekofyear(day).cast("string")
+    return F.concat(F.lpad(year, 4, "0"), F.lit("-W"), F.lpad(number, 2, "0"))
 
 
 def monday_of(day: Column) -> Column:

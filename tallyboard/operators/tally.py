@@ -10,6 +10,7 @@ that holds a third of the rows costs one row per task.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,10 +26,27 @@ def filter_headers(specs: Iterable[ReportSpec]) -> list[str]:
     return sorted({name for spec in specs for name in spec.filters})
 
 
-def tally(specs: Sequence[ReportSpec], extract: DataFrame, week: str) -> DataFrame:
-    """``specs`` share this clean extract (equal ``extract_key``)."""
+def board_rows(
+    specs: Sequence[ReportSpec], extract: DataFrame, window: WeekWindow
+) -> DataFrame:
+    """The rows that can show on a board of any of the reports."""
+    wanted = reduce(lambda a, b: a | b, [passes(spec) for spec in specs])
+    period = window.in_year_to_date(F.col("activity_date"))
+    return extract.filter(period & F.col("unit_code").isNotNull() & wanted)
+
+
+def tally(
+    specs: Sequence[ReportSpec], extract: DataFrame, week: str, boards_only: bool = False
+) -> DataFrame:
+    """``specs`` share this clean extract (equal ``extract_key``).
+
+    ``boards_only`` counts just the rows that boards show, whose period can be
+    pushed into the scan; warnings and run metrics need all rows.
+    """
     spec = specs[0]
     window = WeekWindow(week, spec.cutoff)
+    if boards_only:
+        extract = board_rows(specs, extract, window)
     day = F.col("activity_date")
     in_year_to_date = window.in_year_to_date(day)
     keys = [header(filter_column(name)) for name in filter_headers(specs)]

@@ -8,36 +8,41 @@ at most 54 weekly rows per unit and year turns that into the year to date.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyboard.functions.weeks import WeekWindow, monday_of, week_id, week_span
-from tallyboard.operators.board import align, board, sort_board
+from tallyboard.operators.board import BOARD_COLUMNS, board
 from tallyboard.operators.filters import segment_filter
 from tallyboard.operators.volumes import measured
+from tallyboard.plans.many import RawInputs, union_all
 from tallyboard.plans.scoreboard import excluded_unit
+from tallyboard.sources.extract import clean_extract
+from tallyboard.sources.targets import clean_targets
 from tallyboard.spec import ReportSpec
 
-KEYS = ("week",)
-
-
-def _mondays(first: Column, last: Column) -> Column:
-    return F.sequence(first, last, F.expr("interval 7 days"))
+KEYS = ("monday",)
+_TARGETS = ("target_start", "target_annual")
 
 
 def weeks_between(spark: SparkSession, first: str, last: str) -> DataFrame:
-    """``monday, week`` for every week from ``first`` to ``last``."""
+    """``monday`` of every week from ``first`` to ``last``."""
     start, end = week_span(first, last)
     count = (end - start).days // 7 + 1
     monday = F.date_add(F.lit(start), (F.col("id") * 7).cast("int"))
-    days = spark.range(0, count, 1, 1).select(monday.alias("monday"))
-    return days.withColumn("week", week_id(F.col("monday")))
+    return spark.range(0, count, 1, 1).select(monday.alias("monday"))
+
 
+def _first_monday(year: int) -> dt.date:
+    january = dt.date(year, 1, 1)
+    return january + dt.timedelta(days=-january.weekday() % 7)
 
-def weekly_entries(
+
+def activity_entries(
     spec: ReportSpec, extract: DataFrame, first: dt.date, end: dt.date
 ) -> DataFrame:
-    """``unit_code, year, monday, entered_week, entered_ytd``: what each week
+    """``unit_code, year, monday, of_week, measured, row_count``: what each week
     adds to the cumulation of ``year``, the civil year of the week's Monday.
 
     A row enters the cumulation in the week of its day, or a week later if it
@@ -65,19 +70,19 @@ def weekly_entries(
 
     week_year = F.year("monday")
     own = F.when(~F.col("late"), F.col("measured"))
+    none = F.when(F.lit(False), F.col("measured"))
 
     def contribution(year: Column, start: Column, of_week: Column) -> Column:
         return F.struct(
             year.alias("year"),
             start.alias("monday"),
             of_week.alias("of_week"),
-            F.col("measured").alias("measured"),
+            F.col("measured"),
+            F.col("row_count"),
         )
 
     into_week = contribution(week_year, F.col("monday"), own)
-    into_new_year = contribution(
-        F.col("day_year"), F.date_add("monday", 7), F.when(F.lit(False), F.col("measured"))
-    )
+    into_new_year = contribution(F.col("day_year"), F.date_add("monday", 7), none)
     # A late row of 31 December enters no week at all: its own week is closed
     # for it, and the next one cumulates on the new year.
     contributions = F.array_compact(
@@ -89,42 +94,70 @@ def weekly_entries(
     return weekly.select("unit_code", F.inline(contributions))
 
 
-def weekly_volumes(spec: ReportSpec, extract: DataFrame, first: str, last: str) -> DataFrame:
-    """``unit_code, week, actual_week, actual_ytd`` for every week in which a
-    unit has a year to date."""
+def target_entries(targets: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Targets as entries without activity in the first week of every year, so
+    that a unit with a target has a line in every week."""
+    years = range(first.year, last.year + 1)
+    starts = F.array(
+        *(
+            F.struct(F.lit(y).alias("year"), F.lit(_first_monday(y)).alias("monday"))
+            for y in years
+        )
+    )
+    return targets.select("unit_code", *_TARGETS, F.lit(True).alias("has_target"), F.inline(starts))
+
+
+def weekly_units(
+    spec: ReportSpec, extract: DataFrame, targets: DataFrame, first: str, last: str
+) -> DataFrame:
+    """The aligned units of every week: with activity in the year to date, or a
+    target. ``targets`` hold a unit once.
+
+    Activity and targets meet in the aggregation by unit, year and week. One
+    shuffle by unit and year serves it and the running totals; weeks are spelled
+    out only afterwards.
+    """
     start, end = week_span(first, last)
     past = WeekWindow(last).sunday + dt.timedelta(days=1)
-    entries = weekly_entries(spec, extract, start, past)
-
-    # One shuffle by unit and year serves both the sums and the running total.
-    placed = entries.repartition("unit_code", "year")
-    steps = placed.groupBy("unit_code", "year", "monday").agg(
-        F.sum("of_week").alias("of_week"), F.sum("measured").alias("entered")
+    entries = activity_entries(spec, extract, start, past).unionByName(
+        target_entries(targets, start, end), allowMissingColumns=True
+    )
+    steps = (
+        entries.repartition("unit_code", "year")
+        .groupBy("unit_code", "year", "monday")
+        .agg(
+            *(F.sum(c).alias(c) for c in ("of_week", "measured", "row_count")),
+            *(F.max(c).alias(c) for c in (*_TARGETS, "has_target")),
+        )
     )
     in_order = Window.partitionBy("unit_code", "year").orderBy("monday")
-    running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last_monday = F.least(
-        F.trunc(F.make_date("year", F.lit(12), F.lit(31)), "week"), F.lit(end)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    december = F.trunc(F.make_date("year", F.lit(12), F.lit(31)), "week")
+    until = F.coalesce(
+        F.date_sub(F.lead("monday").over(in_order), 7), F.least(december, F.lit(end))
     )
-    next_step = F.lead("monday").over(in_order)
-    steps = steps.select(
+    running = steps.select(
         "unit_code",
-        "monday",
+        F.col("monday").alias("since"),
+        until.alias("until"),
         F.coalesce("of_week", F.lit(0)).alias("of_week"),
-        F.sum("entered").over(running).alias("actual_ytd"),
-        F.coalesce(F.date_sub(next_step, 7), last_monday).alias("until"),
+        F.coalesce(F.sum("measured").over(so_far), F.lit(0)).alias("actual_ytd"),
+        (F.sum("row_count").over(so_far) > 0).alias("has_activity"),
+        *(F.max(c).over(so_far).alias(c) for c in (*_TARGETS, "has_target")),
     )
     # Weeks without activity carry the running total forward.
-    held = _mondays(F.col("monday"), F.col("until"))
-    weeks = steps.filter(F.col("monday") <= F.col("until")).select(
-        "unit_code", "of_week", "actual_ytd", "monday", F.explode(held).alias("held_monday")
-    )
-    own_week = F.col("held_monday") == F.col("monday")
-    return weeks.filter(F.col("held_monday") >= F.lit(start)).select(
+    held = F.sequence(F.greatest("since", F.lit(start)), "until", F.expr("interval 7 days"))
+    reached = (F.col("since") <= F.col("until")) & (F.col("until") >= F.lit(start))
+    weeks = running.filter(reached).select("*", F.explode(held).alias("monday"))
+    own_week = F.col("monday") == F.col("since")
+    return weeks.select(
+        "monday",
         "unit_code",
-        week_id(F.col("held_monday")).alias("week"),
         F.when(own_week, F.col("of_week")).otherwise(F.lit(0)).alias("actual_week"),
         "actual_ytd",
+        *_TARGETS,
+        F.coalesce("has_activity", F.lit(False)).alias("has_activity"),
+        F.coalesce("has_target", F.lit(False)).alias("has_target"),
     )
 
 
@@ -132,12 +165,27 @@ def backfill(
     spec: ReportSpec, extract: DataFrame, targets: DataFrame, first: str, last: str
 ) -> DataFrame:
     """The scoreboard of every week from ``first`` to ``last``, with a ``week``
-    column; for each week exactly the rows of a run of that week."""
-    start, end = week_span(first, last)
+    column: for each week exactly the rows of a run of that week, in no
+    particular order."""
+    units = weekly_units(spec, extract, targets, first, last)
     weeks = weeks_between(extract.sparkSession, first, last)
-    mondays = _mondays(F.lit(start), F.lit(end))
-    planned = targets.withColumn("monday", F.explode(mondays)).withColumn(
-        "week", week_id(F.col("monday"))
+    rows = board(units, excluded_unit(spec), KEYS, weeks)
+    return rows.select(week_id(F.col("monday")).alias("week"), *BOARD_COLUMNS)
+
+
+def backfill_reports(
+    specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], first: str, last: str
+) -> DataFrame:
+    """Every week of every report, ready for the weekly sink."""
+    return union_all(
+        [
+            backfill(
+                spec,
+                clean_extract(spec, inputs[spec.name].extract),
+                clean_targets(spec, inputs[spec.name].targets),
+                first,
+                last,
+            ).withColumn("report", F.lit(spec.name))
+            for spec in specs
+        ]
     )
-    aligned = align(weekly_volumes(spec, extract, first, last), planned, KEYS)
-    return sort_board(board(aligned, excluded_unit(spec), KEYS, weeks), KEYS)

@@ -40,7 +40,10 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def tally_groups(
-    specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], week: str
+    specs: Sequence[ReportSpec],
+    inputs: Mapping[str, RawInputs],
+    week: str,
+    boards_only: bool = False,
 ) -> list[ExtractGroup]:
     """One tally, hence one scan, per distinct extract."""
     groups: dict[tuple, list[ReportSpec]] = {}
@@ -51,7 +54,8 @@ def tally_groups(
         extract = clean_extract(
             members[0], inputs[members[0].name].extract, filter_headers(members)
         )
-        result.append(ExtractGroup(tuple(members), tally(members, extract, week)))
+        counted = tally(members, extract, week, boards_only)
+        result.append(ExtractGroup(tuple(members), counted))
     return result
 
 
@@ -104,7 +108,7 @@ def boards(specs: Sequence[ReportSpec], entries: DataFrame) -> DataFrame:
 def scoreboards(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], week: str
 ) -> DataFrame:
-    groups = tally_groups(specs, inputs, week)
+    groups = tally_groups(specs, inputs, week, boards_only=True)
     return sort_board(boards(specs, ledger(groups, targets_by_report(specs, inputs))), KEYS)
 
 

@@ -4,7 +4,10 @@ import random
 import brute
 import pytest
 
-from tallyboard import WeekError, WeekWindow, backfill, week_of
+from tallyboard import ReportBook, WeekError, WeekWindow, backfill, run, week_of
+from tallyboard.operators.board import sort_board
+from tallyboard.plans.backfill import backfill_reports
+from tallyboard.sinks.weekly import write_partitions
 from tallyboard.sources.extract import clean_extract
 from tallyboard.sources.targets import clean_targets
 
@@ -21,7 +24,7 @@ def replay(make_spec, make_extract, make_targets, rows, targets, first, last, ki
     spec = make_spec(**changes)
     extract = clean_extract(spec, make_extract(rows, kind))
     planned = clean_targets(spec, make_targets(targets))
-    return spec, backfill(spec, extract, planned, first, last).collect()
+    return spec, sort_board(backfill(spec, extract, planned, first, last), ["week"]).collect()
 
 
 @pytest.mark.parametrize("cutoff", ["day", "midnight"])
@@ -81,3 +84,23 @@ def test_sum_of_a_column(spark, make_spec, make_targets):
 def test_range_must_run_forward(make_spec, make_extract, make_targets):
     with pytest.raises(WeekError):
         replay(make_spec, make_extract, make_targets, [], {}, "2026-W02", "2026-W01")
+
+
+def test_written_backfill_equals_weekly_runs(spark, make_spec, make_inputs, tmp_path):
+    rng = random.Random(11)
+    start = dt.datetime(2025, 12, 20)
+    cases = [brute.random_case(rng, start, start + dt.timedelta(days=30), 80) for _ in range(2)]
+    specs = [make_spec(excluded_unit="U1"), make_spec(name="b", segments=(), cutoff="midnight")]
+    inputs = {s.name: make_inputs(*case) for s, case in zip(specs, cases)}
+    weeks = weeks_of("2025-W52", "2026-W02")
+    for week in weeks:
+        run(spark, ReportBook(specs), str(tmp_path / "runs"), week=week, inputs=inputs)
+    write_partitions(
+        backfill_reports(specs, inputs, weeks[0], weeks[-1]), str(tmp_path / "backfill")
+    )
+
+    def lines(path):
+        frame = spark.read.parquet(str(path))
+        return sorted(map(str, frame.select(sorted(frame.columns)).collect()))
+
+    assert lines(tmp_path / "backfill") == lines(tmp_path / "runs" / "scoreboard")
