@@ -68,5 +68,6 @@ def as_moment(value: Column, data_type: T.DataType, formats: Sequence[str]) -> C
     reach the scan; text is read with the declared formats, first match wins."""
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return value
-    text = stripped(value)
+    # The text is referred to several times per format, so only a plain trim.
+    text = F.trim(value.cast("string"))
     return F.coalesce(*(_reading(text, pattern) for pattern in formats)).cast("timestamp_ntz")
