@@ -1,10 +1,10 @@
 """One pass over an extract that serves every figure of every report.
 
-A *tally* keeps one row per combination of unit, segment and filtered values,
-with all counters a week needs. It is the only step that touches the full
-extract; boards, warnings and run metrics of all reports that share the extract
-are derived from it. Counting starts before the shuffle, so a unit or segment
-that holds a third of the rows costs one row per task.
+A *tally* keeps one row per unit and combination of requested segments and
+filter values, with all counters a week needs. It is the only step that touches
+the full extract; boards, warnings and run metrics of all reports that share the
+extract are derived from it. Counting starts before the shuffle, so a unit or
+segment that holds a third of the rows costs one row per task.
 """
 
 from __future__ import annotations
@@ -15,10 +15,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tallyboard.functions.weeks import WeekWindow
-from tallyboard.operators.filters import passes
+from tallyboard.operators.filters import passes, wanted_values
 from tallyboard.operators.volumes import measured
 from tallyboard.sources.datasets import header
-from tallyboard.sources.extract import filter_column
 from tallyboard.spec import ReportSpec
 
 
@@ -26,6 +25,15 @@ def filter_headers(specs: Iterable[ReportSpec]) -> list[str]:
     return sorted({name for spec in specs for name in spec.filters})
 
 
+def requested_values(specs: Iterable[ReportSpec]) -> dict[str, list[str]]:
+    """Extract column -> all values that any of the reports asks for."""
+    requested: dict[str, set[str]] = {}
+    for spec in specs:
+        for column, values in wanted_values(spec).items():
+            requested.setdefault(column, set()).update(values)
+    return {column: sorted(values) for column, values in sorted(requested.items())}
+
+
 def board_rows(
     specs: Sequence[ReportSpec], extract: DataFrame, window: WeekWindow
 ) -> DataFrame:
@@ -49,8 +57,13 @@ def tally(
         extract = board_rows(specs, extract, window)
     day = F.col("activity_date")
     in_year_to_date = window.in_year_to_date(day)
-    keys = [header(filter_column(name)) for name in filter_headers(specs)]
-    return extract.groupBy("unit_code", "segment", *keys).agg(
+    # Values nobody asks for fall together, so the size of a tally follows the
+    # declared lists and not what the columns happen to hold.
+    keys = [
+        F.when(header(column).isin(*values), header(column)).alias(column)
+        for column, values in requested_values(specs).items()
+    ]
+    return extract.groupBy("unit_code", *keys).agg(
         F.count("*").alias("rows_read"),
         F.count_if(day.isNotNull() | F.col("date_unreadable")).alias("dates_given"),
         F.count_if("date_unreadable").alias("dates_unreadable"),
