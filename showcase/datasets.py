@@ -45,15 +45,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def orders_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order with the customer's segment, nation and region."""
-    places = (
-        table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    """One row per order with the customer's segment and nation."""
+    places = table(spark, folder, "customer").join(
+        table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return table(spark, folder, "orders").join(places, F.col("o_custkey") == F.col("c_custkey"))
 
 
+def orders_by_region(spark: SparkSession, folder: str) -> DataFrame:
+    regions = table(spark, folder, "region")
+    return orders_wide(spark, folder).join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+
+
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The same extract as a careless export would deliver it: everything is
     text, dates come in three notations, some are unreadable or missing, names

@@ -269,14 +269,23 @@ def expected_values(names: list[str]) -> str:
 ALL_REPORTS = list(REPORTS)
 
 # --------------------------------------------------------------- backfill
-BACKFILL = f"""
-with {WIDE.strip()}, {NATION_TARGETS.strip()},
+def backfill(
+    targets: str = NATION_TARGETS,
+    unit: str = "n_name",
+    kept: str = KEPT,
+    excluded: str = "'NATION_7'",
+    measure: str = "count(*)",
+    number: str = "bigint",
+    shown: str = "bigint",
+) -> str:
+    return f"""
+with {WIDE.strip()}, {targets.strip()},
 seed as (
-  select strftime(monday, '%G-W%V') as key, monday, 'NATION_7' as excluded from (
+  select strftime(monday, '%G-W%V') as key, monday, {excluded} as excluded from (
     select cast(unnest(generate_series(timestamp '1994-12-26', timestamp '2001-07-30',
                                        interval 7 day)) as date) as monday)),
 daily as (
-  select n_name as unit_code, day, count(*) as n from wide where {KEPT} group by n_name, day),
+  select {unit} as unit_code, day, {measure} as n from wide where {kept} group by {unit}, day),
 vol as (
   select s.key, d.unit_code, coalesce(sum(n) filter (where d.day >= s.monday), 0) as actual_week,
     sum(n) as actual_ytd
@@ -286,12 +295,20 @@ vol as (
 planned as (select s.key, t.* from seed s cross join targets t),
 jk as (
   select coalesce(v.key, t.key) as key, coalesce(v.unit_code, t.unit_code) as unit_code,
-    cast(coalesce(actual_week, 0) as bigint) as actual_week,
-    cast(coalesce(actual_ytd, 0) as bigint) as actual_ytd, target_start, target_annual
+    cast(coalesce(actual_week, 0) as {number}) as actual_week,
+    cast(coalesce(actual_ytd, 0) as {number}) as actual_ytd, target_start, target_annual
   from vol v full join planned t on v.key = t.key and v.unit_code = t.unit_code),
-{BOARD.format(shown="bigint").strip()}
+{BOARD.format(shown=shown).strip()}
 select key as week, {COLUMNS} from board"""
 
+
+BACKFILL = backfill()
+BACKFILL_ALL = backfill(kept="true", excluded="cast(null as varchar)")
+BACKFILL_SUM = backfill(
+    REGION_TARGETS, "r_name", excluded="'ASIA'",
+    measure="sum(cast(o_totalprice as decimal(18,2)))", **MONEY,
+)
+
 BACKFILL_EVENTS = f"""
 with {EVENTS.strip()},
 seed as (
@@ -428,6 +445,9 @@ ORACLE_SQL: dict[str, str] = {
       from ids left join mondays on strftime(monday, '%G-W%V') = week""",
     "backfill_weeks": BACKFILL,
     "backfill_events": BACKFILL_EVENTS,
+    "backfill_sum": BACKFILL_SUM,
+    "backfill_reports": f"""select 'orders' as report, * from ({BACKFILL})
+      union all select 'everything' as report, * from ({BACKFILL_ALL})""",
     "block_scoreboard": f"""{SCOREBOARD} select unit_code as "Unit", actual_week as "Actual week",
       actual_ytd as "Actual year to date", target_start as "Start-of-year target",
       attainment as "Attainment", gap as "Gap", target_annual as "Annual target",

@@ -17,7 +17,7 @@ from tallyboard.operators import presentation
 from tallyboard.operators.filters import retained_detail, segment_filter
 from tallyboard.operators.quality import segment_check
 from tallyboard.operators.volumes import volumes
-from tallyboard.plans.backfill import backfill
+from tallyboard.plans.backfill import backfill, backfill_reports
 from tallyboard.plans.many import RawInputs, report_metrics, report_warnings, scoreboards
 from tallyboard.plans.scoreboard import aligned_units, scoreboard
 from tallyboard.sources.extract import ROLE_COLUMNS, clean_extract, date_quality
@@ -147,8 +147,9 @@ def scoreboard_region(spark: SparkSession, folder: str) -> DataFrame:
         source_columns={"date": "o_orderdate", "segment": "c_mktsegment", "unit": "r_name"},
         excluded_unit="ASIA",
     )
+    extract = clean_extract(spec, d.orders_by_region(spark, folder))
     targets = clean_targets(spec, d.region_targets(spark, folder))
-    return scoreboard(spec, _orders(spark, folder, spec), targets, d.WEEK)
+    return scoreboard(spec, extract, targets, d.WEEK)
 
 
 def scoreboard_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,6 +268,22 @@ def backfill_events(spark: SparkSession, folder: str) -> DataFrame:
     return backfill(spec, extract, targets, "2023-W52", "2024-W06")
 
 
+def backfill_sum(spark: SparkSession, folder: str) -> DataFrame:
+    spec = d.orders_spec(
+        source_columns={"date": "o_orderdate", "segment": "c_mktsegment", "unit": "r_name"},
+        excluded_unit="ASIA",
+        measure="o_totalprice",
+    )
+    targets = clean_targets(spec, d.region_targets(spark, folder))
+    extract = clean_extract(spec, d.orders_by_region(spark, folder))
+    return _as_double(backfill(spec, extract, targets, d.FIRST_WEEK, d.LAST_WEEK))
+
+
+def backfill_reports_query(spark: SparkSession, folder: str) -> DataFrame:
+    specs, inputs = _many(spark, folder)
+    return backfill_reports(specs[:2], inputs, d.FIRST_WEEK, d.LAST_WEEK)
+
+
 # ------------------------------------------------------------- presentation
 def block_scoreboard(spark: SparkSession, folder: str) -> DataFrame:
     rows = _nation_board(spark, folder)
@@ -319,6 +336,8 @@ QUERIES: dict[str, Query] = {
     "week_parsing": week_parsing,
     "backfill_weeks": backfill_weeks,
     "backfill_events": backfill_events,
+    "backfill_sum": backfill_sum,
+    "backfill_reports": backfill_reports_query,
     "block_scoreboard": block_scoreboard,
     "block_targets": block_targets,
     "display_rows": display_rows,

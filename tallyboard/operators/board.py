@@ -67,37 +67,35 @@ def totals(
     if seed is not None:
         units = units.unionByName(seed.select(*keys), allowMissingColumns=True)
     figures = (*_COUNTS, *_TARGETS)
-    other = F.col("unit_code") != F.col("excluded")
+    rest = "FILTER (WHERE unit_code <> excluded)"
     sums = (
         units.withColumn("excluded", excluded_unit)
         .groupBy(*keys)
         .agg(
-            *(F.sum(c).alias(f"all_{c}") for c in figures),
-            *(F.sum(F.when(other, F.col(c))).alias(f"rest_{c}") for c in figures),
-            F.max(F.col("unit_code") == F.col("excluded")).alias("found_excluded"),
+            *(F.expr(f"sum({c}) AS all_{c}") for c in figures),
+            *(F.expr(f"sum({c}) {rest} AS rest_{c}") for c in figures),
+            F.expr("max(unit_code = excluded) AS found_excluded"),
         )
         .withColumn("excluded", F.when(F.col("found_excluded"), excluded_unit))
     )
 
-    def row(label: Column, prefix: str, whole: bool) -> Column:
-        return F.struct(
-            label.alias("unit_code"),
-            *(F.coalesce(f"{prefix}_{c}", F.lit(0)).alias(c) for c in _COUNTS),
-            *(F.col(f"{prefix}_{c}").alias(c) for c in _TARGETS),
-            F.lit(whole).alias("whole"),
-        )
+    def row(label: str, prefix: str, whole: bool) -> Column:
+        fields = [f"{label} AS unit_code", f"{whole} AS whole"]
+        fields += [f"coalesce({prefix}_{c}, 0) AS {c}" for c in _COUNTS]
+        fields += [f"{prefix}_{c} AS {c}" for c in _TARGETS]
+        return F.expr(f"struct({', '.join(fields)})")
 
     # Without the excluded unit its label is NULL, and the row is dropped below.
     rows = F.array(
-        row(F.lit(TOTAL_LABEL), "all", True),
-        row(F.concat(F.lit(EXCLUDED_LABEL), "excluded"), "rest", False),
+        row(f"'{TOTAL_LABEL}'", "all", True),
+        row(f"concat('{EXCLUDED_LABEL}', excluded)", "rest", False),
     )
     # As a conditional of two constants, the row type lets the optimizer see
     # that a board reduced to its units needs no totals at all.
     row_type = F.when(F.col("whole"), TOTAL).otherwise(TOTAL_EXCLUDED)
     return (
         sums.select(*keys, F.inline(rows))
-        .filter(F.col("unit_code").isNotNull())
+        .filter("unit_code IS NOT NULL")
         .select(*keys, "unit_code", *_COUNTS, *_TARGETS, row_type.alias("row_type"))
     )
 
