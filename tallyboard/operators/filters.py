@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,23 +20,34 @@ def wanted_values(spec: ReportSpec) -> dict[str, tuple[str, ...]]:
     return {column: values for column, values in lists.items() if values}
 
 
+def _tests(spec: ReportSpec) -> list[Column]:
+    return [header(column).isin(*values) for column, values in wanted_values(spec).items()]
+
+
+def _all_of(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
+
+
 def passes(spec: ReportSpec) -> Column:
     """TRUE for rows kept by the segment list and the extra filters, never NULL.
 
     A NULL value is in no list; without any list every row passes.
     """
-    tests = [
-        F.coalesce(header(column).isin(*values), F.lit(False))
-        for column, values in wanted_values(spec).items()
-    ]
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
+    tests = _tests(spec)
+    return F.coalesce(_all_of(tests), F.lit(False)) if tests else F.lit(True)
 
 
 def segment_filter(spec: ReportSpec, extract: DataFrame) -> DataFrame:
-    # Written without `passes` so that the bare predicate can be pushed down.
-    for column, values in wanted_values(spec).items():
-        extract = extract.filter(header(column).isin(*values))
-    return extract
+    return wanted_by_any([spec], extract)
+
+
+def wanted_by_any(specs: Iterable[ReportSpec], extract: DataFrame) -> DataFrame:
+    """Rows that at least one of the reports keeps. Written without `passes`,
+    so that the bare predicates can be pushed down."""
+    tests = [_tests(spec) for spec in specs]
+    if not all(tests):
+        return extract  # some report keeps everything
+    return extract.filter(reduce(lambda a, b: a | b, map(_all_of, tests)))
 
 
 def retained_detail(spec: ReportSpec, extract: DataFrame, window: WeekWindow) -> DataFrame:

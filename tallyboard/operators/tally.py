@@ -10,12 +10,11 @@ segment that holds a third of the rows costs one row per task.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyboard.functions.weeks import WeekWindow
-from tallyboard.operators.filters import passes, wanted_values
+from tallyboard.operators.filters import passes, wanted_by_any, wanted_values
 from tallyboard.operators.volumes import measured
 from tallyboard.sources.datasets import header
 from tallyboard.spec import ReportSpec
@@ -34,13 +33,16 @@ def requested_values(specs: Iterable[ReportSpec]) -> dict[str, list[str]]:
     return {column: sorted(values) for column, values in sorted(requested.items())}
 
 
-def board_rows(
-    specs: Sequence[ReportSpec], extract: DataFrame, window: WeekWindow
-) -> DataFrame:
-    """The rows that can show on a board of any of the reports."""
-    wanted = reduce(lambda a, b: a | b, [passes(spec) for spec in specs])
-    period = window.in_year_to_date(F.col("activity_date"))
-    return extract.filter(period & F.col("unit_code").isNotNull() & wanted)
+def value_keys(specs: Iterable[ReportSpec]) -> list[Column]:
+    """Grouping columns that tell apart what some report keeps.
+
+    Values nobody asks for fall together, so the number of groups follows the
+    declared lists and not what the columns happen to hold.
+    """
+    return [
+        F.when(header(column).isin(*values), header(column)).alias(column)
+        for column, values in requested_values(specs).items()
+    ]
 
 
 def tally(
@@ -48,22 +50,17 @@ def tally(
 ) -> DataFrame:
     """``specs`` share this clean extract (equal ``extract_key``).
 
-    ``boards_only`` counts just the rows that boards show, whose period can be
-    pushed into the scan; warnings and run metrics need all rows.
+    ``boards_only`` counts just the rows that boards show, whose period and
+    values can be pushed into the scan; warnings and run metrics need all rows.
     """
     spec = specs[0]
     window = WeekWindow(week, spec.cutoff)
-    if boards_only:
-        extract = board_rows(specs, extract, window)
     day = F.col("activity_date")
     in_year_to_date = window.in_year_to_date(day)
-    # Values nobody asks for fall together, so the size of a tally follows the
-    # declared lists and not what the columns happen to hold.
-    keys = [
-        F.when(header(column).isin(*values), header(column)).alias(column)
-        for column, values in requested_values(specs).items()
-    ]
-    return extract.groupBy("unit_code", *keys).agg(
+    if boards_only:
+        shown = in_year_to_date & F.col("unit_code").isNotNull()
+        extract = wanted_by_any(specs, extract).filter(shown)
+    return extract.groupBy("unit_code", *value_keys(specs)).agg(
         F.count("*").alias("rows_read"),
         F.count_if(day.isNotNull() | F.col("date_unreadable")).alias("dates_given"),
         F.count_if("date_unreadable").alias("dates_unreadable"),
@@ -74,6 +71,14 @@ def tally(
     )
 
 
+def by_report(specs: Sequence[ReportSpec], counted: DataFrame) -> DataFrame:
+    """Every counted row once per report, with ``report`` and ``kept``."""
+    views = F.array(
+        *(F.struct(F.lit(s.name).alias("report"), passes(s).alias("kept")) for s in specs)
+    )
+    return counted.select("*", F.inline(views))
+
+
 def activity_by_report(specs: Sequence[ReportSpec], counted: DataFrame) -> DataFrame:
     """One row per report and unit from a tally.
 
@@ -81,16 +86,12 @@ def activity_by_report(specs: Sequence[ReportSpec], counted: DataFrame) -> DataF
     are kept for the run counters; their ``actual_*`` are NULL, which keeps
     them out of every board.
     """
-    views = F.array(
-        *(F.struct(F.lit(s.name).alias("report"), passes(s).alias("kept")) for s in specs)
-    )
-    seen = counted.select("*", F.inline(views))
 
     def kept(counter: str):
         return F.sum(F.when(F.col("kept"), F.col(counter)))
 
     on_board = F.col("unit_code").isNotNull() & (kept("rows_ytd") > 0)
-    return seen.groupBy("report", "unit_code").agg(
+    return by_report(specs, counted).groupBy("report", "unit_code").agg(
         F.sum("rows_read").alias("rows_read"),
         F.sum("dates_given").alias("dates_given"),
         F.sum("dates_unreadable").alias("dates_unreadable"),

@@ -1,8 +1,9 @@
-"""Every past week of a report in one job.
+"""Every past week of all reports in one job.
 
-Replaying weeks one by one would read the extract once per week. Here it is
-read once: rows are counted per unit and week of entry, and a running sum over
-at most 54 weekly rows per unit and year turns that into the year to date.
+Replaying weeks one by one would read an extract once per week and report. Here
+it is read once: rows are counted per unit and week of entry, and a running sum
+over at most 54 weekly rows per report, unit and year turns that into the year
+to date.
 """
 
 from __future__ import annotations
@@ -10,28 +11,29 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyboard.functions.weeks import WeekWindow, monday_of, week_id, week_span
 from tallyboard.operators.board import BOARD_COLUMNS, board
-from tallyboard.operators.filters import segment_filter
+from tallyboard.operators.filters import wanted_by_any
+from tallyboard.operators.tally import by_report, value_keys
 from tallyboard.operators.volumes import measured
-from tallyboard.plans.many import RawInputs, union_all
-from tallyboard.plans.scoreboard import excluded_unit
-from tallyboard.sources.extract import clean_extract
-from tallyboard.sources.targets import clean_targets
+from tallyboard.plans.many import (
+    RawInputs,
+    excluded_units,
+    report_list,
+    shared_extracts,
+    targets_by_report,
+    union_all,
+)
 from tallyboard.spec import ReportSpec
 
-KEYS = ("monday",)
+KEYS = ("report", "monday")
 _TARGETS = ("target_start", "target_annual")
 
 
-def weeks_between(spark: SparkSession, first: str, last: str) -> DataFrame:
-    """``monday`` of every week from ``first`` to ``last``."""
-    start, end = week_span(first, last)
-    count = (end - start).days // 7 + 1
-    monday = F.date_add(F.lit(start), (F.col("id") * 7).cast("int"))
-    return spark.range(0, count, 1, 1).select(monday.alias("monday"))
+def _mondays(first: Column, last: Column) -> Column:
+    return F.sequence(first, last, F.expr("interval 7 days"))
 
 
 def _first_monday(year: int) -> dt.date:
@@ -40,10 +42,10 @@ def _first_monday(year: int) -> dt.date:
 
 
 def activity_entries(
-    spec: ReportSpec, extract: DataFrame, first: dt.date, end: dt.date
+    specs: Sequence[ReportSpec], extract: DataFrame, first: dt.date, end: dt.date
 ) -> DataFrame:
-    """``unit_code, year, monday, of_week, measured, row_count``: what each week
-    adds to the cumulation of ``year``, the civil year of the week's Monday.
+    """``report, unit_code, year, monday, of_week, measured, row_count``: what
+    each week adds to the cumulation of ``year``, the civil year of its Monday.
 
     A row enters the cumulation in the week of its day, or a week later if it
     falls past a midnight cut-off on Sunday. It is counted for that week only in
@@ -51,6 +53,7 @@ def activity_entries(
     in the straddling week, for the old year, and from the first Monday on, for
     the new one.
     """
+    spec = specs[0]
     day = F.col("activity_date")
     monday = monday_of(day)
     late = F.lit(False)
@@ -60,12 +63,13 @@ def activity_entries(
 
     # Nothing before 1 January of the first week's year can matter.
     reach = (day >= F.lit(first.replace(month=1, day=1))) & (day < F.lit(end))
-    kept = segment_filter(spec, extract).filter(reach & F.col("unit_code").isNotNull())
-    weekly = kept.groupBy(
+    wanted = wanted_by_any(specs, extract).filter(reach & F.col("unit_code").isNotNull())
+    weekly = wanted.groupBy(
         "unit_code",
         entry.alias("monday"),
         late.alias("late"),
         F.year(day).alias("day_year"),
+        *value_keys(specs),
     ).agg(measured(spec).alias("measured"), F.count("*").alias("row_count"))
 
     week_year = F.year("monday")
@@ -91,7 +95,8 @@ def activity_entries(
             F.when(week_year < F.col("day_year"), into_new_year),
         )
     )
-    return weekly.select("unit_code", F.inline(contributions))
+    kept = by_report(specs, weekly).filter("kept")
+    return kept.select("report", "unit_code", F.inline(contributions))
 
 
 def target_entries(targets: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
@@ -104,39 +109,43 @@ def target_entries(targets: DataFrame, first: dt.date, last: dt.date) -> DataFra
             for y in years
         )
     )
-    return targets.select("unit_code", *_TARGETS, F.lit(True).alias("has_target"), F.inline(starts))
+    return targets.select(
+        "report", "unit_code", *_TARGETS, F.lit(True).alias("has_target"), F.inline(starts)
+    )
 
 
 def weekly_units(
-    spec: ReportSpec, extract: DataFrame, targets: DataFrame, first: str, last: str
+    specs: Sequence[ReportSpec], extract: DataFrame, targets: DataFrame, first: str, last: str
 ) -> DataFrame:
-    """The aligned units of every week: with activity in the year to date, or a
-    target. ``targets`` hold a unit once.
+    """The aligned units of every report and week: with activity in the year to
+    date, or a target. ``specs`` share the extract; ``targets`` hold a unit once
+    per ``report``.
 
     Activity and targets meet in the aggregation by unit, year and week. One
-    shuffle by unit and year serves it and the running totals; weeks are spelled
-    out only afterwards.
+    shuffle by report, unit and year serves it and the running totals; weeks are
+    spelled out only afterwards.
     """
     start, end = week_span(first, last)
     past = WeekWindow(last).sunday + dt.timedelta(days=1)
-    entries = activity_entries(spec, extract, start, past).unionByName(
+    entries = activity_entries(specs, extract, start, past).unionByName(
         target_entries(targets, start, end), allowMissingColumns=True
     )
     steps = (
-        entries.repartition("unit_code", "year")
-        .groupBy("unit_code", "year", "monday")
+        entries.repartition("report", "unit_code", "year")
+        .groupBy("report", "unit_code", "year", "monday")
         .agg(
             *(F.sum(c).alias(c) for c in ("of_week", "measured", "row_count")),
             *(F.max(c).alias(c) for c in (*_TARGETS, "has_target")),
         )
     )
-    in_order = Window.partitionBy("unit_code", "year").orderBy("monday")
+    in_order = Window.partitionBy("report", "unit_code", "year").orderBy("monday")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     december = F.trunc(F.make_date("year", F.lit(12), F.lit(31)), "week")
     until = F.coalesce(
         F.date_sub(F.lead("monday").over(in_order), 7), F.least(december, F.lit(end))
     )
     running = steps.select(
+        "report",
         "unit_code",
         F.col("monday").alias("since"),
         until.alias("until"),
@@ -146,12 +155,12 @@ def weekly_units(
         *(F.max(c).over(so_far).alias(c) for c in (*_TARGETS, "has_target")),
     )
     # Weeks without activity carry the running total forward.
-    held = F.sequence(F.greatest("since", F.lit(start)), "until", F.expr("interval 7 days"))
+    held = _mondays(F.greatest("since", F.lit(start)), F.col("until"))
     reached = (F.col("since") <= F.col("until")) & (F.col("until") >= F.lit(start))
     weeks = running.filter(reached).select("*", F.explode(held).alias("monday"))
     own_week = F.col("monday") == F.col("since")
     return weeks.select(
-        "monday",
+        *KEYS,
         "unit_code",
         F.when(own_week, F.col("of_week")).otherwise(F.lit(0)).alias("actual_week"),
         "actual_ytd",
@@ -161,31 +170,35 @@ def weekly_units(
     )
 
 
+def _boards(
+    specs: Sequence[ReportSpec], extract: DataFrame, targets: DataFrame, first: str, last: str
+) -> DataFrame:
+    start, end = week_span(first, last)
+    units = weekly_units(specs, extract, targets, first, last)
+    mondays = F.explode(_mondays(F.lit(start), F.lit(end)))
+    every = report_list(extract.sparkSession, specs).select("report", mondays.alias("monday"))
+    rows = board(units, excluded_units(specs), KEYS, every)
+    return rows.select("report", week_id(F.col("monday")).alias("week"), *BOARD_COLUMNS)
+
+
 def backfill(
     spec: ReportSpec, extract: DataFrame, targets: DataFrame, first: str, last: str
 ) -> DataFrame:
     """The scoreboard of every week from ``first`` to ``last``, with a ``week``
     column: for each week exactly the rows of a run of that week, in no
     particular order."""
-    units = weekly_units(spec, extract, targets, first, last)
-    weeks = weeks_between(extract.sparkSession, first, last)
-    rows = board(units, excluded_unit(spec), KEYS, weeks)
-    return rows.select(week_id(F.col("monday")).alias("week"), *BOARD_COLUMNS)
+    planned = targets.withColumn("report", F.lit(spec.name))
+    return _boards([spec], extract, planned, first, last).drop("report")
 
 
 def backfill_reports(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], first: str, last: str
 ) -> DataFrame:
-    """Every week of every report, ready for the weekly sink."""
+    """Every week of every report, ready for the weekly sink. Reports that share
+    an extract share its scan."""
     return union_all(
         [
-            backfill(
-                spec,
-                clean_extract(spec, inputs[spec.name].extract),
-                clean_targets(spec, inputs[spec.name].targets),
-                first,
-                last,
-            ).withColumn("report", F.lit(spec.name))
-            for spec in specs
+            _boards(members, extract, targets_by_report(members, inputs), first, last)
+            for members, extract in shared_extracts(specs, inputs)
         ]
     )

@@ -39,6 +39,19 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def shared_extracts(
+    specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs]
+) -> list[tuple[list[ReportSpec], DataFrame]]:
+    """The distinct clean extracts, each with the reports that read it."""
+    groups: dict[tuple, list[ReportSpec]] = {}
+    for spec in specs:
+        groups.setdefault(spec.extract_key, []).append(spec)
+    return [
+        (members, clean_extract(members[0], inputs[members[0].name].extract, filter_headers(members)))
+        for members in groups.values()
+    ]
+
+
 def tally_groups(
     specs: Sequence[ReportSpec],
     inputs: Mapping[str, RawInputs],
@@ -46,17 +59,10 @@ def tally_groups(
     boards_only: bool = False,
 ) -> list[ExtractGroup]:
     """One tally, hence one scan, per distinct extract."""
-    groups: dict[tuple, list[ReportSpec]] = {}
-    for spec in specs:
-        groups.setdefault(spec.extract_key, []).append(spec)
-    result = []
-    for members in groups.values():
-        extract = clean_extract(
-            members[0], inputs[members[0].name].extract, filter_headers(members)
-        )
-        counted = tally(members, extract, week, boards_only)
-        result.append(ExtractGroup(tuple(members), counted))
-    return result
+    return [
+        ExtractGroup(tuple(members), tally(members, extract, week, boards_only))
+        for members, extract in shared_extracts(specs, inputs)
+    ]
 
 
 def targets_by_report(
@@ -88,7 +94,7 @@ def listing(spark: SparkSession, specs: Sequence[ReportSpec]) -> DataFrame:
     return literal_rows(spark, columns, rows)
 
 
-def _excluded(specs: Sequence[ReportSpec]) -> Column:
+def excluded_units(specs: Sequence[ReportSpec]) -> Column:
     choices = [F.when(F.col("report") == s.name, F.lit(s.excluded_unit)) for s in specs]
     return F.coalesce(*choices, F.lit(None).cast("string"))
 
@@ -102,7 +108,7 @@ def ledger(groups: Sequence[ExtractGroup], targets: DataFrame) -> DataFrame:
 def boards(specs: Sequence[ReportSpec], entries: DataFrame) -> DataFrame:
     """Unsorted scoreboard rows of every report, from the ledger."""
     seed = report_list(entries.sparkSession, specs)
-    return board(on_board(entries), _excluded(specs), KEYS, seed)
+    return board(on_board(entries), excluded_units(specs), KEYS, seed)
 
 
 def scoreboards(

@@ -90,8 +90,14 @@ def test_written_backfill_equals_weekly_runs(spark, make_spec, make_inputs, tmp_
     rng = random.Random(11)
     start = dt.datetime(2025, 12, 20)
     cases = [brute.random_case(rng, start, start + dt.timedelta(days=30), 80) for _ in range(2)]
-    specs = [make_spec(excluded_unit="U1"), make_spec(name="b", segments=(), cutoff="midnight")]
-    inputs = {s.name: make_inputs(*case) for s, case in zip(specs, cases)}
+    specs = [
+        make_spec(excluded_unit="U1"),
+        make_spec(name="b", segments=(), cutoff="midnight"),
+        make_spec(name="c", segments=("Retail", "Other"), excluded_unit="U77"),
+        make_spec(name="d", segments=("Nothing",), excluded_unit="U8"),
+    ]
+    shared, alone = (make_inputs(*case) for case in cases)
+    inputs = {"activity": shared, "b": alone, "c": shared, "d": shared}
     weeks = weeks_of("2025-W52", "2026-W02")
     for week in weeks:
         run(spark, ReportBook(specs), str(tmp_path / "runs"), week=week, inputs=inputs)

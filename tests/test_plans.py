@@ -67,11 +67,18 @@ def test_warnings_read_each_extract_once(spark):
     assert scans(plan, "orders") == 2 and scans(plan, "events") == 2
 
 
-def test_backfill_reads_its_extract_once(spark):
-    plan = executed(QUERIES["backfill_weeks"](spark, FOLDER))
+@pytest.mark.parametrize("name", ["backfill_weeks", "backfill_reports"])
+def test_backfill_reads_its_extract_once(spark, name):
+    plan = executed(QUERIES[name](spark, FOLDER))
     assert scans(plan, "orders") == 1
 
 
+def test_backfill_pushes_period_and_segments(spark):
+    plan = executed(QUERIES["backfill_weeks"](spark, FOLDER))
+    assert "GreaterThanOrEqual(o_orderdate,1994-01-01" in plan
+    assert "In(c_mktsegment, [BUILDING,MACHINERY])" in plan
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_join_and_no_window_over_everything(spark, name):
     plan = executed(QUERIES[name](spark, FOLDER))
