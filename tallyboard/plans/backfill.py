@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyboard.functions.weeks import WeekWindow, monday_of, week_id, week_span
 from tallyboard.operators.board import BOARD_COLUMNS, board
-from tallyboard.operators.filters import wanted_by_any
+from tallyboard.operators.filters import wanted_by_any, wanted_values
 from tallyboard.operators.tally import by_report, value_keys
 from tallyboard.operators.volumes import measured
 from tallyboard.plans.many import (
@@ -64,12 +64,15 @@ def activity_entries(
     # Nothing before 1 January of the first week's year can matter.
     reach = (day >= F.lit(first.replace(month=1, day=1))) & (day < F.lit(end))
     wanted = wanted_by_any(specs, extract).filter(reach & F.col("unit_code").isNotNull())
+    # Reports that keep the same rows, above all a single one, need no keys to
+    # tell their rows apart.
+    alike = all(wanted_values(s) == wanted_values(spec) for s in specs)
     weekly = wanted.groupBy(
         "unit_code",
         entry.alias("monday"),
         late.alias("late"),
         F.year(day).alias("day_year"),
-        *value_keys(specs),
+        *([] if alike else value_keys(specs)),
     ).agg(measured(spec).alias("measured"), F.count("*").alias("row_count"))
 
     week_year = F.year("monday")
@@ -95,7 +98,11 @@ def activity_entries(
             F.when(week_year < F.col("day_year"), into_new_year),
         )
     )
-    kept = by_report(specs, weekly).filter("kept")
+    if alike:
+        names = F.array(*(F.lit(s.name) for s in specs))
+        kept = weekly.select("*", F.explode(names).alias("report"))
+    else:
+        kept = by_report(specs, weekly).filter("kept")
     return kept.select("report", "unit_code", F.inline(contributions))
 
 

@@ -110,3 +110,14 @@ def test_written_backfill_equals_weekly_runs(spark, make_spec, make_inputs, tmp_
         return sorted(map(str, frame.select(sorted(frame.columns)).collect()))
 
     assert lines(tmp_path / "backfill") == lines(tmp_path / "runs" / "scoreboard")
+
+
+def test_reports_that_keep_the_same_rows(make_spec, make_inputs):
+    rows = [(dt.datetime(2026, 1, 7), "U1"), (dt.datetime(2026, 1, 8), "U2", "Other")]
+    inputs = make_inputs(rows, {"U1": (1.0, 1.0)})
+    specs = [make_spec(excluded_unit=None), make_spec(name="b", excluded_unit="U1")]
+    found = backfill_reports(specs, {s.name: inputs for s in specs}, "2026-W02", "2026-W02")
+    assert {(r.report, r.unit_code, r.actual_ytd) for r in found.collect()} == {
+        ("activity", "U1", 1), ("activity", "All units", 1),
+        ("b", "U1", 1), ("b", "All units", 1), ("b", "All units except U1", 0),
+    }
