@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from .common import WORD, dropped, stored
 
 #: Weights are rounded to so many parts.
-PARTS = 1_000_000
+PARTS = 1_000_000_000
 #: Sections of [low, high] that one pass over the sources looks at, and the passes.
-SECTIONS, PASSES = 32, 8
+SECTIONS, PASSES = 32, 10
 #: Documents of the largest source that a block holds on average; it changes no result.
 BLOCK_ROWS = 10_000
 
@@ -100,26 +100,27 @@ def mixed_sources(
     """
     own = ["mix_tokens", "mix_epoch", "mix_order"]
     rows = docs.drop(*own).withColumns({"mix_tokens": token_count(F.col("text")), "mix_source": source_key()})
-    sources = stored(rows.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("rows")), "sources")
+    slim = stored(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "mix_source", "mix_tokens"), "tokens")
+    sources = stored(slim.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("rows")), "sources")
     size = sources.agg(F.sum("tokens"), F.count("*"), F.max("rows"), F.max("tokens")).first()
     total, count, most_rows, most_tokens = (x or 0 for x in size)
     if not total:
         return rows.drop("mix_source").withColumns({"mix_epoch": F.lit(0).cast("long"), "mix_order": F.lit("")}).limit(0)
     entropy = None if min_entropy_share is None else min_entropy_share * math.log(count)
     if cover:
-        alpha = exponent(sources.withColumn("tokens", F.col("tokens")), total, total, entropy, None)
+        alpha = exponent(sources, total, total, entropy, None)
         if max_repeats is not None and (least := sources.agg(F.min("tokens")).first()[0]) < most_tokens:
             alpha = max(alpha, 1 - math.log(max_repeats) / math.log(most_tokens / least))
     else:
         alpha = exponent(sources, total, budget or total, entropy, max_repeats)
     power = F.pow(F.col("tokens") / F.lit(float(total)), F.lit(alpha))
     z = sources.agg(F.sum(power)).first()[0]
-    weighted = sources.withColumn("weight", F.round(F.lit(PARTS) * power / F.lit(z)).cast("long"))
+    weighted = sources.withColumn("weight", F.greatest(F.round(F.lit(PARTS) * power / F.lit(z)).cast("long"), F.lit(1)))
     if cover:
         top = weighted.agg(F.max(F.col("tokens") / F.col("weight"))).first()[0]
         quota = F.greatest(F.col("tokens"), F.floor(F.col("weight") * F.lit(float(top))).cast("long"))
     else:
-        quota = F.floor(F.col("weight") * F.lit(budget or total) / F.lit(PARTS)).cast("long")
+        quota = F.expr(f"cast(cast(weight as decimal(19,0)) * cast({budget or total} as decimal(19,0)) div {PARTS} as bigint)")
     plan = stored(
         weighted.withColumn("quota", quota)
         .withColumn("passes", F.expr("quota div tokens"))
@@ -133,8 +134,10 @@ def mixed_sources(
         return F.md5(F.concat_ws("|", F.lit(seed), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
     # The last, partial pass: where the blocks begin, and which of them the budget reaches.
-    placed = rows.join(plan, "mix_source").withColumn("last_order", order(F.col("passes")))
-    placed = placed.withColumn("block", F.substring("last_order", 1, digits))
+    def laid(table: DataFrame) -> DataFrame:
+        return table.join(plan, "mix_source").withColumn("last_order", order(F.col("passes"))).withColumn("block", F.substring("last_order", 1, digits))
+
+    placed = laid(slim)
     blocks = (
         placed.where("rest > 0")
         .groupBy("mix_source", "block", "rest")
@@ -153,7 +156,7 @@ def mixed_sources(
     reach = blocks.join(inside, ["mix_source", "block"], "left").select(
         "mix_source", "block", F.coalesce("until", F.lit("g")).alias("until")  # "g" follows every digit
     )
-    decided = placed.join(reach, ["mix_source", "block"], "left")
+    decided = laid(rows).join(reach, ["mix_source", "block"], "left")
     extra = F.when(F.col("last_order") <= F.col("until"), 1).otherwise(0)
     copies = decided.withColumn("copies", F.col("passes") + extra).where("copies > 0")
     copies = copies.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))

@@ -21,8 +21,8 @@ from .common import batches, mixed, ship, text_bytes, word_hashes
 
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
-#: Words of a window of the base rule, and the least words of a repeat that counts.
-WINDOW = 8
+#: Words of a window of the base rule, and the least words of a repeat that the method counts.
+WINDOW, SPAN = 8, 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat")
 
 
@@ -73,8 +73,8 @@ def repeats(words: np.ndarray, document: np.ndarray, ends: np.ndarray) -> np.nda
     if not size:
         return longest
     levels = suffix_ranks(words, document, ends)
-    wanted = min(len(levels) - 1, WINDOW.bit_length() - 1)
-    if (1 << wanted) < WINDOW:  # nothing repeats as long as a window
+    wanted = SPAN.bit_length() - 1  # words that neighbours share at this level are too few to count, or just enough
+    if len(levels) <= wanted:
         return longest
     suffixes = np.empty(size, np.int64)
     suffixes[levels[-1]] = np.arange(size)
@@ -110,7 +110,7 @@ def measures(texts: list[bytes]) -> dict[str, np.ndarray]:
     document = np.repeat(np.arange(len(texts)), sizes)
     longest = repeats(words, document, np.repeat(bounds[1:], sizes))
     windowed = spans(np.minimum(longest, WINDOW), WINDOW)
-    covered = spans(longest, WINDOW)
+    covered = spans(longest, SPAN)
     found = {"n_words": sizes}
     found["word_chars"] = np.array([len(t.decode("utf-8", "replace")) - sum(map(t.count, SPACES)) for t in texts], np.int64)
     found["n_symbols"] = np.array([sum(map(t.count, SYMBOLS)) for t in texts], np.int64)
@@ -119,7 +119,7 @@ def measures(texts: list[bytes]) -> dict[str, np.ndarray]:
     found["covered_words"] = np.bincount(document, covered, len(texts)).astype(np.int64)
     most = np.zeros(len(texts), np.int64)
     np.maximum.at(most, document, longest)
-    found["longest_repeat"] = most
+    found["longest_repeat"] = np.where(most >= SPAN, most, 0)
     return found
 
 
@@ -143,7 +143,7 @@ def repetition_rules(
 
     base_failed: fewer than `min_words` words, or more than `max_repeat_words`
     of them in repeated 8-word windows. The method rejects a document of which
-    repeats of 8 words or more cover more than `max_covered`, or that has a
+    repeats of 5 words or more cover more than `max_covered`, or that has a
     repeat of more than `max_longest` words.
     """
     ship(docs.sparkSession)
