@@ -281,6 +281,8 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.9, shard_rows: int = 40
         left = left.sort_values("node")
         nodes, units, home, held = left["node"].to_numpy(), _matrix(left["unit"]), left["home"].to_numpy(), left["held"].to_numpy()
         n = len(nodes)
+        if right.empty:
+            return pd.DataFrame({x: np.zeros(0, np.int64) for x in ("a", "b", "links")})
         u, v = np.searchsorted(nodes, right["u"].to_numpy()), np.searchsorted(nodes, right["v"].to_numpy())
         found = [searched(units, u, v, part, cosine) for part in np.array_split(np.arange(n), max(1, n // 500))]
         a, b = (np.concatenate(x) for x in zip(*found))
@@ -348,17 +350,19 @@ def audited(vectors: DataFrame, result: DataFrame, cosine: float = 0.9, every: i
     blocks = max(1, math.ceil(rows.where(F.col("vec_id") % every == 0).count() / block))
     queries = rows.where(F.col("vec_id") % every == 0).select(F.col("row").alias("q"), "unit", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
     parts = max(1, math.ceil(rows.count() / block))
-    spread = rows.select("row", "unit", F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"))
+    spread = rows.select(F.col("row").alias("r"), F.col("unit").alias("other"), F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"))
     left = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("part", F.col("part").cast("long"))
     right = spread.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("block", F.col("block").cast("long"))
 
     def count(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        if one.empty or two.empty:
+            return pd.DataFrame({"q": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
         totals = np.zeros(len(one), np.int64)
         for size, own in one.groupby(one["unit"].map(len)):
-            other = two[two["unit"].map(len) == size]
-            if len(other):
-                near = _matrix(own["unit"]) @ _matrix(other["unit"]).T >= cosine
-                near &= own["q"].to_numpy()[:, None] != other["row"].to_numpy()[None, :]
+            rest = two[two["other"].map(len) == size]
+            if len(rest):
+                near = _matrix(own["unit"]) @ _matrix(rest["other"]).T >= cosine
+                near &= own["q"].to_numpy()[:, None] != rest["r"].to_numpy()[None, :]
                 totals[one.index.get_indexer(own.index)] = near.sum(1)
         return pd.DataFrame({"q": one["q"], "n": totals})
 
