@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -36,12 +37,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table in the shared folder and reads it back: a cut in the lineage that outlives executors."""
+    """Writes a table in the shared folder and reads it back: a cut in the lineage that outlives executors.
+
+    Shuffle files of what led to it go when the driver collects its garbage, so it is asked to.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete, spark, path)
     back = spark.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     back.scratch_path = path
     return back
 

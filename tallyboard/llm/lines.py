@@ -2,7 +2,7 @@
 
 Lines are normalised: lower case, digits as 0, words of letters and digits
 alone. Equal normalised lines are one. The others are compared by the SimHash
-of their words: of the 64 bits, cut into blocks, at most `DISTANCE` may differ,
+of their distinct words: of the 64 bits, cut into blocks, at most `DISTANCE` may differ,
 so some choice of blocks agrees, and lines are joined on every such choice.
 There are as many blocks as keep the keys longer than the number of lines asks.
 Candidates are verified by the edit distance of their words. Of each connected
@@ -25,21 +25,34 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, dropped, sequence_hash, ship, stored, text_bytes
+from .common import batches, dropped, mixed, ship, stored, text_bytes
 from .links import linked
 from .near import text_key
 
 DISTANCE = 3
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Raw words whose normal form a Python worker remembers; beyond it the memory starts afresh.
 REMEMBERED = 500_000
 
 
+#: ASCII bytes in normal form; those that are neither letters nor digits go.
+_NORMAL = bytes(ord("0") if chr(i).isdigit() else ord(chr(i).lower()) for i in range(128)) + bytes(range(128, 256))
+_GONE = bytes(i for i in range(128) if not chr(i).isalnum())
+
+
 class NormalWords(dict):
     """Hashes of normalised words by raw word; 0 where nothing is left."""
 
     def __missing__(self, word: bytes) -> int:
-        text = "".join("0" if x.isdigit() else x for x in word.decode("utf-8", "replace").lower() if x.isalnum())
-        value = self[word] = xxhash.xxh3_64_intdigest(text) if text else 0
+        if word.isascii():
+            normal = word.translate(_NORMAL, _GONE)
+        else:
+            text = word.decode("utf-8", "replace").lower()
+            if not text.isalpha():
+                text = "".join("0" if x.isdigit() else x for x in text if x.isalnum())
+            normal = text.encode()
+        value = self[word] = xxhash.xxh3_64_intdigest(normal) if normal else 0
         return value
 
 
@@ -53,11 +66,26 @@ def line_words(line: bytes) -> np.ndarray:
     return found[found != 0]
 
 
-def simhashes(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The SimHash of each run of words; the sizes are positive."""
-    bits = np.unpackbits(words.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    starts = np.r_[0, np.cumsum(sizes)[:-1]]
-    votes = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+#: The bits of a byte as eight counters of a byte.
+_COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy().view(np.uint64).ravel()
+
+
+def simhashes(words: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """The SimHash of the distinct words of each line; `line` is the number of each word's line, in order.
+
+    Counting a word once keeps the common words of a language from ruling the long lines.
+    """
+    order = np.lexsort((words, line))
+    words, line = words[order], line[order]
+    new = np.r_[True, (words[1:] != words[:-1]) | (line[1:] != line[:-1])]
+    words, line = words[new], line[new]
+    sizes = np.bincount(line, minlength=lines)
+    begins = np.cumsum(sizes) - sizes
+    place = np.arange(len(words)) - np.repeat(begins, sizes)
+    parts = np.flatnonzero(place % 255 == 0)  # so many fit a counter
+    spread = _COUNTERS[words.astype(">u8").view(np.uint8).reshape(-1, 8)]
+    votes = np.add.reduceat(spread, parts, axis=0).view(np.uint8)
+    votes = np.add.reduceat(votes, np.searchsorted(parts, begins), axis=0, dtype=np.int32)
     return np.packbits(2 * votes > sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
@@ -122,27 +150,38 @@ def all_lines(docs: DataFrame, min_words: int) -> DataFrame:
         for batch in batches(iterator, 1 << 20):
             if len(_normal) > REMEMBERED:
                 _normal.clear()
-            at, words = [], []
-            for row, text in enumerate(batch.column(0).to_pylist()):
-                for number, line in enumerate(text.split(b"\n")):
-                    own = line_words(line)
-                    if len(own) >= min_words:
-                        at.append((row, number))
-                        words.append(own)
-            if not at:
+            texts = batch.column(0).to_pylist()
+            data = b"\n".join(texts) + b"\n"
+            raw = np.frombuffer(data, np.uint8)
+            ends = np.flatnonzero(raw == 10)
+            text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+            row = np.searchsorted(text_ends, ends)
+            number = np.arange(len(ends)) - np.searchsorted(ends, np.r_[-1, text_ends[:-1]] + 1)[row]
+            space = _SPACE[raw]
+            at = np.flatnonzero(~space & np.r_[True, space[:-1]])
+            words = data.split()
+            hashes = np.fromiter(map(_normal.__getitem__, words), np.uint64, len(words))
+            line = np.searchsorted(ends, at)
+            hashes, line = hashes[hashes != 0], line[hashes != 0]
+            sizes = np.bincount(line, minlength=len(ends))
+            long = sizes >= min_words
+            kept = long[line]
+            hashes, line = hashes[kept], (np.cumsum(long) - 1)[line[kept]]
+            sizes, row, number = sizes[long], row[long], number[long]
+            if not len(sizes):
                 continue
-            rows, numbers = (np.array(x) for x in zip(*at))
-            sizes = np.array([len(x) for x in words])
-            high, low = zip(*(sequence_hash(x.tobytes()) for x in words))
-            taken = pa.array(rows)
+            begins = np.cumsum(sizes) - sizes
+            place = np.arange(len(hashes)) - np.repeat(begins, sizes)
+            high, low = (np.add.reduceat(mixed(hashes ^ mixed(place.astype(np.uint64) + np.uint64(seed))), begins) for seed in (1, 1 << 40))
+            taken = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1).take(taken),
                     batch.column(2).take(taken),
-                    pa.array(numbers.astype(np.int32)),
-                    pa.array(high, pa.int64()),
-                    pa.array(low, pa.int64()),
-                    pa.array(simhashes(np.concatenate(words), sizes).view(np.int64)),
+                    pa.array(number.astype(np.int32)),
+                    pa.array(high.view(np.int64)),
+                    pa.array(low.view(np.int64)),
+                    pa.array(simhashes(hashes, line, len(sizes)).view(np.int64)),
                     pa.array(sizes.astype(np.int32)),
                 ],
                 names=["doc_id", "text_key", "line", "high", "low", "simhash", "n_words"],

@@ -21,7 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches, dropped, gram_hashes, sequence_hash, ship, stored, text_bytes, word_hashes
@@ -58,28 +58,28 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def letters(hashes: np.ndarray) -> str:
-    """A word as one letter each."""
-    return ((hashes >> np.uint64(24)) % np.uint64(LETTERS) + np.uint64(1)).astype("<u2").tobytes().decode("utf-16-le")
+    """A word as one letter each; a zero hash is no word and has a letter of its own."""
+    return np.where(hashes == 0, 0, (hashes >> np.uint64(24)) % np.uint64(LETTERS) + np.uint64(1)).astype("<u2").tobytes().decode("utf-16-le")
 
 
-def located(texts: list[str], places: list[list[int]]) -> list[np.ndarray]:
-    """Where any phrase that starts at one of the places of any text occurs, in every text."""
+def located(text: str, phrases: set[str]) -> np.ndarray:
+    """Where any of the phrases occurs in the text of a shard."""
     import ahocorasick
 
     shard = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for text, own in zip(texts, places):
-        for at in own:
-            shard.add_word(text[at : at + PHRASE])
+    for phrase in phrases:
+        shard.add_word(phrase)
+    if not len(shard):
+        return np.empty(0, np.int64)
     shard.make_automaton()
-    return [np.fromiter((end for end, _ in shard.iter(text)), np.int64) - (PHRASE - 1) for text in texts]
+    return np.fromiter((end for end, _ in shard.iter(text)), np.int64) - (PHRASE - 1)
 
 
 def around(size: int, hits: np.ndarray, window: int) -> np.ndarray:
-    """The windows that hold a phrase found at one of the hits."""
-    last = size - window + 1
-    edges = np.zeros(last + 1, np.int64)
-    np.add.at(edges, np.clip(hits - (window - PHRASE), 0, last), 1)
-    np.add.at(edges, np.clip(hits + 1, 0, last), -1)
+    """The windows of a shard that hold a phrase found at one of the hits."""
+    last = max(size - window + 1, 0)
+    edges = np.bincount(np.clip(hits - (window - PHRASE), 0, last), minlength=last + 1)
+    edges = edges - np.bincount(np.clip(hits + 1, 0, last), minlength=last + 1)
     return np.flatnonzero(np.cumsum(edges[:-1]) > 0)
 
 
@@ -139,23 +139,32 @@ def _windows(found: DataFrame, window: int) -> DataFrame:
 
     def locate(iterator):
         for batch in batches(iterator, 4 << 20):
-            hashed = [word_hashes(words, len(words)) for words in map(bytes.split, batch.column(0).to_pylist())]
-            hits = located([letters(x) for x in hashed], batch.column(3).to_pylist())
-            for row, (own, at) in enumerate(zip(hashed, hits)):
-                places = around(len(own), at, window)
-                if not len(places):
-                    continue
-                repeated = pa.array(np.full(len(places), row))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(gram_hashes(own, window)[places].view(np.int64)),
-                        pa.array(gram_hashes(own, window, 0xD6E8FEB86659FD93)[places].view(np.int64)),
-                        batch.column(1).take(repeated),
-                        batch.column(2).take(repeated),
-                        pa.array(places.astype(np.int32)),
-                    ],
-                    names=["first", "second", "doc_id", "text_key", "place"],
-                )
+            split = [text.split() for text in batch.column(0).to_pylist()]
+            sizes = np.array([len(words) + 1 for words in split])  # a document ends in a letter of its own
+            begins = np.cumsum(sizes) - sizes
+            hashes = np.zeros(int(sizes.sum()), np.uint64)
+            for begin, words in zip(begins.tolist(), split):
+                hashes[begin : begin + len(words)] = word_hashes(words, len(words))
+            ends = begins + sizes - 1
+            text = letters(hashes)
+            own = batch.column(3)
+            starts = np.repeat(begins, np.diff(own.offsets.to_numpy())) + own.flatten().to_numpy()
+            phrases = {text[at : at + PHRASE] for at in starts.tolist()}
+            places = around(len(hashes), located(text, phrases), window)
+            row = np.searchsorted(begins, places, side="right") - 1
+            whole = places + window <= ends[row]
+            places, row = places[whole], row[whole]
+            taken = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(gram_hashes(hashes, window)[places].view(np.int64)),
+                    pa.array(gram_hashes(hashes, window, 0xD6E8FEB86659FD93)[places].view(np.int64)),
+                    batch.column(1).take(taken),
+                    batch.column(2).take(taken),
+                    pa.array((places - begins[row]).astype(np.int32)),
+                ],
+                names=["first", "second", "doc_id", "text_key", "place"],
+            )
 
     return found.mapInArrow(locate, "first long, second long, doc_id long, text_key long, place int")
 
@@ -173,12 +182,14 @@ def repeated_windows(docs: DataFrame, window: int = 20) -> tuple[DataFrame, Data
     recurring = marks.groupBy("anchors").agg(F.count("*").alias("n")).where("n > 1").select("anchors")
     places = marks.join(recurring, "anchors").groupBy("row").agg(F.collect_list("places").alias("places"))
     asked = scanned.select("row", "doc_id", "text_key").join(places, "row")
-    windows = stored(_windows(_with_text(docs, asked, "places"), window), "windows")
-    here = F.struct("doc_id", "text_key", "place")
-    earliest = windows.groupBy("first", "second").agg(F.min(here).alias("earliest"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = windows.join(earliest, ["first", "second"]).where(~here.eqNullSafe(F.col("earliest")))
+    asked = stored(asked, "asked")
+    windows = _windows(_with_text(docs, asked, "places"), window)
+    # Documents with the same words are one here, so a window has a row for each text that holds it. Rows are
+    # numbered as they stream by: no group is held together.
+    order = Window.partitionBy("first", "second").orderBy("doc_id", "text_key", "place")
+    later = windows.withColumn("n", F.row_number().over(order)).where("n > 1")
     starts = stored(later.groupBy("doc_id", "text_key").agg(F.collect_list("place").alias("starts")), "starts")
-    dropped(windows)
+    dropped(asked)
     return known, starts
 
 

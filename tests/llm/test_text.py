@@ -171,7 +171,7 @@ def brute_lines(rows):
         for n, line in enumerate(text.split("\n")):
             own = lines.line_words(line.encode())
             if len(own) >= 5:
-                found.append((doc, n, own, int(lines.simhashes(own, np.array([len(own)]))[0])))
+                found.append((doc, n, own, int(lines.simhashes(own, np.zeros(len(own), int), 1)[0])))
     links = []
     for x in range(len(found)):
         for y in range(x):
@@ -204,6 +204,16 @@ def test_fuzzy_lines(docs, monkeypatch, leaders, blocks):
         assert r.text == "\n".join(kept) and r.lines_removed == len(want.get(r.doc_id, ()))
 
 
+def test_simhash_by_bits():
+    draw = random.Random(8)
+    own = [[draw.getrandbits(64) for _ in range(n)] * 2 for n in (1, 5, 254, 255, 256, 700)]
+    flat = np.array([x for line in own for x in line], np.uint64)
+    got = lines.simhashes(flat, np.repeat(np.arange(len(own)), [len(x) for x in own]), len(own))
+    for line, value in zip(own, got.tolist()):
+        line = set(line)
+        assert value == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in line) > len(line))
+
+
 def test_enough_bits_for_the_lines():
     for n in (0, 1, 10**6, 10**9, 10**12):
         b = lines.blocks_for(n)
