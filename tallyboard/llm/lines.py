@@ -1,7 +1,6 @@
 """Fuzzy deduplication of lines.
 
-Lines are normalised: lower case, digits as 0, words of letters and digits
-alone. Equal normalised lines are one. The others are compared by the SimHash
+Lines are normalised: lower case, digits as 0, no ASCII punctuation. Equal normalised lines are one. The others are compared by the SimHash
 of their distinct words: of the 64 bits, cut into blocks, at most `DISTANCE` may differ,
 so some choice of blocks agrees, and lines are joined on every such choice.
 There are as many blocks as keep the keys longer than the number of lines asks.
@@ -18,52 +17,35 @@ from __future__ import annotations
 
 import itertools
 import math
+import string
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, dropped, mixed, ship, stored, text_bytes
+from .common import batches, dropped, mixed, ship, stored, text_bytes, word_hashes
 from .links import linked
 from .near import text_key
 
 DISTANCE = 3
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-#: Raw words whose normal form a Python worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 500_000
 
 
-#: ASCII bytes in normal form; those that are neither letters nor digits go.
-_NORMAL = bytes(ord("0") if chr(i).isdigit() else ord(chr(i).lower()) for i in range(128)) + bytes(range(128, 256))
-_GONE = bytes(i for i in range(128) if not chr(i).isalnum())
+#: ASCII digits as 0; ASCII punctuation goes.
+_DIGITS = bytes(ord("0") if chr(i) in string.digits else i for i in range(256))
+_PUNCTUATION = string.punctuation.encode()
 
 
-class NormalWords(dict):
-    """Hashes of normalised words by raw word; 0 where nothing is left."""
-
-    def __missing__(self, word: bytes) -> int:
-        if word.isascii():
-            normal = word.translate(_NORMAL, _GONE)
-        else:
-            text = word.decode("utf-8", "replace").lower()
-            if not text.isalpha():
-                text = "".join("0" if x.isdigit() else x for x in text if x.isalnum())
-            normal = text.encode()
-        value = self[word] = xxhash.xxh3_64_intdigest(normal) if normal else 0
-        return value
-
-
-_normal = NormalWords()
+def normalised(text: bytes) -> bytes:
+    return text.decode("utf-8", "replace").lower().encode().translate(_DIGITS, _PUNCTUATION)
 
 
 def line_words(line: bytes) -> np.ndarray:
     """The normalised words of a line as hashes."""
-    words = line.split()
-    found = np.fromiter(map(_normal.__getitem__, words), np.uint64, len(words))
-    return found[found != 0]
+    words = normalised(line).split()
+    return word_hashes(words, len(words))
 
 
 #: The bits of a byte as eight counters of a byte.
@@ -71,14 +53,14 @@ _COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy(
 
 
 def simhashes(words: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-    """The SimHash of the distinct words of each line; `line` is the number of each word's line, in order.
+    """The SimHash of the distinct words of each line, by 40 bits of their hashes; `line` numbers each word's line.
 
     Counting a word once keeps the common words of a language from ruling the long lines.
     """
-    order = np.lexsort((words, line))
-    words, line = words[order], line[order]
-    new = np.r_[True, (words[1:] != words[:-1]) | (line[1:] != line[:-1])]
-    words, line = words[new], line[new]
+    keys = (line.astype(np.uint64) << np.uint64(40)) | (words >> np.uint64(24))
+    keys.sort()
+    keys = keys[np.r_[True, keys[1:] != keys[:-1]]]
+    line, words = (keys >> np.uint64(40)).astype(np.int64), mixed(keys & np.uint64(2**40 - 1))
     sizes = np.bincount(line, minlength=lines)
     begins = np.cumsum(sizes) - sizes
     place = np.arange(len(words)) - np.repeat(begins, sizes)
@@ -148,9 +130,8 @@ def all_lines(docs: DataFrame, min_words: int) -> DataFrame:
 
     def measure(iterator):
         for batch in batches(iterator, 1 << 20):
-            if len(_normal) > REMEMBERED:
-                _normal.clear()
             texts = batch.column(0).to_pylist()
+            texts = [normalised(text) for text in texts]
             data = b"\n".join(texts) + b"\n"
             raw = np.frombuffer(data, np.uint8)
             ends = np.flatnonzero(raw == 10)
@@ -160,9 +141,8 @@ def all_lines(docs: DataFrame, min_words: int) -> DataFrame:
             space = _SPACE[raw]
             at = np.flatnonzero(~space & np.r_[True, space[:-1]])
             words = data.split()
-            hashes = np.fromiter(map(_normal.__getitem__, words), np.uint64, len(words))
+            hashes = word_hashes(words, len(words))
             line = np.searchsorted(ends, at)
-            hashes, line = hashes[hashes != 0], line[hashes != 0]
             sizes = np.bincount(line, minlength=len(ends))
             long = sizes >= min_words
             kept = long[line]
@@ -208,8 +188,10 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> Da
     )
     blocks = blocks_for(distinct.count())
     keyed = distinct.select("node", "simhash", "n_words", F.explode(block_keys(F.col("simhash"), blocks)).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1").select("key")
-    postings = stored(keyed.join(shared, "key").select("key", "node", "simhash", "n_words"), "postings")
+    # Equal lines are one here; the holders of a key are counted as they stream by.
+    order = Window.partitionBy("key").orderBy("node")
+    sided = keyed.withColumns({"before": F.lag("node").over(order), "after": F.lead("node").over(order)})
+    postings = stored(sided.where("before is not null or after is not null").select("key", "node", "simhash", "n_words"), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
         candidates = stored(pairs, "candidates")
