@@ -188,10 +188,9 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> Da
     )
     blocks = blocks_for(distinct.count())
     keyed = distinct.select("node", "simhash", "n_words", F.explode(block_keys(F.col("simhash"), blocks)).alias("key"))
-    # Equal lines are one here; the holders of a key are counted as they stream by.
-    order = Window.partitionBy("key").orderBy("node")
-    sided = keyed.withColumns({"before": F.lag("node").over(order), "after": F.lead("node").over(order)})
-    postings = stored(sided.where("before is not null or after is not null").select("key", "node", "simhash", "n_words"), "postings")
+    # Equal lines are one here; the buffer of a key with many holders goes to disk.
+    counted = keyed.withColumn("holders", F.count("*").over(Window.partitionBy("key")))
+    postings = stored(counted.where("holders > 1").select("key", "node", "simhash", "n_words"), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
         candidates = stored(pairs, "candidates")

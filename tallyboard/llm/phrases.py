@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, dropped, gram_hashes, sequence_hash, ship, stored, text_bytes, word_hashes
+from .common import batches, gram_hashes, sequence_hash, ship, stored, text_bytes, word_hashes
 from .near import text_key
 
 #: Words of an anchor phrase.
@@ -127,15 +127,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"))
 
 
-def _with_text(docs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    """The texts of the documents of `rows`, one row each, with a column of theirs."""
-    asked = rows.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), column)
+def _with_text(docs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """The texts of the documents of `rows`, with columns of theirs."""
+    asked = rows.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), *columns)
     on = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))
-    return _texts(docs).join(asked, on).select(text_bytes().alias("text"), "doc_id", "text_key", column)
+    return _texts(docs).join(asked, on).select(text_bytes().alias("text"), "doc_id", "text_key", *columns)
 
 
 def _windows(found: DataFrame, window: int) -> DataFrame:
-    """(first, second, doc_id, text_key, place) of all windows around a recurring phrase."""
+    """(first, second, number, place) of all windows around a recurring phrase."""
 
     def locate(iterator):
         for batch in batches(iterator, 4 << 20):
@@ -159,14 +159,13 @@ def _windows(found: DataFrame, window: int) -> DataFrame:
                 [
                     pa.array(gram_hashes(hashes, window)[places].view(np.int64)),
                     pa.array(gram_hashes(hashes, window, 0xD6E8FEB86659FD93)[places].view(np.int64)),
-                    batch.column(1).take(taken),
-                    batch.column(2).take(taken),
+                    batch.column(4).take(taken),
                     pa.array((places - begins[row]).astype(np.int32)),
                 ],
-                names=["first", "second", "doc_id", "text_key", "place"],
+                names=["first", "second", "number", "place"],
             )
 
-    return found.mapInArrow(locate, "first long, second long, doc_id long, text_key long, place int")
+    return found.mapInArrow(locate, "first long, second long, number long, place int")
 
 
 def repeated_windows(docs: DataFrame, window: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -179,18 +178,17 @@ def repeated_windows(docs: DataFrame, window: int = 20) -> tuple[DataFrame, Data
     known = plain.select("doc_id", "text_key", "n_words", "all_sha256", same.alias("is_first"))
     alone = scanned.where(f"n_words >= {window}").join(first.select(F.col("of.row").alias("row")), "row", "left_semi")
     marks = alone.select("row", F.explode(F.arrays_zip("anchors", "places")).alias("m")).select("row", "m.anchors", "m.places")
-    recurring = marks.groupBy("anchors").agg(F.count("*").alias("n")).where("n > 1").select("anchors")
-    places = marks.join(recurring, "anchors").groupBy("row").agg(F.collect_list("places").alias("places"))
-    asked = scanned.select("row", "doc_id", "text_key").join(places, "row")
-    asked = stored(asked, "asked")
-    windows = _windows(_with_text(docs, asked, "places"), window)
-    # Documents with the same words are one here, so a window has a row for each text that holds it. Rows are
-    # numbered as they stream by: no group is held together.
-    order = Window.partitionBy("first", "second").orderBy("doc_id", "text_key", "place")
-    later = windows.withColumn("n", F.row_number().over(order)).where("n > 1")
-    starts = stored(later.groupBy("doc_id", "text_key").agg(F.collect_list("place").alias("starts")), "starts")
-    dropped(asked)
-    return known, starts
+    # Documents with the same words are one here, so an anchor or a window has a row for each place in another text.
+    held = marks.withColumn("holders", F.count("*").over(Window.partitionBy("anchors"))).where("holders > 1")
+    places = held.groupBy("row").agg(F.collect_list("places").alias("places"))
+    asked = scanned.select("row", "doc_id", "text_key").join(places, "row").orderBy("doc_id", "text_key")
+    asked = stored(asked.withColumn("number", F.monotonically_increasing_id()), "asked")  # numbers follow the order
+    windows = _windows(_with_text(docs, asked, "places", "number"), window)
+    # Ranked as they stream by: no group is held together. Rows of one document tie.
+    order = Window.partitionBy("first", "second").orderBy("number", "place")
+    later = windows.withColumn("n", F.rank().over(order)).where("n > 1")
+    starts = stored(later.groupBy("number").agg(F.collect_list("place").alias("starts")), "starts")
+    return known, asked.select("doc_id", "text_key", "number").join(starts, "number")
 
 
 def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:

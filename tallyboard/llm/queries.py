@@ -68,7 +68,9 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the lines there were and how many went, and a digest of the text that is left."""
     docs = _table(spark, sf_dir, "documents")
-    counted = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long"))
+    text = F.coalesce("text", F.lit(""))
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    counted = docs.withColumn("n_lines", (breaks + 1).cast("long"))
     left = lines.without_repeated_lines(counted)
     return left.select("doc_id", "n_lines", F.col("lines_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

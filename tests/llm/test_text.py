@@ -81,6 +81,13 @@ def test_a_chain_of_near_copies_is_one_group(docs, monkeypatch):
     assert {c for _, c in want.values()} == {0}
 
 
+def test_a_repeated_row_that_shares_a_passage(docs):
+    passage = [f"p{i}" for i in range(30)]
+    one, two = " ".join(["a", *passage, "b"]), " ".join(["c", *passage, "d"])
+    got = sorted((r.doc_id, r.n_removed) for r in phrases.without_repeats(docs([(1, one), (1, one), (2, two), (2, two)])).collect())
+    assert got == [(1, 0), (1, 0), (2, 30), (2, 30)]
+
+
 def test_near_duplicates_of_odd_rows(docs):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [*ODD, (20, text), (21, text), (21, text), (None, text + " z")]
