@@ -55,7 +55,7 @@ def customer_spec() -> ReportSpec:
     return d.orders_spec(
         name="revenue",
         source_columns={"date": "o_orderdate", "segment": "c_mktsegment", "unit": "c_name"},
-        measure="o_totalprice",
+        measure="o_totalprice", measure_type="decimal(18,2)",
         measure_label="revenue",
         excluded_unit="Customer#000000007",
     )
@@ -134,7 +134,7 @@ def scoreboard_straddling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scoreboard_sum(spark: SparkSession, folder: str) -> DataFrame:
-    return _as_double(_nation_board(spark, folder, measure="o_totalprice"))
+    return _as_double(_nation_board(spark, folder, measure="o_totalprice", measure_type="decimal(18,2)"))
 
 
 def scoreboard_filtered(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,7 +272,7 @@ def backfill_sum(spark: SparkSession, folder: str) -> DataFrame:
     spec = d.orders_spec(
         source_columns={"date": "o_orderdate", "segment": "c_mktsegment", "unit": "r_name"},
         excluded_unit="ASIA",
-        measure="o_totalprice",
+        measure="o_totalprice", measure_type="decimal(18,2)",
     )
     targets = clean_targets(spec, d.region_targets(spark, folder))
     extract = clean_extract(spec, d.orders_by_region(spark, folder))

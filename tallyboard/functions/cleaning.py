@@ -43,14 +43,16 @@ def as_number(value: Column, data_type: T.DataType) -> Column:
 def _shape(pattern: str) -> str | None:
     """Regular expression of the texts a purely numeric date pattern can read;
     None for patterns with names, fractions or optional parts."""
-    runs = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", pattern)
-    for letter, more, rest in runs:
+    runs = re.findall(r"'([^']+)'|([A-Za-z])(\2*)|([^A-Za-z']+|')", pattern)
+    for _, letter, more, rest in runs:
         month_name = letter == "M" and len(more) >= 2
-        if month_name or letter not in "yMdHms" or set(rest) & set("'[]{}#"):
+        if month_name or letter not in "yMdHmsS" or set(rest) & set("'[]{}#"):
             return None
     parts = [
-        (r"\d{%d}" % (1 + len(more)) if more else r"\d{1,2}") if letter else re.escape(rest)
-        for letter, more, rest in runs
+        re.escape(quoted or rest)
+        if not letter
+        else r"\d{%d}" % (1 + len(more)) if more or letter == "S" else r"\d{1,2}"
+        for quoted, letter, more, rest in runs
     ]
     return "^" + "".join(parts) + "$"
 
@@ -68,6 +70,5 @@ def as_moment(value: Column, data_type: T.DataType, formats: Sequence[str]) -> C
     reach the scan; text is read with the declared formats, first match wins."""
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return value
-    # The text is referred to several times per format, so only a plain trim.
-    text = F.trim(value.cast("string"))
+    text = stripped(value)
     return F.coalesce(*(_reading(text, pattern) for pattern in formats)).cast("timestamp_ntz")

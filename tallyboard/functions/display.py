@@ -23,9 +23,19 @@ _SCALE = 2**60
 
 
 def _grouped(value: Column, pattern: str) -> Column:
-    whole = F.rint(value.cast("double")).try_cast("bigint")
+    number = value.cast("double")
+    whole = F.rint(number).try_cast("bigint")
     text = F.translate(F.format_string(pattern, whole), ",", THOUSANDS)
-    return F.when(whole.isNull(), NO_VALUE).otherwise(text)
+    # Numbers this large may not be exact, or not fit, as doubles or longs.
+    digits = F.regexp_replace(value.try_cast("decimal(38,0)").cast("string"), r"(?<=\d)(?=(?:\d{3})+$)", THOUSANDS)
+    sign = F.when((number > 0) & F.lit("+" in pattern), "+").otherwise("")
+    large = F.concat(sign, F.coalesce(digits, value.cast("string")))
+    binary = F.typeof(value).isin("double", "float")  # their longs are exact
+    return (
+        F.when(number.isNull() | F.isnan(number), NO_VALUE)
+        .when((F.abs(number) < _EXACT_LIMIT) | (binary & whole.isNotNull()), text)
+        .otherwise(large)
+    )
 
 
 def integer_text(value: Column) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyboard.errors import SpecError
 from tallyboard.operators.board import align, board, sort_board
 from tallyboard.operators.quality import run_metrics, warnings
 from tallyboard.operators.tally import activity_by_report, filter_headers, on_board, tally
@@ -42,16 +43,37 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 def shared_extracts(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs]
 ) -> list[tuple[list[ReportSpec], DataFrame]]:
-    """The distinct clean extracts, each with the reports that read it."""
-    groups: dict[tuple, list[ReportSpec]] = {}
+    """The distinct clean extracts, each with the reports that read it: equal
+    declarations share one only where the delivered data is the same."""
+    refuse_repeated(specs)
+    groups: list[list[ReportSpec]] = []
     for spec in specs:
-        groups.setdefault(spec.extract_key, []).append(spec)
+        for members in groups:
+            if members[0].extract_key == spec.extract_key and same_data(
+                inputs[members[0].name].extract, inputs[spec.name].extract
+            ):
+                members.append(spec)
+                break
+        else:
+            groups.append([spec])
     return [
         (members, clean_extract(members[0], inputs[members[0].name].extract, filter_headers(members)))
-        for members in groups.values()
+        for members in groups
     ]
 
 
+def same_data(one: DataFrame, other: DataFrame) -> bool:
+    return one is other or one.sameSemantics(other)
+
+
+def refuse_repeated(specs: Sequence[ReportSpec]) -> None:
+    """A report given twice would count twice."""
+    names = [spec.name for spec in specs]
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise SpecError(f"reports given more than once: {twice}")
+
+
 def tally_groups(
     specs: Sequence[ReportSpec],
     inputs: Mapping[str, RawInputs],

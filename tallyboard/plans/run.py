@@ -24,7 +24,7 @@ from tallyboard.plans.many import (
     tally_groups,
     targets_by_report,
 )
-from tallyboard.sinks.publish import PublishOutcome, check_destination, publish
+from tallyboard.sinks.publish import PublishOutcome, check_destination, plan, publish
 from tallyboard.sinks.weekly import write_findings, write_partitions, write_report
 from tallyboard.sources.datasets import open_feed
 from tallyboard.sources.extract import clean_extract, refuse_unreadable_dates
@@ -126,6 +126,10 @@ def run(
     targets = targets_by_report(specs, inputs)
     entries = ledger(groups, targets)
     rows = boards(specs, entries).withColumn("week", F.lit(week))
+    produced = {s.name: _block_source(s, inputs[s.name], rows, week) for s in specs}
+    rules = [rule for rule in book.publish if names is None or rule.report in produced]
+    if destination is not None:
+        plan(spark, rules, produced, destination, template)  # a bad rule stops the run before it writes
     write_partitions(rows, f"{out}/scoreboard")
     write_partitions(
         run_metrics(entries, report_list(spark, specs), week), f"{out}/run_metrics"
@@ -140,8 +144,6 @@ def run(
 
     published = None
     if destination is not None:
-        produced = {s.name: _block_source(s, inputs[s.name], rows, week) for s in specs}
-        rules = [rule for rule in book.publish if names is None or rule.report in produced]
         published = publish(spark, rules, produced, destination, template)
 
     return RunOutcome(

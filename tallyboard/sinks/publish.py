@@ -69,28 +69,45 @@ def publish(
     from the destination are created empty in its image; the template itself is
     only ever read.
     """
+    planned, warnings = plan(spark, rules, reports, destination, template)
+    done = []
+    for rule, table, model, rows in planned:
+        if model != table:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} LIKE {model}")
+        rows.write.insertInto(table, overwrite=True)
+        done.append(Published(rule.target, rule.block, rule.report, spark.table(table).count()))
+    return PublishOutcome(tuple(done), tuple(warnings))
+
+
+def plan(
+    spark: SparkSession,
+    rules: Iterable[PublishRule],
+    reports: Mapping[str, Blocks],
+    destination: str,
+    template: str | None = None,
+) -> tuple[list[tuple[PublishRule, str, str, DataFrame]], list[str]]:
+    """Every rule that can be carried out, with its table, the table it is
+    modelled on and its rows, checked before anything is written; and what is
+    reported and skipped."""
     check_destination(spark, destination, template)
-    done, warnings = [], []
+    planned, warnings = [], []
     for rule in rules:
         if rule.report not in reports:
             warnings.append(f"{rule.target}: report {rule.report!r} was not produced")
             continue
-        table = _quoted(destination, rule.target)
-        if template is not None and spark.catalog.tableExists(_quoted(template, rule.target)):
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table} LIKE {_quoted(template, rule.target)}"
-            )
-        if not spark.catalog.tableExists(table):
+        table = model = _quoted(destination, rule.target)
+        if template is not None and not spark.catalog.tableExists(table):
+            model = _quoted(template, rule.target)
+        if not spark.catalog.tableExists(model):
             present = sorted(t.name for t in spark.catalog.listTables(destination))
             warnings.append(f"{rule.target}: no such table in {destination}, present: {present}")
             continue
         rows = reports[rule.report](rule.block)
-        expected = spark.table(table).columns
+        expected = spark.table(model).columns
         if len(expected) != len(rows.columns):
             raise PublishError(
                 f"block {rule.block!r} has columns {rows.columns}, "
                 f"target {rule.target!r} has {expected}"
             )
-        rows.write.insertInto(table, overwrite=True)
-        done.append(Published(rule.target, rule.block, rule.report, spark.table(table).count()))
-    return PublishOutcome(tuple(done), tuple(warnings))
+        planned.append((rule, table, model, rows))
+    return planned, warnings

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyboard.errors import ContractError, LandingError
-from tallyboard.sources.landing import newest_file
+from tallyboard.sources.landing import literal_path, newest_file
 from tallyboard.spec import Feed
 
 
@@ -34,14 +34,23 @@ def choose(names: Sequence[str], wanted: int | str, where: str) -> str:
     raise ContractError(f"no dataset {wanted!r} in {where}, available: {list(names)}")
 
 
-def read_file(spark: SparkSession, path: str) -> DataFrame:
+def read_file(spark: SparkSession, path: str, feed: Feed | None = None) -> DataFrame:
     """A landed file. Text files are read as text: types are declared by the
     role binding, never guessed."""
     suffix = path.rsplit(".", 1)[-1].lower()
     if suffix in ("parquet", "orc"):
-        return spark.read.format(suffix).load(path)
+        return spark.read.format(suffix).load(literal_path(path))
     if suffix == "csv":
-        return spark.read.csv(path, header=True, enforceSchema=False)
+        feed = feed or Feed(pattern="*.csv")
+        return spark.read.csv(
+            literal_path(path),
+            header=True,
+            enforceSchema=False,
+            sep=feed.delimiter,
+            encoding=feed.encoding,
+            multiLine=feed.multiline,
+            escape='"',
+        )
     raise LandingError(f"cannot read {path}: expected a parquet, orc or csv file")
 
 
@@ -55,7 +64,7 @@ def open_feed(spark: SparkSession, feed: Feed, landing: str | None, what: str) -
         return read_database(spark, feed.database, feed.dataset)
     if landing is None:
         raise LandingError(f"no landing folder given for {what} ({feed.pattern})")
-    return read_file(spark, newest_file(spark, landing, feed.pattern, what))
+    return read_file(spark, newest_file(spark, landing, feed.pattern, what), feed)
 
 
 def strip_headers(data: DataFrame) -> DataFrame:

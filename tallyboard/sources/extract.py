@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyboard.errors import ContractError
 from tallyboard.functions.cleaning import as_moment, stripped
@@ -49,11 +49,29 @@ def clean_extract(spec: ReportSpec, raw: DataFrame, filters: Iterable[str] = ())
         (raw_date.isNotNull() & moment.isNull()).alias("date_unreadable"),
     ]
     if spec.measure:
-        columns.append(header(spec.measure).try_cast(spec.measure_type).alias("amount"))
+        columns.append(amount(spec, data).alias("amount"))
     columns += [text(name).alias(filter_column(name)) for name in extra]
     return data.select(*columns)
 
 
+def amount(spec: ReportSpec, data: DataFrame) -> Column:
+    """The summed column. An amount that cannot be read whole in the declared
+    type is an error: dropped or rounded, it would change a total silently."""
+    value, kind = header(spec.measure), data.schema[spec.measure].dataType
+    if isinstance(kind, T.NumericType):
+        return value.cast(spec.measure_type) if spec.measure_type else value
+    if spec.measure_type is None:
+        raise ContractError(
+            f"report {spec.name!r} sums {spec.measure!r}, which is {kind.simpleString()}: declare measure_type"
+        )
+    text = stripped(value)
+    number = text.try_cast(spec.measure_type)
+    exact = number.cast("decimal(38,10)") == text.try_cast("decimal(38,10)")
+    message = F.concat(F.lit(f"no {spec.measure_type} in {spec.measure!r}: "), text)
+    unread = text.isNotNull() & (text != "") & ~F.coalesce(exact, F.lit(False))
+    return F.when(unread, F.raise_error(message).cast(spec.measure_type)).otherwise(number)
+
+
 def date_quality(extract: DataFrame) -> DataFrame:
     """One row: how many dates are given and how many cannot be read."""
     given = F.count_if(F.col("activity_date").isNotNull() | F.col("date_unreadable"))

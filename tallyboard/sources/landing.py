@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import fnmatch
 import logging
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -24,10 +25,15 @@ LOG = logging.getLogger(__name__)
 LOCK_PREFIX = "~$"
 
 
+def literal_path(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """``name, path, modified, size`` of the files lying directly in ``folder``."""
     try:
-        files = spark.read.format("binaryFile").load(folder)
+        files = spark.read.format("binaryFile").load(literal_path(folder))
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
             raise
@@ -60,9 +66,10 @@ def newest_file(spark: SparkSession, folder: str, pattern: str, what: str = "inp
     if found is None:
         # Only the error message needs names; a long listing is shortened there.
         sample = [row.name for row in files.select("name").orderBy("name").limit(50).collect()]
+        more = files.count() - len(sample)
         raise LandingError(
             f"no {what} file matches {pattern!r} in {folder}, "
-            f"files present: {sample or '(empty folder)'}"
+            f"files present: {sample or '(empty folder)'}" + (f" and {more} more" if more > 0 else "")
         )
     if count > 1:
         LOG.warning("%d %s files match %r, the newest is %s", count, what, pattern, found.name)

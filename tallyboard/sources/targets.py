@@ -41,7 +41,7 @@ def require_unique_targets(spec: ReportSpec, targets: DataFrame) -> None:
     """Runs one small job; every later step relies on unique units."""
     named = [row.unit_code for row in duplicate_targets(targets).limit(_NAMED + 1).collect()]
     if named:
-        more = ", and more" if len(named) > _NAMED else ""
+        more = ", and more: duplicate_targets() has them all" if len(named) > _NAMED else ""
         raise ContractError(
             f"the targets of report {spec.name!r} hold several rows for: {named[:_NAMED]}{more}"
         )

@@ -18,7 +18,16 @@ TARGET_ROLES = ("unit", "start", "annual")
 BLOCKS = ("detail", "targets", "scoreboard")
 
 # Text dates are read with these patterns unless the report declares its own.
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy")
+DATE_FORMATS = (
+    "yyyy-MM-dd",
+    "yyyy-MM-dd HH:mm:ss",
+    "dd/MM/yyyy",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss.SSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSS",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+)
 
 
 @dataclass(frozen=True)
@@ -27,12 +36,17 @@ class Feed:
 
     Either the newest file of the landing folder whose name matches
     ``pattern`` (case-insensitive glob), or one dataset of a catalog
-    ``database``, chosen by name or by position in name order.
+    ``database``, chosen by name or by position in name order. The last three
+    fields describe a CSV file; one with line breaks inside its records cannot
+    be split among tasks.
     """
 
     pattern: str = ""
     database: str = ""
     dataset: int | str = 0
+    delimiter: str = ","
+    encoding: str = "UTF-8"
+    multiline: bool = False
 
     def __post_init__(self) -> None:
         if bool(self.pattern) == bool(self.database):
@@ -55,7 +69,7 @@ class ReportSpec:
     segments: tuple[str, ...] = ()  # empty keeps every row
     excluded_unit: str | None = None
     measure: str | None = None  # header to sum; None counts rows
-    measure_type: str = "decimal(18,2)"
+    measure_type: str | None = None  # numbers keep their own type; text needs one
     filters: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     cutoff: str = "day"
     date_formats: tuple[str, ...] = DATE_FORMATS
@@ -168,5 +182,5 @@ class ReportBook:
         raise SpecError(f"unknown report {name!r}, declared reports: {', '.join(self.names)}")
 
     def select(self, names: Sequence[str] | None = None) -> list[ReportSpec]:
-        """The named reports, all of them by default. Every name is checked."""
-        return [self.report(name) for name in names or self.names]
+        """The named reports, all of them by default, each once. Every name is checked."""
+        return [self.report(name) for name in dict.fromkeys(names or self.names)]

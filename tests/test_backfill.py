@@ -73,7 +73,7 @@ def test_sum_of_a_column(spark, make_spec, make_targets):
         [(dt.datetime(2026, 1, 2), "U1", "Retail", 1.5), (dt.datetime(2026, 1, 8), "U1", "Retail", 2.25)],
         "`Opened on` timestamp_ntz, `Unit code` string, Segment string, Amount double",
     )
-    spec = make_spec(measure="Amount", excluded_unit=None)
+    spec = make_spec(measure="Amount", measure_type="decimal(18,2)", excluded_unit=None)
     rows = backfill(
         spec, clean_extract(spec, raw), clean_targets(spec, make_targets({})), "2026-W01", "2026-W02"
     ).collect()

@@ -78,7 +78,9 @@ def test_sign_of_a_gap(spark, value, tone, arrow):
 
 def test_large_values_still_show(spark):
     row = column(spark, [2.0**60, 1e300], "double").select(display.integer_text(F.col("v")))
-    assert [r[0].replace(" ", "") for r in row.collect()] == [str(2**60), "—"]
+    assert [r[0].replace(" ", "") for r in row.collect()] == [str(2**60), "1.0E300"]
+    exact = column(spark, ["9007199254740993"], "string").select(F.col("v").cast("decimal(30,0)").alias("v"))
+    assert exact.select(display.gap_text(F.col("v"))).first()[0] == "+9 007 199 254 740 993"
 
 
 @pytest.mark.parametrize(
@@ -88,7 +90,8 @@ def test_large_values_still_show(spark):
         ("d/M/yyyy HH:mm", r"^\d{1,2}/\d{1,2}/\d{4}\ \d{2}:\d{2}$"),
         ("dd MMM yyyy", None),
         ("yyyy-MM-dd[ HH:mm]", None),
-        ("yyyy-MM-dd'T'HH:mm", None),
+        ("yyyy-MM-dd'T'HH:mm", r"^\d{4}\-\d{2}\-\d{2}T\d{2}:\d{2}$"),
+        ("HH:mm:ss.SSS", r"^\d{2}:\d{2}:\d{2}\.\d{3}$"),
     ],
 )
 def test_shape_of_a_date_pattern(pattern, shape):
