@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, gram_hashes, sequence_hash, ship, stored, text_bytes, word_hashes
+from .common import batches, dropped, gram_hashes, sequence_hash, ship, stored, text_bytes, word_hashes
 from .near import text_key
 
 #: Words of an anchor phrase.
@@ -183,6 +183,8 @@ def repeated_windows(docs: DataFrame, window: int = 20) -> tuple[DataFrame, Data
     places = held.groupBy("row").agg(F.collect_list("places").alias("places"))
     asked = scanned.select("row", "doc_id", "text_key").join(places, "row").orderBy("doc_id", "text_key")
     asked = stored(asked.withColumn("number", F.monotonically_increasing_id()), "asked")  # numbers follow the order
+    known = stored(known, "known")
+    dropped(scanned)  # the anchors of all texts are not needed any more
     windows = _windows(_with_text(docs, asked, "places", "number"), window)
     # Ranked as they stream by: no group is held together. Rows of one document tie.
     order = Window.partitionBy("first", "second").orderBy("number", "place")
