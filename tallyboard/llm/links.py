@@ -1,9 +1,12 @@
 """Links between nodes that share a posting key, and their connected components.
 
 A group of m near copies shares keys m times m; its pairs are never all made.
-Every member of a key is first paired with the key's smallest members only.
-What these links have not joined, pairs of two other members in different
-components, is paired in a second step, so no link between components is lost.
+Nodes are first paired by one main key each, if there is one, with the members
+of that key alone that have most in common with others. Of the other keys, those whose members are in one
+component by then need nothing more. In the rest, every member is paired with
+the key's smallest members, and what these links have not joined, pairs of two
+other members in different components, is paired in a last step, so no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -47,40 +50,64 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
 
 
-def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], may_link=None) -> DataFrame:
+def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], may_link=None, main: DataFrame | None = None) -> DataFrame:
     """Components of verified links between nodes with a common key: (node, label), without lone nodes.
 
     `postings` is a stored table of (key, node, ...), one row per key and node.
     `verified` keeps the pairs (a, b), a < b, that are links. `may_link` is a
     cheap necessary condition on the columns of two postings, given by prefix.
+    `main` holds one posting (key, node, weight, ...) of each node, under the key it
+    shares with most others; a large group is joined there rather than under each
+    of its keys. The nodes of most weight are paired with the others: an original
+    shares more with its copies than these with each other.
     """
     own = [x for x in postings.columns if x not in ("key", "node")]
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    leaders = stored(postings.withColumn("rank", rank).where(F.col("rank") <= LEADERS), "leaders")
+    apart = F.col("a_label") != F.col("b_label")
+
+    def leading(members: DataFrame, *order) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(*order, "node"))
+        return stored(members.withColumn("rank", rank).where(F.col("rank") <= LEADERS).drop("rank"), "leaders")
 
     def pairs(left: DataFrame, right: DataFrame, condition=None) -> DataFrame:
         a = left.select(*(F.col(x).alias(f"a_{x}") for x in left.columns))
         b = right.select(*(F.col(x).alias(f"b_{x}") for x in right.columns))
-        on = (F.col("a_key") == F.col("b_key")) & (F.col("a_node") < F.col("b_node"))
+        on = (F.col("a_key") == F.col("b_key")) & (F.col("a_node") != F.col("b_node"))
         if condition is not None:
             on = on & condition
         if may_link is not None:
             on = on & may_link("a_", "b_")
-        return a.join(b, on).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-
-    first = stored(verified(pairs(leaders.drop("rank"), postings)), "links")
-    labels = stored(components(first), "labels")
+        return a.join(b, on).select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+    def divided(members: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+        """(key, node, ..., label) of the keys whose members are in more than one component."""
+        labelled = stored(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), name)
+        keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+        kept = stored(labelled.join(keys, "key", "left_semi"), name)
+        dropped(labelled)
+        return kept
+
+    links = None
+    members, condition = postings, None
+    if main is not None:
+        leaders = leading(main, F.desc("weight"))
+        links = stored(verified(pairs(leaders.drop("weight"), main.drop("weight"))), "links")
+        labels = stored(components(links), "labels")
+        members, condition = divided(postings, labels, "members"), apart
+        dropped(leaders)
+        if members.isEmpty():
+            return labels
+    leaders = leading(members)
+    more = verified(pairs(leaders, members, condition))
+    links = stored(more if links is None else links.union(more), "links")
+    labels = stored(components(links), "labels")
     last = leaders.groupBy("key").agg(F.max("node").alias("last"), F.count("*").alias("n")).where(F.col("n") == LEADERS)
-    rest = postings.join(last.select("key", "last"), "key").where("node > last").select("key", "node", *own)
-    rest = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rest = stored(rest, "rest")
-    split = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    rest_split = stored(rest.join(split, "key", "left_semi"), "split")
-    dropped(rest, leaders)
-    if rest_split.isEmpty():
+    rest = members.join(last.select("key", "last"), "key").where("node > last").select("key", "node", *own)
+    rest = divided(rest, labels, "rest")
+    dropped(leaders)
+    if rest.isEmpty():
         return labels
-    second = verified(pairs(rest_split, rest_split, F.col("a_label") != F.col("b_label")))
-    every = stored(first.select("a", "b").union(second.select("a", "b")), "links")
+    second = verified(pairs(rest, rest, apart & (F.col("a_node") < F.col("b_node"))))
+    every = stored(links.union(second), "links")
     result = stored(components(every), "labels")
-    dropped(first, labels, rest_split, every)
+    dropped(links, labels, rest, every)
     return result

@@ -4,7 +4,8 @@ Documents with the same set of word shingles are one class. A class is posted
 under each (coordinate, value) pair of its signature. Two classes are
 candidates if enough coordinates agree. Values are put in one order, rare ones
 first, and a class is posted under its prefix alone: a pair that agrees often
-enough shares a key of both prefixes. Values held once are skipped, as is a
+enough shares a key of both prefixes. Large groups are joined first, by the
+commonest value of each class (see links.py). Values held once are skipped, as is a
 class with too few shared values. Candidates are confirmed on their whole sets.
 
 The least number of agreeing coordinates is far below its mean at the linking
@@ -80,15 +81,21 @@ def features(docs: DataFrame, size: int) -> DataFrame:
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
-    """(key, node, n) of the classes' prefixes, rarest values first."""
+    """(key, node, n, weight) of the classes' prefixes, rarest values first, and of each class's commonest value.
+
+    The latter has a weight, the holders of all the class's values; it is null elsewhere.
+    """
     every = classes.select("node", F.col("n_shingles").alias("n"), F.posexplode("signature").alias("at", "value")).select(
         "node", "n", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long")).alias("key")
     )
     shared = every.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
     held = every.join(shared, "key").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("keys"))
     kept = held.where(F.size("keys") >= AGREEING)
-    taken = F.slice("keys", F.lit(1), F.greatest(F.size("keys") - (COORDINATES - PREFIX), F.lit(0)))
-    return kept.select("node", "n", F.explode(taken).alias("k")).select(F.col("k.key").alias("key"), "node", "n")
+    size = F.size("keys") - (COORDINATES - PREFIX)
+    taken = F.transform(F.slice("keys", F.lit(1), F.greatest(size, F.lit(0))), lambda k: F.struct(k["key"].alias("key"), F.lit(None).cast("long").alias("weight")))
+    weight = F.aggregate("keys", F.lit(0).cast("long"), lambda total, k: total + k["holders"])
+    common = F.array(F.struct(F.element_at("keys", -1)["key"].alias("key"), weight.alias("weight")))
+    return kept.select("node", "n", F.explode(F.concat(taken, common)).alias("k")).select("k.key", "node", "n", "k.weight")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -150,7 +157,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         n, m = F.col(f"{a}n"), F.col(f"{b}n")
         return (100 * n >= percent * m) & (100 * m >= percent * n)
 
-    labels = linked(postings, verified, sizes)
+    labels = linked(postings.where("weight is null").drop("weight"), verified, sizes, postings.where("weight is not null"))
     grouped = classes.select("high", "low", "node", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
     placed = grouped.join(least, "label").select("high", "low", "component_id", F.col("label").alias("group_key"))
