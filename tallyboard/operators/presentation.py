@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyboard.errors import PublishError
@@ -46,9 +48,10 @@ def block(name: str, detail: DataFrame, targets: DataFrame, rows: DataFrame) ->
     raise PublishError(f"unknown block {name!r}")
 
 
-def display_rows(rows: DataFrame) -> DataFrame:
+def display_rows(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Every scoreboard row as text."""
     return rows.select(
+        *keys,
         "unit_code",
         *(
             integer_text(F.col(name)).alias(name)
@@ -127,7 +130,7 @@ def kpi_cards(spec: ReportSpec, rows: DataFrame) -> DataFrame:
     )
 
 
-def chart_series(rows: DataFrame) -> DataFrame:
+def chart_series(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Unit bars, best attainment first, equal ones by code.
 
     The order is the sort itself: numbering the bars would need a window over
@@ -135,7 +138,8 @@ def chart_series(rows: DataFrame) -> DataFrame:
     """
     bars = rows.filter((F.col("row_type") == UNIT) & F.col("attainment").isNotNull())
     return bars.select(
+        *keys,
         "unit_code",
         "attainment",
         percent_text(F.col("attainment"), 0).alias("bar_label"),
-    ).orderBy(F.col("attainment").desc(), "unit_code")
+    ).orderBy(*keys, F.col("attainment").desc(), "unit_code")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -113,9 +113,25 @@ def warnings(
     return found.filter(holds).select("report", F.lit(week).alias("week"), "code", "subject", "n")
 
 
-def run_metrics(ledger: DataFrame, seed: DataFrame, week: str) -> DataFrame:
+def run_metrics(
+    ledger: DataFrame, seed: DataFrame, week: str, sharing: Iterable[Sequence[str]]
+) -> DataFrame:
     """One row per report. ``ledger`` is the aligned activity by report, with
-    its run counters; ``seed`` lists the reports."""
+    its run counters; ``seed`` lists the reports; ``sharing`` names the reports
+    of each extract, whose counters stand on the first of them."""
+    shared = [
+        F.when(F.col("rows_read").isNotNull() & (F.col("report") == names[0]), F.array(*map(F.lit, names)))
+        for names in sharing
+    ]
+    readers = F.explode(F.coalesce(*shared, F.array("report")))
+    own = F.col("reader") == F.col("report")
+    figures = [c for c in ledger.columns if c not in ("report", "rows_read", "dates_unreadable")]
+    ledger = ledger.select("*", readers.alias("reader")).select(
+        F.col("reader").alias("report"),
+        "rows_read",
+        "dates_unreadable",
+        *(F.when(own, F.col(c)).alias(c) for c in figures),
+    )
     shown = F.col("has_activity") | F.col("has_target")
     rows = ledger.unionByName(seed.select("report"), allowMissingColumns=True)
     counters = ("rows_read", "rows_kept", "rows_later", "dates_unreadable")

@@ -71,30 +71,49 @@ def tally(
     )
 
 
+def _views(specs: Sequence[ReportSpec]) -> Column:
+    """One struct for every report that keeps a row."""
+
+    def view(spec: ReportSpec) -> Column:
+        return F.struct(F.lit(spec.name).alias("report"), F.lit(False).alias("counter"))
+
+    return F.array_compact(F.array(*(F.when(passes(s), view(s)) for s in specs)))
+
+
 def by_report(specs: Sequence[ReportSpec], counted: DataFrame) -> DataFrame:
-    """Every counted row once per report, with ``report`` and ``kept``."""
-    views = F.array(
-        *(F.struct(F.lit(s.name).alias("report"), passes(s).alias("kept")) for s in specs)
-    )
-    return counted.select("*", F.inline(views))
+    """Every row once per ``report`` that keeps it."""
+    return counted.select("*", F.inline(_views(specs))).drop("counter")
 
 
-def activity_by_report(specs: Sequence[ReportSpec], counted: DataFrame) -> DataFrame:
-    """One row per report and unit from a tally.
+def activity_by_report(
+    specs: Sequence[ReportSpec], counted: DataFrame, counters: bool = True
+) -> DataFrame:
+    """One row per report and unit from a tally: only what the report keeps.
 
-    Rows of units without activity in the year to date, and of the NULL unit,
-    are kept for the run counters; their ``actual_*`` are NULL, which keeps
-    them out of every board.
+    Counters of the whole extract (``rows_read``, dates) are summed once, not
+    per report and unit: they stand on the NULL unit of the first report and
+    hold for all of ``specs``; ``run_metrics`` gives them to each. Boards alone
+    need no ``counters``. Units without activity in the year to date and the
+    NULL unit have NULL ``actual_*``, which keeps them out of every board.
     """
+    views = _views(specs)
+    if counters:
+        whole = F.struct(F.lit(specs[0].name).alias("report"), F.lit(True).alias("counter"))
+        views = F.concat(views, F.array(whole))
+    rows = counted.select("*", F.inline(views)).withColumn(
+        "unit_code", F.when(~F.col("counter"), F.col("unit_code"))
+    )
+
+    def kept(counter: str) -> Column:
+        return F.sum(F.when(~F.col("counter"), F.col(counter)))
 
-    def kept(counter: str):
-        return F.sum(F.when(F.col("kept"), F.col(counter)))
+    def once(counter: str) -> Column:
+        return F.sum(F.when(F.col("counter"), F.col(counter)))
 
     on_board = F.col("unit_code").isNotNull() & (kept("rows_ytd") > 0)
-    return by_report(specs, counted).groupBy("report", "unit_code").agg(
-        F.sum("rows_read").alias("rows_read"),
-        F.sum("dates_given").alias("dates_given"),
-        F.sum("dates_unreadable").alias("dates_unreadable"),
+    return rows.groupBy("report", "unit_code").agg(
+        once("rows_read").alias("rows_read"),
+        once("dates_unreadable").alias("dates_unreadable"),
         kept("rows_read").alias("rows_kept"),
         kept("rows_later").alias("rows_later"),
         F.when(on_board, kept("actual_week")).alias("actual_week"),

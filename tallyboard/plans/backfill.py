@@ -102,7 +102,7 @@ def activity_entries(
         names = F.array(*(F.lit(s.name) for s in specs))
         kept = weekly.select("*", F.explode(names).alias("report"))
     else:
-        kept = by_report(specs, weekly).filter("kept")
+        kept = by_report(specs, weekly)
     return kept.select("report", "unit_code", F.inline(contributions))
 
 

@@ -121,9 +121,11 @@ def excluded_units(specs: Sequence[ReportSpec]) -> Column:
     return F.coalesce(*choices, F.lit(None).cast("string"))
 
 
-def ledger(groups: Sequence[ExtractGroup], targets: DataFrame) -> DataFrame:
+def ledger(
+    groups: Sequence[ExtractGroup], targets: DataFrame, counters: bool = True
+) -> DataFrame:
     """Activity and targets by report and unit, with the run counters."""
-    activity = union_all([activity_by_report(g.specs, g.counted) for g in groups])
+    activity = union_all([activity_by_report(g.specs, g.counted, counters) for g in groups])
     return align(activity, targets, KEYS)
 
 
@@ -137,7 +139,8 @@ def scoreboards(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], week: str
 ) -> DataFrame:
     groups = tally_groups(specs, inputs, week, boards_only=True)
-    return sort_board(boards(specs, ledger(groups, targets_by_report(specs, inputs))), KEYS)
+    entries = ledger(groups, targets_by_report(specs, inputs), counters=False)
+    return sort_board(boards(specs, entries), KEYS)
 
 
 def report_warnings(
@@ -155,5 +158,12 @@ def group_warnings(groups: Sequence[ExtractGroup], targets: DataFrame, week: str
 def report_metrics(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], week: str
 ) -> DataFrame:
-    entries = ledger(tally_groups(specs, inputs, week), targets_by_report(specs, inputs))
-    return run_metrics(entries, report_list(entries.sparkSession, specs), week)
+    groups = tally_groups(specs, inputs, week)
+    return group_metrics(specs, groups, ledger(groups, targets_by_report(specs, inputs)), week)
+
+
+def group_metrics(
+    specs: Sequence[ReportSpec], groups: Sequence[ExtractGroup], entries: DataFrame, week: str
+) -> DataFrame:
+    sharing = [[s.name for s in g.specs] for g in groups]
+    return run_metrics(entries, report_list(entries.sparkSession, specs), week, sharing)

@@ -10,24 +10,35 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyboard.functions.weeks import WeekWindow, current_week
 from tallyboard.operators.board import sort_board
-from tallyboard.operators.filters import retained_detail
-from tallyboard.operators.presentation import block
-from tallyboard.operators.quality import run_metrics
+from tallyboard.operators.filters import wanted_by_any
+from tallyboard.operators.presentation import block, chart_series, display_rows, kpi_cards
+from tallyboard.operators.quality import UNKNOWN_SEGMENT, segment_check
+from tallyboard.operators.tally import by_report, filter_headers
 from tallyboard.plans.many import (
     KEYS,
     ExtractGroup,
     RawInputs,
     boards,
+    group_metrics,
     group_warnings,
     ledger,
-    report_list,
     tally_groups,
     targets_by_report,
+    union_all,
 )
 from tallyboard.sinks.publish import PublishOutcome, check_destination, plan, publish
-from tallyboard.sinks.weekly import write_findings, write_partitions, write_report
-from tallyboard.sources.datasets import open_feed
-from tallyboard.sources.extract import clean_extract, refuse_unreadable_dates
+from tallyboard.sinks.scratch import Scratch
+from tallyboard.sinks.weekly import KEYS as PARTITIONS
+from tallyboard.sinks.weekly import (
+    partition_path,
+    read_partitions,
+    write_findings,
+    write_partitions,
+    write_report,
+)
+from tallyboard.sources.datasets import literal_rows, open_feed
+from tallyboard.sources.extract import ROLE_COLUMNS, clean_extract, refuse_unreadable_dates
+from tallyboard.sources.landing import literal_path
 from tallyboard.sources.targets import clean_targets, require_unique_targets
 from tallyboard.spec import ReportBook, ReportSpec
 
@@ -58,15 +69,6 @@ def open_inputs(
     return {s.name: RawInputs(resolve(s.source, "source"), resolve(s.targets, "targets")) for s in specs}
 
 
-def _cut_lineage(spark: SparkSession, data: DataFrame, out: str) -> DataFrame:
-    """A small result on reliable storage, so that neither its many uses nor a
-    lost executor cause the extract to be read again."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or f"{out}/_checkpoints")
-    return data.checkpoint()
-
-
 def _check_dates(groups: Sequence[ExtractGroup], inputs: Mapping[str, RawInputs]) -> None:
     for group in groups:
         given, unreadable = group.counted.agg(
@@ -77,12 +79,59 @@ def _check_dates(groups: Sequence[ExtractGroup], inputs: Mapping[str, RawInputs]
             refuse_unreadable_dates(spec, inputs[spec.name].extract)
 
 
+def _details(
+    specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], week: str
+) -> DataFrame:
+    """The kept rows of the year to date of reports that share an extract, in
+    one pass over it."""
+    extract = clean_extract(specs[0], inputs[specs[0].name].extract, filter_headers(specs))
+    in_year_to_date = WeekWindow(week, specs[0].cutoff).in_year_to_date(F.col("activity_date"))
+    rows = by_report(specs, wanted_by_any(specs, extract).filter(in_year_to_date))
+    return rows.select(*ROLE_COLUMNS, "report", F.lit(week).alias("week"))
+
+
+def _write_details(
+    groups: Sequence[ExtractGroup],
+    inputs: Mapping[str, RawInputs],
+    wanted: set[str],
+    path: str,
+    week: str,
+) -> None:
+    """One scan per extract; the tally tells which reports have no row."""
+    for group in groups:
+        specs = [s for s in group.specs if s.name in wanted]
+        if not specs:
+            continue
+        rows = _details(specs, inputs, week)
+        write_partitions(rows, path, rebalance=False)
+        busy = by_report(specs, group.counted).filter("rows_ytd > 0").select("report").distinct()
+        for name in {s.name for s in specs} - {row.report for row in busy.collect()}:
+            write_report(rows.limit(0), path, week, name)
+
+
+def _segments(
+    groups: Sequence[ExtractGroup],
+    inputs: Mapping[str, RawInputs],
+    warned: set[str],
+    scratch: Scratch,
+) -> DataFrame:
+    """``report, segment, status``: what is there, for every report that asks for
+    a segment which is not."""
+    spark = scratch.spark
+    found = [literal_rows(spark, "report string, segment string, status string", [])]
+    for position, group in enumerate(groups):
+        specs = [s for s in group.specs if s.name in warned]
+        if specs:
+            extract = clean_extract(specs[0], inputs[specs[0].name].extract)
+            present = scratch.keep(extract.select("segment").distinct(), f"segments_{position}")
+            found += [segment_check(s, present).withColumn("report", F.lit(s.name)) for s in specs]
+    return union_all(found)
+
+
 def _block_source(
-    spec: ReportSpec, inputs: RawInputs, rows: DataFrame, week: str
+    spec: ReportSpec, inputs: RawInputs, rows: DataFrame, detail: DataFrame
 ) -> Callable[[str], DataFrame]:
     def blocks(name: str) -> DataFrame:
-        window = WeekWindow(week, spec.cutoff)
-        detail = retained_detail(spec, clean_extract(spec, inputs.extract), window)
         own = rows.filter(F.col("report") == spec.name)
         return block(name, detail, clean_targets(spec, inputs.targets), sort_board(own))
 
@@ -106,8 +155,12 @@ def run(
 
     Report names, the week, the publish map, all headers and the uniqueness of
     targets are checked before the first extract is read. Each distinct extract
-    is then read once into a tally, from which every result is derived.
-    ``out`` is a folder shared by the cluster.
+    is then read once into a tally, from which every figure is derived; once
+    more, for all its reports together, if details are kept or published; and
+    one column of it if a requested segment is not there. ``out`` is a folder
+    shared by the cluster; it receives, by week and report, ``scoreboard``,
+    ``run_metrics``, ``warnings``, ``segments``, what readers see of the board
+    (``display``, ``cards``, ``chart``), and with ``keep_detail`` ``detail``.
     """
     specs = book.select(names)
     week = WeekWindow(week or current_week(today)).week
@@ -119,38 +172,66 @@ def run(
     groups = tally_groups(specs, inputs, week)
     for spec in specs:
         require_unique_targets(spec, clean_targets(spec, inputs[spec.name].targets))
-
-    groups = [ExtractGroup(g.specs, _cut_lineage(spark, g.counted, out)) for g in groups]
-    _check_dates(groups, inputs)
-
     targets = targets_by_report(specs, inputs)
-    entries = ledger(groups, targets)
-    rows = boards(specs, entries).withColumn("week", F.lit(week))
-    produced = {s.name: _block_source(s, inputs[s.name], rows, week) for s in specs}
-    rules = [rule for rule in book.publish if names is None or rule.report in produced]
-    if destination is not None:
-        plan(spark, rules, produced, destination, template)  # a bad rule stops the run before it writes
-    write_partitions(rows, f"{out}/scoreboard")
-    write_partitions(
-        run_metrics(entries, report_list(spark, specs), week), f"{out}/run_metrics"
-    )
-    found = _cut_lineage(spark, group_warnings(groups, targets, week), out)
-    write_findings(found, f"{out}/warnings", week, [s.name for s in specs])
-    if keep_detail:
-        for spec in specs:
-            extract = clean_extract(spec, inputs[spec.name].extract)
-            detail = retained_detail(spec, extract, WeekWindow(week, spec.cutoff))
-            write_report(detail, f"{out}/detail", week, spec.name)
-
-    published = None
-    if destination is not None:
-        published = publish(spark, rules, produced, destination, template)
+    reports = [s.name for s in specs]
+
+    with Scratch(spark, out) as scratch:
+        groups = [
+            ExtractGroup(g.specs, scratch.keep(g.counted, f"tally_{i}"))
+            for i, g in enumerate(groups)
+        ]
+        _check_dates(groups, inputs)
+        entries = ledger(groups, targets)
+        rows = boards(specs, entries).withColumn("week", F.lit(week))
+        straight = {s.name: _details([s], inputs, week).select(*ROLE_COLUMNS) for s in specs}
+        produced = {s.name: _block_source(s, inputs[s.name], rows, straight[s.name]) for s in specs}
+        rules = [rule for rule in book.publish if names is None or rule.report in produced]
+        if destination is not None:
+            plan(spark, rules, produced, destination, template)  # a bad rule stops the run before it writes
+
+        def written(name: str, frame: DataFrame) -> DataFrame:
+            return read_partitions(spark, f"{out}/{name}", frame.schema, week, reports)
+
+        write_partitions(rows, f"{out}/scoreboard")
+        board_rows = written("scoreboard", rows)
+        metrics = group_metrics(specs, groups, entries, week)
+        write_partitions(metrics, f"{out}/run_metrics")
+        found = scratch.keep(group_warnings(groups, targets, week), "warnings")
+        write_findings(found, f"{out}/warnings", week, reports)
+        warned = found.filter(F.col("code") == UNKNOWN_SEGMENT).select("report").distinct()
+        segments = _segments(groups, inputs, {row.report for row in warned.collect()}, scratch)
+        write_findings(segments.withColumn("week", F.lit(week)), f"{out}/segments", week, reports)
+
+        cards = [
+            kpi_cards(s, board_rows.filter(F.col("report") == s.name)).select(
+                F.lit(week).alias("week"), F.lit(s.name).alias("report"), "*"
+            )
+            for s in specs
+        ]
+        write_partitions(display_rows(board_rows, PARTITIONS), f"{out}/display")
+        write_partitions(union_all(cards), f"{out}/cards")
+        write_findings(chart_series(board_rows, PARTITIONS), f"{out}/chart", week, reports)
+
+        published = None
+        kept = set(reports) if keep_detail else set()
+        if destination is not None:
+            kept |= {rule.report for rule in rules if rule.block == "detail"}
+        details = f"{out if keep_detail else scratch.path}/detail"
+        _write_details(groups, inputs, kept, details, week)
+        if destination is not None:
+            for s in specs:
+                detail = straight[s.name]
+                if s.name in kept:
+                    where = literal_path(partition_path(details, week, s.name))
+                    detail = spark.read.schema(detail.schema).parquet(where)
+                produced[s.name] = _block_source(s, inputs[s.name], board_rows, detail)
+            published = publish(spark, rules, produced, destination, template)
 
     return RunOutcome(
         week=week,
-        reports=tuple(s.name for s in specs),
-        scoreboard=sort_board(rows, KEYS),
-        warnings=found,
-        metrics=run_metrics(entries, report_list(spark, specs), week),
+        reports=tuple(reports),
+        scoreboard=sort_board(board_rows, KEYS),
+        warnings=written("warnings", found),
+        metrics=written("run_metrics", metrics),
         published=published,
     )

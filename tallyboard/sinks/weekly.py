@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from tallyboard.sources.landing import literal_path
 
 KEYS = ("week", "report")
 
@@ -18,15 +21,16 @@ ESCAPED = "\"#%'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
 _ESCAPES = str.maketrans({character: f"%{ord(character):02X}" for character in ESCAPED})
 
 
-def write_partitions(rows: DataFrame, path: str) -> None:
+def write_partitions(rows: DataFrame, path: str, rebalance: bool = True) -> None:
     """All weeks and reports found in ``rows``, in one job. For results that
     never lack rows: a partition without rows would keep its old content.
 
     Rebalancing gathers the few rows of a small board into one file and splits
-    a large one, whatever the parallelism of the job before.
+    a large one, whatever the parallelism of the job before. Rows straight from
+    a large scan need no such shuffle.
     """
     (
-        rows.hint("rebalance", *KEYS)
+        (rows.hint("rebalance", *KEYS) if rebalance else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*KEYS)
@@ -51,3 +55,12 @@ def write_findings(rows: DataFrame, path: str, week: str, reports: Iterable[str]
     for report in reports:
         if report not in found:
             write_report(rows.limit(0), path, week, report)
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: StructType, week: str, reports: Iterable[str]
+) -> DataFrame:
+    """What was written for these reports; each of them has a partition."""
+    folders = [literal_path(partition_path(path, week, report)) for report in reports]
+    stored = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return stored.select(*schema.names)

@@ -16,7 +16,11 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyboard.errors import LandingError
+
 CHUNK = 4 * 1024 * 1024
+#: Schemes of Spark's stores and the same stores' schemes in Arrow.
+SPELLINGS = {"s3a": "s3", "s3n": "s3"}
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -35,6 +39,22 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def reachable(root: str) -> str:
+    """``root`` as the file systems of the tasks spell it, checked on the driver:
+    the tasks would fail one by one at a store they cannot open."""
+    scheme, colon, rest = root.rstrip("/").partition(":")
+    if not colon or "/" in scheme:
+        return root.rstrip("/")
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    uri = f"{SPELLINGS.get(scheme, scheme)}:{rest}"
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (ValueError, OSError, NotImplementedError) as problem:
+        raise LandingError(f"files under {root} cannot be opened to be digested: {problem}") from None
+    return uri
+
+
 def _digests(root: str):
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, base = (
@@ -78,7 +98,7 @@ def audit_manifest(manifest: DataFrame, root: str, tasks: int | None = None) ->
     lines = manifest.select("sha256", "size", "path")
     tasks = tasks or manifest.sparkSession.sparkContext.defaultParallelism
     checked = lines.repartition(tasks).mapInPandas(
-        _digests(root.rstrip("/")),
+        _digests(reachable(root)),
         "sha256 string, size bigint, path string, found_size bigint, found_sha256 string",
     )
     return checked.select("path", "size", "found_size", _status().alias("status"))

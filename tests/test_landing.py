@@ -129,3 +129,10 @@ def test_manifest_audit(spark, folder, tmp_path):
     )
     assert by_uri.filter("status = 'conforming'").count() == 2
     assert good.exists() and hidden.exists()
+
+
+def test_audit_roots_are_checked_before_any_task(spark):
+    assert integrity.reachable("file:/drop/in/") == integrity.reachable("file:///drop/in") == "/drop/in"
+    assert integrity.reachable("/drop/week:1") == "/drop/week:1"
+    with pytest.raises(LandingError, match="cannot be opened"):
+        integrity.reachable("viewfs://cluster/drop")

@@ -9,6 +9,7 @@ from conftest import AFTER, EARLIER, IN_WEEK, LAST_YEAR, WEEK
 from tallyboard import Feed, RawInputs, scoreboards
 from tallyboard.plans import many
 from tallyboard.operators.quality import segment_check
+from tallyboard.operators.tally import activity_by_report
 from tallyboard.sources.extract import clean_extract
 
 T10 = {"U01": (10.0, 100.0)}
@@ -105,7 +106,7 @@ def test_segment_check(make_spec, make_extract):
 def portfolio(make_spec, make_inputs):
     """Three reports over one extract, one over another, one over nothing."""
     rng = random.Random(5)
-    first, last = dt.datetime(2025, 12, 1), dt.datetime(2023, 5, 26)
+    first, last = dt.datetime(2022, 12, 1), dt.datetime(2026, 1, 26)
     rows, targets = brute.random_case(rng, first, last, 600)
     others, other_targets = brute.random_case(rng, first, last, 300)
     shared, other, nothing = make_inputs(rows, targets), make_inputs(others, other_targets), make_inputs([], {})
@@ -131,6 +132,24 @@ def test_all_reports_at_once_equal_each_alone(portfolio, week):
         assert [tuple(r)[1:] for r in rows if r.report == spec.name] == expected
 
 
+@pytest.mark.parametrize("week", ["2023-W19", "2026-W01"])
+def test_metrics_of_all_reports_at_once_equal_each_alone(portfolio, week):
+    specs, inputs, raw = portfolio
+    rows = {r.report: tuple(r) for r in many.report_metrics(specs, inputs, week).collect()}
+    assert rows["one"][2] == rows["all"][2] == len(raw["all"][0])
+    for spec in specs:
+        assert tuple(many.report_metrics([spec], inputs, week).first()) == rows[spec.name]
+
+
+def test_only_what_a_report_keeps_is_grouped(portfolio):
+    specs, inputs, _ = portfolio
+    group = many.tally_groups(specs[:3], inputs, WEEK)[0]
+    lines = activity_by_report(group.specs, group.counted, counters=False)
+    assert lines.filter("rows_kept IS NULL OR rows_kept = 0").count() == 0
+    counters = activity_by_report(group.specs, group.counted).filter("rows_read IS NOT NULL")
+    assert [(r.report, r.unit_code) for r in counters.collect()] == [("kept", None)]
+
+
 def test_one_tally_per_extract(portfolio):
     specs, inputs, _ = portfolio
     groups = many.tally_groups(specs, inputs, WEEK)

@@ -1,4 +1,6 @@
 import datetime as dt
+import uuid
+from pathlib import Path
 
 import pytest
 from conftest import AFTER, EARLIER, IN_WEEK, WEEK
@@ -15,6 +17,7 @@ from tallyboard import (
     WeekError,
     run,
 )
+from tallyboard.sinks.scratch import Scratch
 
 ROWS = [(EARLIER, "U01")] * 3 + [(IN_WEEK, "U99", "Business"), (AFTER, "U01")]
 TARGETS = {"U01": (2.0, 8.0), "U99": (1.0, 4.0)}
@@ -124,3 +127,79 @@ def test_destination_may_not_be_an_input(spark, make_spec, inputs, tmp_path):
     spec = make_spec(source=Feed(database="incoming", dataset="t"))
     with pytest.raises(PublishError, match="read from"):
         run(spark, ReportBook([spec]), str(tmp_path), WEEK, inputs=inputs, destination="incoming")
+
+
+def test_what_readers_see_is_written_too(spark, book, inputs, make_inputs, tmp_path):
+    out = str(tmp_path)
+    run(spark, book, out, week=WEEK, inputs=inputs)
+    display = {(r.report, r.unit_code): r.actual_ytd for r in stored(spark, out, "display").collect()}
+    assert display["activity", "U01"] == "3" and display["churn", "All units"] == "2"
+    cards = stored(spark, out, "cards").groupBy("report").count().collect()
+    assert {tuple(r) for r in cards} == {("activity", 4), ("churn", 4)}
+    bars = [(r.report, r.unit_code) for r in stored(spark, out, "chart").collect()]
+    assert sorted(bars) == [("activity", "U01"), ("activity", "U99"), ("churn", "U01"), ("churn", "U99")]
+    assert stored(spark, out, "segments").count() == 0
+    # A later delivery without one of the requested segments, and without targets.
+    bare = {"activity": make_inputs([(EARLIER, "U01"), (EARLIER, "U01", "Odd")], {})}
+    run(spark, book, out, week=WEEK, names=["activity"], inputs=bare)
+    segments = stored(spark, out, "segments").collect()
+    assert {(r.report, r.segment, r.status) for r in segments} == {
+        ("activity", "Retail", "kept"), ("activity", "Odd", "ignored"), ("activity", "Business", "unknown"),
+    }
+    assert {r.report for r in stored(spark, out, "chart").collect()} == {"churn"}
+
+
+def test_nothing_of_a_run_is_left_but_its_results(spark, book, inputs, make_targets, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    run(spark, book, str(tmp_path), week=WEEK, inputs=inputs, keep_detail=True)
+    assert {p.name for p in tmp_path.iterdir()} == {
+        "scoreboard", "run_metrics", "warnings", "segments", "display", "cards", "chart", "detail",
+    }
+    assert spark.sparkContext.getCheckpointDir() == before
+    unreadable = {**inputs, "churn": RawInputs(
+        spark.createDataFrame([("soon", "U01", "Retail")], "`Opened on` string, `Unit code` string, Segment string"),
+        make_targets(TARGETS),
+    )}
+    with pytest.raises(ContractError, match="is a date, first values"):
+        run(spark, book, str(tmp_path / "failed"), week=WEEK, inputs=unreadable)
+    assert not list((tmp_path / "failed").glob("*"))
+    shared = Path(Scratch(spark, str(tmp_path)).path).parent
+    assert not list(shared.glob("_run-*"))
+
+
+def test_details_of_all_reports_take_one_scan(spark, make_spec, make_extract, make_targets, tmp_path):
+    log = tmp_path / "scans"
+    log.mkdir()
+
+    def watched(batches):
+        (log / uuid.uuid4().hex).touch()
+        yield from batches
+
+    rows = [*ROWS, (EARLIER, "U07", "Odd"), (IN_WEEK, None)]
+    raw = make_extract(rows).coalesce(1)
+    raw = raw.mapInPandas(watched, raw.schema)
+    specs = [
+        make_spec(name="001"),
+        make_spec(name="all", segments=(), excluded_unit=None),
+        make_spec(name="none", segments=("Nowhere",), excluded_unit=None),
+    ]
+    inputs = {s.name: RawInputs(raw, make_targets(TARGETS)) for s in specs}
+    spark.sql("DROP DATABASE IF EXISTS details CASCADE")
+    spark.sql("CREATE DATABASE details")
+    spark.sql("CREATE TABLE details.rows (d timestamp_ntz, s string, u string) USING parquet")
+    out = str(tmp_path / "out")
+    rules = [PublishRule("rows", "detail", "all")]
+    outcome = run(
+        spark, ReportBook(specs, rules), out, week=WEEK, inputs=inputs, destination="details", keep_detail=True
+    )
+    # The tally, the details, and the segments present next to the one that is not there.
+    assert len(list(log.iterdir())) == 3
+    kept = spark.read.schema("report string, week string, unit_code string").parquet(f"{out}/detail")
+    assert {tuple(r) for r in kept.groupBy("report").count().collect()} == {("001", 5), ("all", 6)}
+    assert outcome.published.rows == 6 and spark.table("details.rows").count() == 6
+    assert {r.report for r in outcome.scoreboard.collect()} == {"001", "all", "none"}
+    # Nothing is left of a report that has no row any more.
+    run(spark, ReportBook(specs), out, week=WEEK, names=["001"], keep_detail=True,
+        inputs={"001": RawInputs(make_extract([(AFTER,)]), make_targets(TARGETS))})
+    kept = spark.read.schema("report string, week string, unit_code string").parquet(f"{out}/detail")
+    assert {tuple(r) for r in kept.groupBy("report").count().collect()} == {("all", 6)}
