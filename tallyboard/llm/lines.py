@@ -1,11 +1,16 @@
 """Fuzzy deduplication of lines.
 
-Lines are normalised: lower case, digits as 0, no ASCII punctuation. Equal normalised lines are one. The others are compared by the SimHash
-of their distinct words: of the 64 bits, cut into blocks, at most `DISTANCE` may differ,
-so some choice of blocks agrees, and lines are joined on every such choice.
-There are as many blocks as keep the keys longer than the number of lines asks.
-Candidates are verified by the edit distance of their words. Of each connected
-group the first occurrence stays, by id, text and line number.
+Lines are normalised: lower case, digits as 0, no ASCII punctuation. Equal normalised lines are one. The others are joined by
+pigeonhole over their words: where e edits are allowed, the e + 1 first words of
+two lines, in one order of all words, have a word in common, whatever the order.
+Words that are rare in a sample come first, which only keeps the keys small. An
+edit changes at most two bits of the parity of a line's words, so candidates
+further apart are none. The rest is verified by the edit distance of the words:
+no pair that it accepts is lost. Of each connected group the first occurrence
+stays, by id, text and line number.
+
+`simhashes`, `DISTANCE` and `blocks_for` find no candidates any more: near-equal
+lines differ in up to 42 of 64 SimHash bits.
 
 Lines of fewer than `min_words` normalised words always stay. Null and empty
 texts have no lines to remove and stay as they are. Rows with equal id and text
@@ -15,7 +20,6 @@ give no rows.
 
 from __future__ import annotations
 
-import itertools
 import math
 import string
 
@@ -28,7 +32,10 @@ from .common import batches, dropped, mixed, ship, stored, text_bytes, word_hash
 from .links import linked
 from .near import text_key
 
-DISTANCE = 3
+#: SimHash bits in which near-equal lines may differ: any, as no lower bound keeps all of them.
+DISTANCE = 64
+#: Documents whose words are counted for the order of all words, and the commonest words that are told apart by their count.
+SAMPLE, COMMON = 4000, 1 << 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -106,27 +113,83 @@ def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
 
 
 def blocks_for(lines: int) -> int:
-    """The least number of blocks whose agreeing ones have more bits than the count of lines, by two."""
+    """The least number of blocks whose agreeing ones have more bits than the count of lines, by two; nine if none have."""
     wanted = math.log2(max(lines, 2)) + 2
-    return next(b for b in range(DISTANCE + 1, 10) if 64 * (b - DISTANCE) / b >= wanted or b == 9)
+    return next((b for b in range(DISTANCE + 1, 10) if 64 * (b - DISTANCE) / b >= wanted), 9)
 
 
-def block_keys(simhash: Column, blocks: int) -> Column:
-    """An array of keys, one for each choice of blocks that may agree."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    keys = []
-    for table, chosen in enumerate(itertools.combinations(range(blocks), blocks - DISTANCE)):
-        key = F.lit(table).cast("long")
-        for block in chosen:
-            width = edges[block + 1] - edges[block]
-            part = F.shiftrightunsigned(simhash, edges[block]).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-            key = F.shiftleft(key, width).bitwiseOR(part)
-        keys.append(key)
-    return F.array(*keys)
+def allowed(words: np.ndarray, percent: int) -> np.ndarray:
+    """The most edits between a line of so many words and any line near it, itself up to 100 / percent as long."""
+    return (100 - percent) * (100 * words // percent) // 100
 
 
-def all_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, text_key, line, the hash of the normalised line, its SimHash and word count, for all lines long enough."""
+def tokens(words: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word and how often it came before in its line; with their lines, which stay in order."""
+    keys = (line.astype(np.uint64) << np.uint64(40)) | (words >> np.uint64(24))
+    keys.sort()
+    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    before = np.arange(len(keys)) - np.repeat(new, np.diff(np.r_[new, len(keys)]))
+    with np.errstate(over="ignore"):
+        numbers = mixed((keys & np.uint64(2**40 - 1)) + before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return numbers, (keys >> np.uint64(40)).astype(np.int64)
+
+
+def first_words(words: np.ndarray, sizes: np.ndarray, most: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line with edits allowed the `most` + 1 first tokens in the order of all tokens, and how many these are.
+
+    A token is ordered and named by 44 bits: its rank among the common ones and
+    28 of its own. Tokens of one name only make more candidates.
+    """
+    found, counts = [np.zeros(0, np.uint64)], np.where(most > 0, np.minimum(most + 1, sizes), 0)
+    begins = np.cumsum(sizes) - sizes
+    for start in range(0, len(sizes), 1 << 20):
+        own = slice(start, start + (1 << 20))
+        line = np.repeat(np.arange(len(sizes[own])), sizes[own])
+        numbers, line = tokens(words[begins[start] : begins[start] + len(line)], line)
+        rank = np.zeros(len(numbers), np.uint64)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, numbers), len(common) - 1)
+            rank = np.where(common[at] == numbers, ranks[at], np.uint64(0))
+        names = (line.astype(np.uint64) << np.uint64(44)) | (rank << np.uint64(28)) | (numbers >> np.uint64(36))
+        names.sort()
+        place = np.arange(len(names)) - (begins[own] - begins[start])[line]
+        found.append(names[place < counts[own][line]] & np.uint64(2**44 - 1))
+    return np.concatenate(found), counts
+
+
+def parities(words: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """64 bits of each line: whether an odd number of its words falls to a bit. One edit changes at most two of them."""
+    return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(words) & np.uint64(63)), begins)
+
+
+def common_words(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """The commonest tokens of sampled documents, sorted, and their ranks from 1, the commonest last."""
+    share = sample / max(docs.count(), 1)
+    drawn = docs.where(F.pmod(text_key(), F.lit(1_000_000)) < share * 1_000_000)
+
+    def count(iterator):
+        for batch in batches(iterator, 1 << 20):
+            data = b"\n".join(normalised(text) for text in batch.column(0).to_pylist()) + b"\n"
+            raw = np.frombuffer(data, np.uint8)
+            space = _SPACE[raw]
+            at = np.flatnonzero(~space & np.r_[True, space[:-1]])
+            words = data.split()
+            if not words:
+                continue
+            numbers, _ = tokens(word_hashes(words, len(words)), np.searchsorted(np.flatnonzero(raw == 10), at))
+            numbers, n = np.unique(numbers, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers.view(np.int64)), pa.array(n)], names=["token", "n"])
+
+    counted = drawn.select(text_bytes().alias("text")).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    top = counted.where("n > 1").orderBy(F.desc("n"), "token").limit(COMMON - 1).collect()
+    common = np.array([r.token for r in top], np.int64).view(np.uint64)
+    order = np.argsort(common)
+    return common[order], (len(top) - order).astype(np.uint64)
+
+
+def all_lines(docs: DataFrame, min_words: int, percent: int) -> DataFrame:
+    """doc_id, text_key, line, the hash of the normalised line, its parity, word count and keys, for all lines long enough."""
+    common, ranks = common_words(docs)
 
     def measure(iterator):
         for batch in batches(iterator, 1 << 20):
@@ -146,13 +209,14 @@ def all_lines(docs: DataFrame, min_words: int) -> DataFrame:
             sizes = np.bincount(line, minlength=len(ends))
             long = sizes >= min_words
             kept = long[line]
-            hashes, line = hashes[kept], (np.cumsum(long) - 1)[line[kept]]
+            hashes = hashes[kept]
             sizes, row, number = sizes[long], row[long], number[long]
             if not len(sizes):
                 continue
             begins = np.cumsum(sizes) - sizes
             place = np.arange(len(hashes)) - np.repeat(begins, sizes)
             high, low = (np.add.reduceat(mixed(hashes ^ mixed(place.astype(np.uint64) + np.uint64(seed))), begins) for seed in (1, 1 << 40))
+            keys, counts = first_words(hashes, sizes, allowed(sizes, percent), common, ranks)
             taken = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -161,36 +225,37 @@ def all_lines(docs: DataFrame, min_words: int) -> DataFrame:
                     pa.array(number.astype(np.int32)),
                     pa.array(high.view(np.int64)),
                     pa.array(low.view(np.int64)),
-                    pa.array(simhashes(hashes, line, len(sizes)).view(np.int64)),
+                    pa.array(parities(hashes, begins).view(np.int64)),
                     pa.array(sizes.astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys.view(np.int64))),
                 ],
-                names=["doc_id", "text_key", "line", "high", "low", "simhash", "n_words"],
+                names=["doc_id", "text_key", "line", "high", "low", "parity", "n_words", "keys"],
             )
 
     return docs.select(text_bytes().alias("text"), F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key")).mapInArrow(
-        measure, "doc_id long, text_key long, line int, high long, low long, simhash long, n_words int"
+        measure, "doc_id long, text_key long, line int, high long, low long, parity long, n_words int, keys array<bigint>"
     )
 
 
 def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> DataFrame:
     """(doc_id, text_key, lines): the numbers of the lines to remove from each document that loses any."""
     ship(docs.sparkSession)
-    every = stored(all_lines(docs, min_words).withColumn("row", F.monotonically_increasing_id()), "lines")
+    every = stored(all_lines(docs, min_words, percent).withColumn("row", F.monotonically_increasing_id()), "lines")
     distinct = stored(
         every.groupBy("high", "low").agg(
             F.min("row").alias("node"),
             F.min(F.struct("doc_id", "text_key", "line")).alias("first"),
             F.count("*").alias("held"),
-            F.first("simhash").alias("simhash"),
+            F.first("parity").alias("parity"),
             F.first("n_words").alias("n_words"),
+            F.first("keys").alias("keys"),
         ),
         "distinct",
     )
-    blocks = blocks_for(distinct.count())
-    keyed = distinct.select("node", "simhash", "n_words", F.explode(block_keys(F.col("simhash"), blocks)).alias("key"))
+    keyed = distinct.select("node", "parity", "n_words", F.explode(F.array_distinct("keys")).alias("key"))
     # Equal lines are one here; the buffer of a key with many holders goes to disk.
     counted = keyed.withColumn("holders", F.count("*").over(Window.partitionBy("key")))
-    postings = stored(counted.where("holders > 1").select("key", "node", "simhash", "n_words"), "postings")
+    postings = stored(counted.where("holders > 1").select("key", "node", "parity", "n_words"), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
         candidates = stored(pairs, "candidates")
@@ -202,8 +267,9 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> Da
 
     def close(a: str, b: str) -> Column:
         n, m = F.col(f"{a}n_words"), F.col(f"{b}n_words")
-        near = F.bit_count(F.col(f"{a}simhash").bitwiseXOR(F.col(f"{b}simhash"))) <= DISTANCE
-        return near & (100 * n >= percent * m) & (100 * m >= percent * n)
+        edits = F.floor((100 - percent) * F.greatest(n, m) / 100)
+        apart = F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity")))
+        return (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
 
     labels = linked(postings, verified, close)
     grouped = distinct.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -1,5 +1,6 @@
 """Repeated passages, near duplicates, repetition rules and fuzzy lines against plain versions."""
 
+import itertools
 import random
 
 import numpy as np
@@ -237,3 +238,27 @@ def test_fuzzy_lines_of_odd_rows(docs):
     assert len(by) == len(rows)
     assert [x for x in by if x[0] >= 30] == [(30, line, 0), (30, line, 0), (31, "next", 1)]
     assert lines.without_repeated_lines(docs([])).count() == 0
+
+
+def test_near_equal_lines_are_all_found(docs):
+    """Against edit similarity alone, over words without digits."""
+    draw = random.Random(12)
+    vocabulary = ["".join(draw.choice("abcdefghijklm") for _ in range(3)) for _ in range(400)]
+    rows = []
+    for _ in range(60):
+        own = [draw.choice(vocabulary[: draw.choice((3, 400))]) for _ in range(draw.choice((9, 10, 19, 20, 30, 100)))]
+        rows.append(" ".join(own))
+        most = len(own) // 10
+        for _ in range(draw.randint(0, most)):
+            at = draw.randrange(len(own))
+            own[at : at + draw.randint(0, 1)] = [draw.choice(vocabulary)] * draw.randint(0, 1)
+        rows.append(" ".join(own))
+    rows = list(enumerate(rows))
+    links = []
+    for (i, a), (j, b) in itertools.combinations(rows, 2):
+        a, b = a.split(), b.split()
+        if brute.edits(a, b) <= max(len(a), len(b)) // 10:
+            links.append((i, j))
+    root = brute.components(range(len(rows)), links)
+    assert 40 < len({i for i in root if root[i] != i})
+    assert {r.doc_id for r in lines.repeated_lines(docs(rows)).collect()} == {i for i in root if root[i] != i}
