@@ -7,6 +7,12 @@ the lists of all shards are united. Each vector is then searched for: a greedy
 beam from the shard's medoids, then an expansion through everything within reach
 of the linking cosine. What is found is verified in double precision.
 
+A vector with links to a tenth of a full shard is dense: its group may be
+larger than a shard. Links between two dense vectors are counted exactly, apart
+from the graph: dense vectors form cells by home shard, cells provably beyond
+the cosine by centre and radius are left out, cells provably within it are
+counted by their sizes, and all others are compared cell by cell.
+
 The centres are fitted on the `sample` classes with the smallest hashes (of an
 over-large shard: on a like sample of its own), which only decides how vectors
 are dealt; every vector is in the graph and is searched for. Links of vectors
@@ -35,6 +41,8 @@ from .links import components
 DEGREE, POOL, SLACK, BEAM, REACH = 24, 64, 1.2, 32, 0.1
 #: Most splits of an over-large shard.
 SPLITS = 6
+#: Dense are vectors with links to one in so many rows of a full shard; most vectors of a cell of dense ones.
+DENSE, CELL = 10, 2000
 
 
 def centres(vectors: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
@@ -259,6 +267,88 @@ def dealt(classes: DataFrame, shard_rows: int, sample: int) -> DataFrame:
     return now
 
 
+def near_counts(units: np.ndarray, cosine: float) -> np.ndarray:
+    """How many rows of a shard are within the cosine of each, itself included."""
+    return np.concatenate([(units[at : at + 256] @ units.T >= cosine).sum(1) for at in range(0, len(units), 256)])
+
+
+def cell_pairs(centre: np.ndarray, radius: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j), i < j, of cells that are within the cosine as a whole, and pairs, i <= j, to be compared."""
+    whole, open_ = [], []
+    reach = math.acos(min(1.0, max(-1.0, cosine)))
+    for i in range(len(centre)):
+        angle = np.arccos(np.clip(centre[i:] @ centre[i], -1, 1))
+        spread = radius[i:] + radius[i]
+        inside = angle + spread <= reach - 1e-6
+        inside[0] = False  # a cell with itself is compared
+        beyond = angle - spread > reach + 1e-6
+        beyond[0] = False
+        whole.append(np.column_stack([np.full(int(inside.sum()), i), i + np.flatnonzero(inside)]))
+        rest = np.flatnonzero(~inside & ~beyond)
+        open_.append(np.column_stack([np.full(len(rest), i), i + rest]))
+    return np.concatenate(whole), np.concatenate(open_)
+
+
+def dense_links(shards: DataFrame, dense: DataFrame, cosine: float, cell_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Links between dense vectors: (node, links), the rows that each links with, and (a, b), a spanning set."""
+    spark = shards.sparkSession
+    own = stored(shards.where("home").join(dense, "node").select("shard", "node", "held", "unit"), "dense")
+    parts = own.groupBy("shard").agg(F.ceil(F.count("*") / cell_rows).alias("parts"))
+    name = F.concat_ws("/", "shard", F.pmod(F.xxhash64("node"), F.col("parts")).cast("string"))
+    own = stored(own.join(parts, "shard").select(name.alias("cell"), "node", "held", "unit"), "cells")
+
+    def measure(group: pd.DataFrame) -> pd.DataFrame:
+        units = _matrix(group["unit"])
+        total = units.sum(0)
+        norm = np.linalg.norm(total)
+        centre = total / norm if norm else units[0]
+        radius = float(np.arccos(np.clip(units @ centre, -1, 1)).max())
+        return pd.DataFrame({"cell": [group["cell"].iloc[0]], "centre": [centre.tobytes()], "radius": [radius], "held": [int(group["held"].sum())], "one": [int(group["node"].min())]})
+
+    cells = own.groupBy("cell").applyInPandas(measure, "cell string, centre binary, radius double, held long, one long").orderBy("cell").toPandas()
+    whole, compared = [], []
+    for _, same in cells.groupby(cells["centre"].map(len)):
+        inside, rest = cell_pairs(_matrix(same["centre"]), same["radius"].to_numpy(), cosine)
+        at = same.index.to_numpy()
+        whole.append(at[inside])
+        compared.append(at[rest])
+    whole, compared = np.concatenate(whole), np.concatenate(compared)
+    names, ones, held = cells["cell"].to_numpy(), cells["one"].to_numpy(), cells["held"].to_numpy()
+    both = np.concatenate([whole, whole[:, ::-1]])
+    sure = pd.DataFrame({"cell": names[both[:, 0]], "links": held[both[:, 1]], "b": ones[both[:, 1]], "a": ones[both[:, 0]]})
+    pairs = pd.DataFrame({"pair": np.arange(len(compared)), "one": names[compared[:, 0]], "two": names[compared[:, 1]]})
+    pairs = spark.createDataFrame(pairs, "pair long, one string, two string")
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        x, y = left["node"].to_numpy(), right["node"].to_numpy()
+        near = _matrix(left["unit"]) @ _matrix(right["unit"]).T >= cosine
+        itself = left["cell"].iloc[0] == right["cell"].iloc[0]
+        if itself:
+            near &= x[:, None] != y[None, :]
+        nodes, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+        i, j = np.nonzero(near)
+        root = _roots(len(nodes), at[: len(x)][i], at[len(x) :][j])
+        links = np.bincount(at[: len(x)], near @ right["held"].to_numpy(), len(nodes))
+        if not itself:
+            links += np.bincount(at[len(x) :], left["held"].to_numpy() @ near, len(nodes))
+        some = links > 0
+        return pd.DataFrame({"a": nodes[some], "b": nodes[root[some]], "links": links[some].astype(np.int64)})
+
+    one = own.join(pairs.select("pair", F.col("one").alias("cell")), "cell")
+    two = own.join(pairs.select(F.col("pair").alias("of"), F.col("two").alias("cell")), "cell")
+    two = two.select("of", *(F.col(x).alias(x) for x in own.columns))
+    found = one.groupBy("pair").cogroup(two.groupBy("of")).applyInPandas(compare, "a long, b long, links long")
+    found = stored(found, "dense_found")
+    counted, edges = found.select(F.col("a").alias("node"), "links"), found.select("a", "b")
+    if len(sure):
+        sums = sure.groupby("cell", as_index=False).agg(links=("links", "sum"), b=("b", "min"))
+        sums = spark.createDataFrame(sums, "cell string, links long, b long")
+        within = own.select("cell", "node").join(sums, "cell")
+        counted = counted.union(within.select("node", "links"))
+        edges = edges.union(within.select("node", "b")).union(spark.createDataFrame(sure[["a", "b"]], "a long, b long"))
+    return counted, edges
+
+
 def linked_vectors(vectors: DataFrame, cosine: float = 0.9, shard_rows: int = 4000, sample: int = 8192) -> DataFrame:
     """vec_id, n_links, component_id and kept; one row per row of `vectors` (vec_id, embedding)."""
     ship(vectors.sparkSession)
@@ -268,18 +358,24 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.9, shard_rows: int = 40
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
         nodes = group["node"].to_numpy()
-        lists = pruned(_matrix(group["unit"]))
+        units = _matrix(group["unit"])
+        lists = pruned(units)
         at, place = np.nonzero(lists >= 0)
-        return pd.DataFrame({"u": nodes[at], "v": nodes[lists[at, place]]})
-
-    edges = shards.groupBy("shard").applyInPandas(build, "u long, v long").distinct()
-    inner = edges.join(shards.select(F.col("shard").alias("inner_shard"), F.col("node").alias("u")), "u").join(
+        full = near_counts(units, cosine) > limit  # marked by an edge to itself
+        return pd.DataFrame({"u": np.concatenate([nodes[at], nodes[full]]), "v": np.concatenate([nodes[lists[at, place]], nodes[full]])})
+
+    limit = max(1, shard_rows // DENSE)
+    built = stored(shards.groupBy("shard").applyInPandas(build, "u long, v long").distinct(), "graph")
+    dense = stored(built.where("u = v").select(F.col("u").alias("node")), "dense")
+    marked = shards.join(dense.withColumn("dense", F.lit(True)), "node", "left").withColumn("dense", F.coalesce("dense", F.lit(False)))
+    inner = built.where("u <> v").join(shards.select(F.col("shard").alias("inner_shard"), F.col("node").alias("u")), "u").join(
         shards.select(F.col("shard").alias("inner_shard"), F.col("node").alias("v")), ["inner_shard", "v"]
     )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = left.sort_values("node")
         nodes, units, home, held = left["node"].to_numpy(), _matrix(left["unit"]), left["home"].to_numpy(), left["held"].to_numpy()
+        full = left["dense"].to_numpy()
         n = len(nodes)
         if right.empty:
             return pd.DataFrame({x: np.zeros(0, np.int64) for x in ("a", "b", "links")})
@@ -289,6 +385,8 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.9, shard_rows: int = 40
         a, b = np.minimum(a, b), np.maximum(a, b)
         pairs = np.unique(a * n + b)
         a, b = pairs // n, pairs % n
+        sparse = ~(full[a] & full[b])  # links of two dense vectors are counted apart
+        a, b = a[sparse], b[sparse]
         own = home[a] & home[b]
         local = np.bincount(a[own], held[b[own]], n) + np.bincount(b[own], held[a[own]], n)
         root = _roots(n, a[own], b[own])
@@ -297,7 +395,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.9, shard_rows: int = 40
         far = pd.DataFrame({"a": nodes[a[~own]], "b": nodes[b[~own]], "links": np.zeros(int((~own).sum()), np.int64)})
         return pd.concat([here, far])
 
-    found = shards.groupBy("shard").cogroup(inner.groupBy("inner_shard")).applyInPandas(search, "a long, b long, links long")
+    found = marked.groupBy("shard").cogroup(inner.groupBy("inner_shard")).applyInPandas(search, "a long, b long, links long")
     found = stored(found, "found")
     homes = shards.where("home").select("node", F.col("shard").alias("home_shard"))
     far = found.where("links = 0").select("a", "b").distinct()
@@ -311,7 +409,12 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.9, shard_rows: int = 40
     both = far.union(far.select(F.col("b").alias("a"), F.col("a").alias("b")))
     counted = both.join(classes.select(F.col("node").alias("b"), "held"), "b").select(F.col("a").alias("node"), F.col("held").alias("links"))
     counted = counted.union(found.where("links > 0").select("a", "links")).groupBy("node").agg(F.sum("links").alias("links"))
-    labels = components(found.where("links > 0").select("a", "b").union(far))
+    edges = found.where("links > 0").select("a", "b").union(far)
+    if not dense.isEmpty():
+        within, spanning = dense_links(shards, dense, cosine, min(CELL, shard_rows))
+        counted = counted.union(within).groupBy("node").agg(F.sum("links").alias("links"))
+        edges = edges.union(spanning)
+    labels = components(edges)
     grouped = classes.join(labels, "node", "left").join(counted, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
     placed = grouped.join(least, "label").select(

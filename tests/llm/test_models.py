@@ -193,6 +193,29 @@ def test_dense_copies_are_all_linked():
     assert len(a) >= 0.99 * near.sum() and near[a, b].all()
 
 
+def test_a_dense_group_larger_than_its_shards(spark):
+    draw = np.random.default_rng(5)
+    units = np.concatenate([draw.normal(size=(1400, 64)), draw.normal(size=64) + draw.normal(size=(700, 64)) * 0.2])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    near = units @ units.T >= 0.9
+    np.fill_diagonal(near, False)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
+    found = graph.linked_vectors(table, shard_rows=100)
+    got = {r.vec_id: r for r in found.collect()}
+    assert near.sum() > 400_000 and sum(r.n_links for r in got.values()) == near.sum()
+    assert {i: got[i].component_id for i in got} == brute.components(range(len(units)), zip(*np.nonzero(near)))
+    exact = graph.audited(table, found).first()
+    assert exact.links == exact.found > 0
+
+
+def test_cells_within_the_cosine_are_counted_whole(spark):
+    draw = np.random.default_rng(6)
+    units = draw.normal(size=32) + draw.normal(size=(600, 32)) * 0.02
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
+    got = graph.linked_vectors(table, shard_rows=100).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(599, 0)}
+
+
 def test_odd_vectors(spark):
     rows = [(None, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [None, 1.0]), (6, []), (7, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [2.0, 0.1]), (9, [1.0, 0.0, 0.0]), (10, [1e-300, 0.0])]
     table = spark.createDataFrame([(*r, "k", 1) for r in rows], "vec_id long, embedding array<double>, node string, label int")
