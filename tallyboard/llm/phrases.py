@@ -2,11 +2,10 @@
 
 A window is `window` consecutive words. Of the short phrases inside any window
 the one with the least hash is its anchor, so equal windows have equal anchors.
-Anchors that occur twice or more mark the recurring passages. Their phrases are
-compiled into Aho-Corasick automata, a shard for each batch of documents that
-share them, over an alphabet in which every word is one letter; streaming the
-documents through their shard locates every occurrence. All windows around an
-occurrence are confirmed by 128-bit hashes: a word goes if a window that covers
+Anchors that occur twice or more mark the recurring passages, and their join
+locates them. The phrases of a batch of documents are also compiled into an
+Aho-Corasick automaton, over an alphabet in which every word is one letter,
+which scans that batch alone. All windows around an occurrence are confirmed by 128-bit hashes: a word goes if a window that covers
 it starts earlier too, in a smaller id or earlier in the document.
 
 Of documents with the same words only the first takes part; in the others every
