@@ -1,8 +1,9 @@
-"""ISO weeks, as driver values and as Column expressions.
+"""Weeks that run from Monday to Sunday, on the driver and inside a plan.
 
-A week id is written ``YYYY-Www`` with the ISO year, so ids sort in time order.
-"Year to date" starts on 1 January of the civil year of the week's *Monday*;
-a week that straddles New Year therefore still cumulates on the old year.
+Ids look like ``2026-W37`` and compare as text in the order of time. Two periods
+belong to a week: its seven days, and the days from New Year to its Sunday. The
+New Year meant is that of the civil year its Monday lies in, so a week across
+the turn of the year closes the old one.
 """
 
 from __future__ import annotations

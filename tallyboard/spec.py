@@ -1,13 +1,15 @@
 """Report declarations.
 
 A report binds fixed roles to the headers of its datasets, so adding a report
-never needs code. Everything is validated when the object is built, before
-Spark is asked for anything.
+never needs code. What a declaration must satisfy stands beside its fields as
+data: a constraint maps a value to its complaint, or to nothing. A declaration
+is judged as a whole when it is built, and every complaint is in the error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from tallyboard.errors import SpecError
@@ -16,6 +18,7 @@ from tallyboard.functions.weeks import CUTOFFS
 SOURCE_ROLES = ("date", "segment", "unit")
 TARGET_ROLES = ("unit", "start", "annual")
 BLOCKS = ("detail", "targets", "scoreboard")
+AMOUNT_POLICIES = ("refuse", "exclude")
 
 # Text dates are read with these patterns unless the report declares its own.
 DATE_FORMATS = (
@@ -30,6 +33,47 @@ DATE_FORMATS = (
 )
 
 
+Constraint = Callable[[object], str | None]
+
+
+def _given(value: object) -> str | None:
+    return None if value else "is not given"
+
+
+def _one_of(choices: Sequence[str], noun: str = "value") -> Constraint:
+    def judge(value: object) -> str | None:
+        return None if value in choices else f"unknown {noun} {value!r}, one of {list(choices)} is expected"
+
+    return judge
+
+
+def _binds(roles: Sequence[str]) -> Constraint:
+    def judge(binding: object) -> str | None:
+        unbound = sorted(set(roles) - {role for role, name in dict(binding or {}).items() if name}, key=roles.index)
+        return f"binds roles to headers, missing {unbound}" if unbound else None
+
+    return judge
+
+
+def _listed(values: object) -> str | None:
+    return "lists of values are expected, not a text" if isinstance(values, str) else None
+
+
+def _all_listed(lists: object) -> str | None:
+    return next(filter(None, map(_listed, dict(lists).values())), None)
+
+
+def _refuse(what: str, complaints: Iterable[str]) -> None:
+    found = list(complaints)
+    if found:
+        raise SpecError(f"{what}: " + "; ".join(found))
+
+
+def _judged(declared: object, constraints: Mapping[str, Constraint]) -> list[str]:
+    verdicts = {name: judge(getattr(declared, name)) for name, judge in constraints.items()}
+    return [f"{name}: {complaint}" for name, complaint in verdicts.items() if complaint]
+
+
 @dataclass(frozen=True)
 class Feed:
     """Where a dataset comes from.
@@ -53,8 +97,17 @@ class Feed:
             raise SpecError("a feed needs either a landing pattern or a database")
 
 
-def _unbound(roles: Sequence[str], binding: Mapping[str, str]) -> list[str]:
-    return [role for role in roles if not binding.get(role)]
+REPORT_CONSTRAINTS: dict[str, Constraint] = {
+    "name": _given,
+    "source": _given,
+    "targets": _given,
+    "source_columns": _binds(SOURCE_ROLES),
+    "target_columns": _binds(TARGET_ROLES),
+    "segments": _listed,
+    "filters": _all_listed,
+    "cutoff": _one_of(CUTOFFS),
+    "unreadable_amounts": _one_of(AMOUNT_POLICIES),
+}
 
 
 @dataclass(frozen=True)
@@ -70,6 +123,9 @@ class ReportSpec:
     excluded_unit: str | None = None
     measure: str | None = None  # header to sum; None counts rows
     measure_type: str | None = None  # numbers keep their own type; text needs one
+    # What an amount that cannot be read whole does: ``refuse`` the run, or
+    # ``exclude`` the row from the sum. Either way it is counted and named.
+    unreadable_amounts: str = "refuse"
     filters: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     cutoff: str = "day"
     date_formats: tuple[str, ...] = DATE_FORMATS
@@ -79,36 +135,14 @@ class ReportSpec:
     text_is_trimmed: bool = False
 
     def __post_init__(self) -> None:
-        if not self.name:
-            raise SpecError("a report needs a name")
-        where = f"report {self.name!r}"
-        for attribute, feed in (("source", self.source), ("targets", self.targets)):
-            if feed is None:
-                raise SpecError(f"{where}: missing mandatory field {attribute!r}")
-        for attribute, roles in (
-            ("source_columns", SOURCE_ROLES),
-            ("target_columns", TARGET_ROLES),
-        ):
-            missing = _unbound(roles, getattr(self, attribute))
-            if missing:
-                raise SpecError(
-                    f"{where}: {attribute} must bind {list(roles)} to headers, missing {missing}"
-                )
-        if self.cutoff not in CUTOFFS:
-            raise SpecError(f"{where}: cutoff must be one of {list(CUTOFFS)}")
-        if isinstance(self.segments, str) or any(
-            isinstance(values, str) for values in self.filters.values()
-        ):
-            raise SpecError(f"{where}: segments and filters are lists of values")
-        tidy = {
-            "label": self.label or self.name,
-            "segments": tuple(self.segments),
-            "filters": {header: tuple(values) for header, values in self.filters.items()},
-            "date_formats": tuple(self.date_formats),
-            "excluded_unit": (self.excluded_unit or "").strip() or None,
-        }
-        for attribute, value in tidy.items():
-            object.__setattr__(self, attribute, value)
+        _refuse(f"report {self.name!r}", _judged(self, REPORT_CONSTRAINTS))
+        settle = object.__setattr__  # the record is frozen from here on
+        settle(self, "segments", tuple(self.segments))
+        settle(self, "filters", {name: tuple(values) for name, values in self.filters.items()})
+        settle(self, "date_formats", tuple(self.date_formats))
+        settle(self, "label", self.label or self.name)
+        if self.excluded_unit is not None:
+            settle(self, "excluded_unit", self.excluded_unit.strip() or None)
 
     @property
     def extract_key(self) -> tuple:
@@ -125,6 +159,13 @@ class ReportSpec:
         )
 
 
+RULE_CONSTRAINTS: dict[str, Constraint] = {
+    "target": _given,
+    "report": _given,
+    "block": _one_of(BLOCKS, "block"),
+}
+
+
 @dataclass(frozen=True)
 class PublishRule:
     """Copy one block of one report to one existing target table."""
@@ -134,19 +175,11 @@ class PublishRule:
     report: str
 
     def __post_init__(self) -> None:
-        for attribute in ("target", "block", "report"):
-            if not getattr(self, attribute):
-                raise SpecError(f"publish rule: missing mandatory field {attribute!r}")
-        if self.block not in BLOCKS:
-            raise SpecError(
-                f"publish rule for {self.target!r}: unknown block {self.block!r}, "
-                f"expected one of {list(BLOCKS)}"
-            )
+        _refuse(f"publish rule for {self.target!r}", _judged(self, RULE_CONSTRAINTS))
 
 
-def _repeated(names: Iterable[str]) -> list[str]:
-    seen: set[str] = set()
-    return sorted({name for name in names if name in seen or seen.add(name)})
+def _more_than_once(names: Iterable[str]) -> list[str]:
+    return sorted(name for name, times in Counter(names).items() if times > 1)
 
 
 @dataclass(frozen=True)
@@ -159,28 +192,32 @@ class ReportBook:
     def __post_init__(self) -> None:
         object.__setattr__(self, "reports", tuple(self.reports))
         object.__setattr__(self, "publish", tuple(self.publish))
+        _refuse("book of reports", self._complaints())
+
+    def _complaints(self) -> Iterable[str]:
         if not self.reports:
-            raise SpecError("no report is declared")
-        twice = _repeated(self.names)
-        if twice:
-            raise SpecError(f"several reports are named {twice}")
-        for rule in self.publish:
-            self.report(rule.report)
+            yield "no report is declared"
+        if repeated := _more_than_once(self.names):
+            yield f"several reports are named {repeated}"
+        for name in sorted({rule.report for rule in self.publish} - set(self.names)):
+            yield self._unknown(name)
         # Table names are case-insensitive in the catalog.
-        twice = _repeated(rule.target.lower() for rule in self.publish)
-        if twice:
-            raise SpecError(f"several blocks are published to the same target {twice}")
+        if repeated := _more_than_once(rule.target.lower() for rule in self.publish):
+            yield f"several blocks are published to the same target {repeated}"
+
+    def _unknown(self, name: str) -> str:
+        return f"unknown report {name!r}, declared reports: {', '.join(self.names)}"
 
     @property
     def names(self) -> list[str]:
         return [report.name for report in self.reports]
 
     def report(self, name: str) -> ReportSpec:
-        for report in self.reports:
-            if report.name == name:
-                return report
-        raise SpecError(f"unknown report {name!r}, declared reports: {', '.join(self.names)}")
+        return self.select([name])[0]
 
     def select(self, names: Sequence[str] | None = None) -> list[ReportSpec]:
         """The named reports, all of them by default, each once. Every name is checked."""
-        return [self.report(name) for name in dict.fromkeys(names or self.names)]
+        declared = {report.name: report for report in self.reports}
+        wanted = list(dict.fromkeys(names or self.names))
+        _refuse("selection of reports", (self._unknown(name) for name in wanted if name not in declared))
+        return [declared[name] for name in wanted]

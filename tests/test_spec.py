@@ -78,3 +78,30 @@ def test_reports_that_differ_by_what_they_keep_share_an_extract(make_spec):
     assert base.extract_key == make_spec(name="b", filters={"Kind": ("A",)}).extract_key
     assert base.extract_key != make_spec(name="b", cutoff="midnight").extract_key
     assert base.extract_key != make_spec(name="b", measure="Amount", measure_type="decimal(18,2)").extract_key
+
+
+def test_every_violation_of_a_declaration_is_named(make_spec):
+    with pytest.raises(SpecError) as failure:
+        make_spec(name="", targets=None, source_columns={"unit": "U"}, segments="Retail", cutoff="noon")
+    for part in ("name", "targets", r"['date', 'segment']", "lists", "noon"):
+        assert part in str(failure.value)
+    with pytest.raises(SpecError) as failure:
+        PublishRule("", "summary", "")
+    for part in ("target", "summary", "report"):
+        assert part in str(failure.value)
+
+
+def test_every_violation_of_a_book_is_named(make_spec):
+    rules = [PublishRule("board", "detail", "sales"), PublishRule("Board", "targets", "stock")]
+    with pytest.raises(SpecError) as failure:
+        ReportBook([make_spec(), make_spec()], rules)
+    for part in ("['activity']", "'sales'", "'stock'", "['board']"):
+        assert part in str(failure.value)
+    with pytest.raises(SpecError, match="'x'.*'y'"):
+        ReportBook([make_spec()]).select(["x", "activity", "y"])
+
+
+def test_amount_policies(make_spec):
+    assert make_spec().unreadable_amounts == "refuse"
+    with pytest.raises(SpecError, match="unreadable_amounts"):
+        make_spec(unreadable_amounts="ignore")
