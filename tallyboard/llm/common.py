@@ -36,15 +36,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[app]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the process exits."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a table in the shared folder and reads it back: a cut in the lineage that outlives executors.
 
     Shuffle files of what led to it go when the driver collects its garbage, so it is asked to.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    atexit.register(_delete, spark, path)
     back = spark.read.schema(df.schema).parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -144,10 +144,101 @@ SELECT vec_id, coalesce(degree.n, 0)::BIGINT AS n_links, labels.label AS compone
 FROM embeddings JOIN labels ON node = vec_id LEFT JOIN degree ON a = vec_id
 """
 
+#: The table of CRC-32: every byte, shifted and folded eight times.
+CRC_TABLE = """crc_step(step, entries) AS (
+    SELECT 0, list_transform(range(256), lambda x: x::BIGINT)
+    UNION ALL
+    SELECT step + 1, list_transform(entries, lambda x: xor(x >> 1, (x & 1) * 3988292384)) FROM crc_step WHERE step < 8
+), crc AS (SELECT entries FROM crc_step WHERE step = 8)"""
+
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of a text's UTF-8 bytes; needs crc among the tables read."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, x: xor(c >> 8, entries[(xor(c, x) & 255) + 1])), 4294967295)"
+
+
+OP11 = f"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(translate(coalesce(text, ''), '{A_Z}', '{A_Z.lower()}'), '[A-Za-z\u00C0-\u00FF]+')) AS run
+    FROM documents
+),
+hashed AS (SELECT run, {_crc32("doc || ':' || run")} AS h FROM run, crc WHERE length(run) >= 6),
+spelt AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+),
+v AS (SELECT word, count(*) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+masked AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS rest FROM v, unnest(range(1, length(word) + 1)) AS t(i)),
+lacking AS (SELECT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM v, unnest(range(1, length(word) + 1)) AS t(i)),
+pair AS (
+    SELECT x.word, y.word AS near, y.n FROM masked x JOIN masked y ON x.rest = y.rest AND x.word <> y.word
+    UNION SELECT lacking.word, v.word, v.n FROM lacking JOIN v ON lacking.rest = v.word
+    UNION SELECT v.word, lacking.word, lacking.n FROM lacking JOIN v ON lacking.rest = v.word
+),
+best AS (SELECT word, count(*) AS n_near, list(near ORDER BY n DESC, near)[1] AS near, max(n) AS near_n FROM pair GROUP BY word),
+judged AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+    FROM v LEFT JOIN best ON v.word = best.word
+),
+follow(word, reached) AS (
+    SELECT word, form FROM judged WHERE form IS NOT NULL
+    UNION ALL SELECT follow.word, judged.form FROM follow JOIN judged ON judged.word = follow.reached WHERE judged.form IS NOT NULL
+),
+topmost AS (SELECT follow.word, follow.reached AS root FROM follow JOIN judged ON judged.word = follow.reached WHERE judged.form IS NULL)
+SELECT judged.word, form, coalesce(root, judged.word) AS root, n::BIGINT AS n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM judged LEFT JOIN topmost ON judged.word = topmost.word
+"""
+
+_FIVE_BITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0))
+
+OP12 = f"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+    array_to_string(list_transform(list_transform(regexp_extract_all(sha1(payload), '.....'), lambda x: ('0x' || x)::BIGINT), lambda x: {_FIVE_BITS}), '') AS payload_digest,
+    CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id > first THEN first END AS refers_to
+FROM p
+"""
+
+OP13 = f"""
+WITH RECURSIVE {CRC_TABLE},
+turn AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text)) AS turns FROM turn GROUP BY conv_id
+),
+hashed AS (SELECT conv_id, turns, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM own, crc),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) AS turns
+    FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+member AS (SELECT conv_id, d, list_slice(turns, 1, d) AS path, d = len(turns) AS ends FROM rebuilt, unnest(range(0, len(turns) + 1)) AS t(d)),
+node AS (
+    SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ended FROM member GROUP BY path, d
+),
+child AS (SELECT list_slice(path, 1, d - 1) AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+figure AS (
+    SELECT node.*, coalesce(child.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(node.path[d].text) END AS saved FROM node LEFT JOIN child ON child.path = node.path
+),
+subtree AS (
+    SELECT list_slice(path, 1, k) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved FROM figure, unnest(range(0, d + 1)) AS t(k) GROUP BY 1
+)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+    s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(f.ended, '')) AS ends_sha256
+FROM figure f JOIN subtree s ON s.path = f.path LEFT JOIN node p ON f.d > 0 AND p.path = list_slice(f.path, 1, f.d - 1)
+"""
+
 ORACLE_SQL = {
     "op2_mixing": OP2,
     "op3_substring_dedup": OP3,
     "op4_minhash": OP4,
     "op7_repetition": OP7,
     "op8_embeddings": OP8,
+    "op11_spelling_variants": OP11,
+    "op12_warc": OP12,
+    "op13_conversation_trie": OP13,
 }

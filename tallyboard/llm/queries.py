@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bestfit, crf, graph, lines, mixing, near, packing, phrases, pseudonyms, repetition
+from . import archives, bestfit, crf, dialogues, graph, lines, mixing, near, packing, phrases, pseudonyms, repetition, spellings
+from .common import scratch
 
 TOKENIZER = "word_bpe_49k.json"
 #: Parameters of the registered queries.
@@ -75,6 +76,28 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", F.col("lines_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the pages as archives in the shared folder and reads them back."""
+    folder = scratch(spark, "archives")
+    archives.write_archives(_table(spark, sf_dir, "pages"), folder)
+    found = archives.records(archives.read_archives(spark, folder))
+    return found.select(
+        archives.page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        archives.page_of("refers_to").alias("refers_to"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogues.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,5 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_embeddings,
         op9_token_ids,
         op10_fuzzy_lines,
+        op11_spelling_variants,
+        op12_warc,
+        op13_conversation_trie,
     )
 }

@@ -17,7 +17,7 @@ from .test_text import brute_lines
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     want = con.execute(oracle.ORACLE_SQL[name])
