@@ -309,18 +309,25 @@ BACKFILL_SUM = backfill(
     measure="sum(cast(o_totalprice as decimal(18,2)))", **MONEY,
 )
 
-BACKFILL_EVENTS = f"""
+BACKFILL_URGENT = backfill(
+    kept=f"{KEPT} and o_orderpriority in ('1-URGENT', '0-NEVER')", excluded="'NATION_88'"
+)
+
+
+def backfill_of_events(first: str, last: str, kept: str, excluded: str, until: str) -> str:
+    """Mondays ``first`` to ``last``; ``until`` closes the week of ``s.monday``."""
+    return f"""
 with {EVENTS.strip()},
 seed as (
-  select strftime(monday, '%G-W%V') as key, monday, 'U3' as excluded from (
-    select cast(unnest(generate_series(timestamp '2023-12-25', timestamp '2024-02-05',
+  select strftime(monday, '%G-W%V') as key, monday, '{excluded}' as excluded from (
+    select cast(unnest(generate_series(timestamp '{first}', timestamp '{last}',
                                        interval 7 day)) as date) as monday)),
 vol as (
   select s.key, h.unit_code, count(*) filter (where h.ts >= s.monday) as actual_week,
     count(*) as actual_ytd
   from seed s join happened h
-    on h.ts >= make_date(cast(year(s.monday) as int), 1, 1) and h.ts <= s.monday + 6
-  where h.segment in ('click', 'purchase') group by s.key, h.unit_code),
+    on h.ts >= make_date(cast(year(s.monday) as int), 1, 1) and {until}
+  where h.segment in ({kept}) group by s.key, h.unit_code),
 planned as (select s.key, t.* from seed s cross join event_targets t),
 jk as (
   select coalesce(v.key, t.key) as key, coalesce(v.unit_code, t.unit_code) as unit_code,
@@ -331,6 +338,14 @@ jk as (
 select key as week, {COLUMNS} from board"""
 
 
+BACKFILL_EVENTS = backfill_of_events(
+    "2023-12-25", "2024-02-05", "'click', 'purchase'", "U3", "h.ts <= s.monday + 6"
+)
+BACKFILL_SIGNUPS = backfill_of_events(
+    "1994-12-26", "2001-07-30", "'signup'", "U9", "h.ts < s.monday + 7"
+)
+
+
 # ----------------------------------------------------------- presentation
 def integer_text(value: str, form: str = "{:,}") -> str:
     rounded = f"cast(round_even({value}, 0) as bigint)"
@@ -447,7 +462,9 @@ ORACLE_SQL: dict[str, str] = {
     "backfill_events": BACKFILL_EVENTS,
     "backfill_sum": BACKFILL_SUM,
     "backfill_reports": f"""select 'orders' as report, * from ({BACKFILL})
-      union all select 'everything' as report, * from ({BACKFILL_ALL})""",
+      union all select 'everything' as report, * from ({BACKFILL_ALL})
+      union all select 'urgent' as report, * from ({BACKFILL_URGENT})
+      union all select 'events' as report, * from ({BACKFILL_SIGNUPS})""",
     "block_scoreboard": f"""{SCOREBOARD} select unit_code as "Unit", actual_week as "Actual week",
       actual_ytd as "Actual year to date", target_start as "Start-of-year target",
       attainment as "Attainment", gap as "Gap", target_annual as "Annual target",

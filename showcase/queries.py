@@ -281,7 +281,7 @@ def backfill_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 def backfill_reports_query(spark: SparkSession, folder: str) -> DataFrame:
     specs, inputs = _many(spark, folder)
-    return backfill_reports(specs[:2], inputs, d.FIRST_WEEK, d.LAST_WEEK)
+    return backfill_reports(specs, inputs, d.FIRST_WEEK, d.LAST_WEEK)
 
 
 # ------------------------------------------------------------- presentation

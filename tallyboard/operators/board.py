@@ -111,7 +111,11 @@ def board(
     units = aligned.select(
         *keys, "unit_code", *_COUNTS, *_TARGETS, F.lit(UNIT).alias("row_type")
     )
-    rows = units.unionByName(totals(aligned, excluded_unit, keys, seed))
+    return with_indicators(units.unionByName(totals(aligned, excluded_unit, keys, seed)), keys)
+
+
+def with_indicators(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Board columns of rows that have their figures and their type."""
     return rows.withColumns(
         {"attainment": attainment(), "gap": gap(), "annual_share": annual_share()}
     ).select(*keys, *BOARD_COLUMNS)

@@ -2,8 +2,10 @@
 
 Replaying weeks one by one would read an extract once per week and report. Here
 it is read once: rows are counted per unit and week of entry, and a running sum
-over at most 54 weekly rows per report, unit and year turns that into the year
-to date.
+over at most 54 weekly rows per line and year turns that into the year to date.
+A line is a unit of a report or one of its totals: a total adds up the entries
+of its units, not their weeks, so it is a line like any other when the running
+sums are taken and the weeks are spelled out.
 """
 
 from __future__ import annotations
@@ -14,18 +16,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyboard.functions.weeks import WeekWindow, monday_of, week_id, week_span
-from tallyboard.operators.board import BOARD_COLUMNS, board
+from tallyboard.operators.board import (
+    BOARD_COLUMNS,
+    EXCLUDED_LABEL,
+    TOTAL,
+    TOTAL_EXCLUDED,
+    TOTAL_LABEL,
+    UNIT,
+    with_indicators,
+)
 from tallyboard.operators.filters import wanted_by_any, wanted_values
 from tallyboard.operators.tally import by_report, value_keys
 from tallyboard.operators.volumes import measured
-from tallyboard.plans.many import (
-    RawInputs,
-    excluded_units,
-    report_list,
-    shared_extracts,
-    targets_by_report,
-    union_all,
-)
+from tallyboard.plans.many import RawInputs, shared_extracts, targets_by_report, union_all
+from tallyboard.sources.datasets import literal_rows
 from tallyboard.spec import ReportSpec
 
 KEYS = ("report", "monday")
@@ -121,31 +125,101 @@ def target_entries(targets: DataFrame, first: dt.date, last: dt.date) -> DataFra
     )
 
 
-def weekly_units(
-    specs: Sequence[ReportSpec], extract: DataFrame, targets: DataFrame, first: str, last: str
+def board_lines(
+    specs: Sequence[ReportSpec], entries: DataFrame, first: dt.date, last: dt.date
 ) -> DataFrame:
-    """The aligned units of every report and week: with activity in the year to
-    date, or a target. ``specs`` share the extract; ``targets`` hold a unit once
-    per ``report``.
+    """Entries of every line of the boards: units as they are, totals summed by
+    week of entry. ``presence`` is positive where an entry lets its line show;
+    the total without a unit shows because of that unit alone.
 
-    Activity and targets meet in the aggregation by unit, year and week. One
-    shuffle by report, unit and year serves it and the running totals; weeks are
-    spelled out only afterwards.
+    Totals start before the shuffle, as partial sums of at most 54 rows per
+    report and year; an entry of every year's first week keeps the overall total
+    of a report without a single unit.
+    """
+    spark = entries.sparkSession
+    figures = ("of_week", "measured", *_TARGETS)
+    units = entries.select(
+        "report",
+        F.lit(UNIT).alias("row_type"),
+        "unit_code",
+        "year",
+        "monday",
+        *figures,
+        F.col("row_count").alias("presence"),
+        "has_target",
+    )
+    excluded = [(s.name, s.excluded_unit) for s in specs]
+    every = entries.join(literal_rows(spark, "report string, excluded string", excluded), "report")
+    own = F.col("unit_code") == F.col("excluded")
+
+    def line(kind: str, label: Column, counted: Column | None, shows: Column | None) -> Column:
+        def part(name: str, when: Column | None) -> Column:
+            return (F.col(name) if when is None else F.when(when, F.col(name))).alias(name)
+
+        return F.struct(
+            F.lit(kind).alias("row_type"),
+            label.alias("label"),
+            *(part(name, counted) for name in figures),
+            part("row_count", shows),
+            part("has_target", shows),
+        )
+
+    both = F.array(
+        line(TOTAL, F.lit(TOTAL_LABEL), None, None),
+        line(TOTAL_EXCLUDED, F.concat(F.lit(EXCLUDED_LABEL), F.col("excluded")), ~own, own),
+    )
+    totals = (
+        every.select("report", "year", "monday", F.inline(both))
+        .filter("label IS NOT NULL")
+        .groupBy("report", "row_type", F.col("label").alias("unit_code"), "year", "monday")
+        .agg(
+            *(F.sum(name).alias(name) for name in figures),
+            F.sum("row_count").alias("presence"),
+            F.max("has_target").alias("has_target"),
+        )
+    )
+    starts = [
+        (s.name, TOTAL, TOTAL_LABEL, year, _first_monday(year))
+        for s in specs
+        for year in range(first.year, last.year + 1)
+    ]
+    columns = "report string, row_type string, unit_code string, year int, monday date"
+    return (
+        units.unionByName(totals)
+        .unionByName(literal_rows(spark, columns, starts), allowMissingColumns=True)
+    )
+
+
+def weekly_lines(
+    groups: Sequence[tuple[Sequence[ReportSpec], DataFrame]],
+    targets: DataFrame,
+    first: str,
+    last: str,
+) -> DataFrame:
+    """Every line of every board with its figures, week by week. A group is the
+    reports that share an extract; ``targets`` hold a unit once per ``report``.
+
+    Activity and targets meet in the aggregation by line, year and week. One
+    shuffle by line and year serves it and the running sums; weeks are spelled
+    out only afterwards.
     """
     start, end = week_span(first, last)
     past = WeekWindow(last).sunday + dt.timedelta(days=1)
-    entries = activity_entries(specs, extract, start, past).unionByName(
-        target_entries(targets, start, end), allowMissingColumns=True
-    )
+    entries = union_all(
+        [activity_entries(specs, extract, start, past) for specs, extract in groups]
+    ).unionByName(target_entries(targets, start, end), allowMissingColumns=True)
+    specs = [s for members, _ in groups for s in members]
+    line = ("report", "row_type", "unit_code", "year")
     steps = (
-        entries.repartition("report", "unit_code", "year")
-        .groupBy("report", "unit_code", "year", "monday")
+        board_lines(specs, entries, start, end)
+        .repartition(*line)
+        .groupBy(*line, "monday")
         .agg(
-            *(F.sum(c).alias(c) for c in ("of_week", "measured", "row_count")),
+            *(F.sum(c).alias(c) for c in ("of_week", "measured", "presence")),
             *(F.max(c).alias(c) for c in (*_TARGETS, "has_target")),
         )
     )
-    in_order = Window.partitionBy("report", "unit_code", "year").orderBy("monday")
+    in_order = Window.partitionBy(*line).orderBy("monday")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     december = F.trunc(F.make_date("year", F.lit(12), F.lit(31)), "week")
     until = F.coalesce(
@@ -153,18 +227,20 @@ def weekly_units(
     )
     running = steps.select(
         "report",
+        "row_type",
         "unit_code",
         F.col("monday").alias("since"),
         until.alias("until"),
         F.coalesce("of_week", F.lit(0)).alias("of_week"),
         F.coalesce(F.sum("measured").over(so_far), F.lit(0)).alias("actual_ytd"),
-        (F.sum("row_count").over(so_far) > 0).alias("has_activity"),
+        F.sum("presence").over(so_far).alias("presence"),
         *(F.max(c).over(so_far).alias(c) for c in (*_TARGETS, "has_target")),
     )
+    shown = (F.col("row_type") == TOTAL) | (F.col("presence") > 0) | F.col("has_target")
     # Weeks without activity carry the running total forward.
     held = _mondays(F.greatest("since", F.lit(start)), F.col("until"))
     reached = (F.col("since") <= F.col("until")) & (F.col("until") >= F.lit(start))
-    weeks = running.filter(reached).select("*", F.explode(held).alias("monday"))
+    weeks = running.filter(reached & shown).select("*", F.explode(held).alias("monday"))
     own_week = F.col("monday") == F.col("since")
     return weeks.select(
         *KEYS,
@@ -172,19 +248,17 @@ def weekly_units(
         F.when(own_week, F.col("of_week")).otherwise(F.lit(0)).alias("actual_week"),
         "actual_ytd",
         *_TARGETS,
-        F.coalesce("has_activity", F.lit(False)).alias("has_activity"),
-        F.coalesce("has_target", F.lit(False)).alias("has_target"),
+        "row_type",
     )
 
 
 def _boards(
-    specs: Sequence[ReportSpec], extract: DataFrame, targets: DataFrame, first: str, last: str
+    groups: Sequence[tuple[Sequence[ReportSpec], DataFrame]],
+    targets: DataFrame,
+    first: str,
+    last: str,
 ) -> DataFrame:
-    start, end = week_span(first, last)
-    units = weekly_units(specs, extract, targets, first, last)
-    mondays = F.explode(_mondays(F.lit(start), F.lit(end)))
-    every = report_list(extract.sparkSession, specs).select("report", mondays.alias("monday"))
-    rows = board(units, excluded_units(specs), KEYS, every)
+    rows = with_indicators(weekly_lines(groups, targets, first, last), KEYS)
     return rows.select("report", week_id(F.col("monday")).alias("week"), *BOARD_COLUMNS)
 
 
@@ -195,17 +269,12 @@ def backfill(
     column: for each week exactly the rows of a run of that week, in no
     particular order."""
     planned = targets.withColumn("report", F.lit(spec.name))
-    return _boards([spec], extract, planned, first, last).drop("report")
+    return _boards([([spec], extract)], planned, first, last).drop("report")
 
 
 def backfill_reports(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], first: str, last: str
 ) -> DataFrame:
     """Every week of every report, ready for the weekly sink. Reports that share
-    an extract share its scan."""
-    return union_all(
-        [
-            _boards(members, extract, targets_by_report(members, inputs), first, last)
-            for members, extract in shared_extracts(specs, inputs)
-        ]
-    )
+    an extract share its scan; all share one pass over their lines."""
+    return _boards(shared_extracts(specs, inputs), targets_by_report(specs, inputs), first, last)

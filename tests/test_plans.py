@@ -73,6 +73,15 @@ def test_backfill_reads_its_extract_once(spark, name):
     assert scans(plan, "orders") == 1
 
 
+@pytest.mark.parametrize("name", ["backfill_weeks", "backfill_events", "backfill_sum", "backfill_reports"])
+def test_backfill_totals_come_from_entries(spark, name):
+    """Units and totals take their running sums and spell out their weeks together."""
+    plan = executed(QUERIES[name](spark, FOLDER))
+    assert len(re.findall(r"\bWindow \[", plan)) == 1
+    assert len(re.findall(r"Generate explode\(sequence", plan)) == 1
+    assert "ReusedExchange" in plan or "ReusedSubquery" in plan
+
+
 def test_backfill_pushes_period_and_segments(spark):
     plan = executed(QUERIES["backfill_weeks"](spark, FOLDER))
     assert "GreaterThanOrEqual(o_orderdate,1994-01-01" in plan
