@@ -20,7 +20,7 @@ from tallyboard.operators.volumes import volumes
 from tallyboard.plans.backfill import backfill, backfill_reports
 from tallyboard.plans.many import RawInputs, report_metrics, report_warnings, scoreboards
 from tallyboard.plans.scoreboard import aligned_units, scoreboard
-from tallyboard.sources.extract import ROLE_COLUMNS, clean_extract, date_quality
+from tallyboard.sources.extract import ROLE_COLUMNS, clean_extract, date_quality, segments_of
 from tallyboard.sources.targets import clean_targets, duplicate_targets
 from tallyboard.spec import ReportSpec
 
@@ -215,7 +215,7 @@ def run_metrics_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def unknown_segments(spark: SparkSession, folder: str) -> DataFrame:
     spec = d.dirty_spec()
-    return segment_check(spec, clean_extract(spec, d.dirty_orders(spark, folder)))
+    return segment_check(spec, segments_of(spec, d.dirty_orders(spark, folder)))
 
 
 # -------------------------------------------------------------------- weeks

@@ -37,7 +37,12 @@ from tallyboard.sinks.weekly import (
     write_report,
 )
 from tallyboard.sources.datasets import literal_rows, open_feed
-from tallyboard.sources.extract import ROLE_COLUMNS, clean_extract, refuse_unreadable_dates
+from tallyboard.sources.extract import (
+    ROLE_COLUMNS,
+    clean_extract,
+    refuse_unreadable_dates,
+    segments_of,
+)
 from tallyboard.sources.landing import literal_path
 from tallyboard.sources.targets import clean_targets, require_unique_targets
 from tallyboard.spec import ReportBook, ReportSpec
@@ -122,8 +127,8 @@ def _segments(
     for position, group in enumerate(groups):
         specs = [s for s in group.specs if s.name in warned]
         if specs:
-            extract = clean_extract(specs[0], inputs[specs[0].name].extract)
-            present = scratch.keep(extract.select("segment").distinct(), f"segments_{position}")
+            every = segments_of(specs[0], inputs[specs[0].name].extract)
+            present = scratch.keep(every.distinct(), f"segments_{position}")
             found += [segment_check(s, present).withColumn("report", F.lit(s.name)) for s in specs]
     return union_all(found)
 

@@ -2,8 +2,9 @@
 
 Columns of a clean extract: ``activity_date``, ``segment``, ``unit_code``,
 ``date_unreadable``, ``amount`` when the report sums a column, and one column
-per extra filter. It is a plain projection: unused columns are pruned from the
-scan and predicates on a typed date column are pushed into it.
+per extra filter. With typed dates it is a plain projection: unused columns are
+pruned from the scan and predicates on the date are pushed into it. Text dates
+are read once, below whatever looks at them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyboard.errors import ContractError
-from tallyboard.functions.cleaning import as_moment, stripped
+from tallyboard.functions.cleaning import is_moment, stripped, with_moment
 from tallyboard.sources.datasets import header, require_columns, strip_headers
 from tallyboard.spec import SOURCE_ROLES, ReportSpec
 
@@ -35,9 +36,12 @@ def clean_extract(spec: ReportSpec, raw: DataFrame, filters: Iterable[str] = ())
     binding.update({f"filter {name}": name for name in extra})
     require_columns(data, binding, f"source of report {spec.name!r}")
 
-    raw_date = header(binding["date"])
-    date_type = data.schema[binding["date"]].dataType
-    moment = as_moment(raw_date, date_type, spec.date_formats)
+    raw_date, moment = header(binding["date"]), header(binding["date"])
+    if not is_moment(data.schema[binding["date"]].dataType):
+        name = "read " + binding["date"]
+        while name in data.columns:
+            name += " "
+        data, moment = with_moment(data, raw_date, spec.date_formats, name), header(name)
 
     def text(name: str) -> Column:
         return header(name).cast("string") if spec.text_is_trimmed else stripped(header(name))
@@ -54,6 +58,15 @@ def clean_extract(spec: ReportSpec, raw: DataFrame, filters: Iterable[str] = ())
     return data.select(*columns)
 
 
+def segments_of(spec: ReportSpec, raw: DataFrame) -> DataFrame:
+    """The ``segment`` column alone, for what looks at no other."""
+    data = strip_headers(raw)
+    binding = {"segment": spec.source_columns["segment"]}
+    require_columns(data, binding, f"source of report {spec.name!r}")
+    value = header(binding["segment"])
+    return data.select((value.cast("string") if spec.text_is_trimmed else stripped(value)).alias("segment"))
+
+
 def amount(spec: ReportSpec, data: DataFrame) -> Column:
     """The summed column. An amount that cannot be read whole in the declared
     type is an error: dropped or rounded, it would change a total silently."""

@@ -84,18 +84,20 @@ def test_large_values_still_show(spark):
 
 
 @pytest.mark.parametrize(
-    "pattern,shape",
+    "pattern,layouts",
     [
-        ("yyyy-MM-dd", r"^\d{4}\-\d{2}\-\d{2}$"),
-        ("d/M/yyyy HH:mm", r"^\d{1,2}/\d{1,2}/\d{4}\ \d{2}:\d{2}$"),
+        ("yyyy-MM-dd", {"9999-99-99": [1, 4, 6, 2, 9, 2, 1, 0, 1, 0, 1, 0, 1, 0]}),
+        ("d/MM/yy", {"9/99/99": [6, 2, 3, 2, 1, 1, 1, 0, 1, 0, 1, 0, 1, 0], "99/99/99": [7, 2, 4, 2, 1, 2, 1, 0, 1, 0, 1, 0, 1, 0]}),
+        ("yyyy'T'HH:mm:ss.SSS", {"9999T99:99:99.999": [1, 4, 1, 0, 1, 0, 6, 2, 9, 2, 12, 2, 15, 3]}),
         ("dd MMM yyyy", None),
         ("yyyy-MM-dd[ HH:mm]", None),
-        ("yyyy-MM-dd'T'HH:mm", r"^\d{4}\-\d{2}\-\d{2}T\d{2}:\d{2}$"),
-        ("HH:mm:ss.SSS", r"^\d{2}:\d{2}:\d{2}\.\d{3}$"),
+        ("yyyy-MM-dd yyyy", None),
+        ("HH:mm:ss.SSS", None),
+        ("y-MM-dd", None),
     ],
 )
-def test_shape_of_a_date_pattern(pattern, shape):
-    assert cleaning._shape(pattern) == shape
+def test_layouts_of_a_date_pattern(pattern, layouts):
+    assert cleaning._layouts(pattern) == layouts
 
 
 def test_patterns_with_names_and_options(spark):
@@ -108,3 +110,71 @@ def test_patterns_with_names_and_options(spark):
         "2026-09-07": "2026-09-07 00:00:00", "20260907": "2026-09-07 00:00:00",
         "20260931": "None", "7/9/2026": "None",
     }
+
+
+FORMATS = (
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy-MM-dd'T'HH:mm:ss.SSS", "d.M.yy H:mm",
+    "yyyyMMdd", "yyyy/M", "yyyy", "HH:mm dd-MM-yyyy", "yyyy-MM-dd HH:mm:ss.SSSSSSSSS",
+)
+
+
+def reader(pattern):
+    """A date pattern as a regular expression with named fields, for plain Python."""
+    import re
+
+    found = re.sub(r"([A-Za-z])\1*", lambda m: m[0], pattern.replace("'T'", "\0"))
+    found = re.sub(r"([yMdHmsS])\1*", lambda m: r"(?P<%s>[0-9]{%s})" % (m[1], "1,2" if len(m[0]) == 1 else len(m[0])), re.escape(found).replace("\\\0", "\0"))
+    return re.compile(found.replace("\0", "T"))
+
+
+def plain_moment(text, formats):
+    import datetime as dt
+
+    for pattern in formats:
+        match = reader(pattern).fullmatch(text.strip())
+        if match is None:
+            continue
+        f = match.groupdict()
+        year = int(f["y"]) + (2000 if len(f["y"]) == 2 else 0)
+        try:
+            return dt.datetime(
+                year, int(f.get("M") or 1), int(f.get("d") or 1), int(f.get("H") or 0), int(f.get("m") or 0),
+                int(f.get("s") or 0), int((f.get("S") or "0").ljust(6, "0")[:6]),
+            )
+        except ValueError:
+            continue
+    return None
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_dates_in_text(spark, order):
+    rng = random.Random(order)
+    formats = FORMATS[::order]
+    texts = ["", "not a date", "2023-02-29", "31/12/2023", "12/31/2023", "1.2.23 4:05", "31.12.99 23:59", "2023-13-01", "2023", "2023/7",
+             "20230510", "２０２３-05-10", "2023-05-10T00:00:00.5", "2023-05-10 24:00:00", "2024-02-29 12:30:60", "12:30 01-02-2023"]
+    for _ in range(600):
+        numbers = {"y": rng.randint(1900, 2100), "M": rng.randint(0, 14), "d": rng.randint(0, 33), "H": rng.randint(0, 25), "m": rng.randint(0, 61), "s": rng.randint(0, 61)}
+        import re
+
+        def field(m):
+            letter, width = m[1], len(m[0])
+            if letter == "S":
+                return "".join(rng.choice("0123456789") for _ in range(width))
+            value = str(numbers[letter])
+            return value[-2:] if letter == "y" and width == 2 else value.zfill(width)
+
+        text = re.sub(r"([yMdHmsS])\1*", field, rng.choice(FORMATS).replace("'T'", "\0")).replace("\0", "T")
+        texts.append(rng.choice(["", " ", " "]) + text + rng.choice(["", "", "", " ", "x", "9"]))
+    frame = spark.createDataFrame([(t, t) for t in texts], "v string, stripped string").coalesce(2)
+    read = cleaning.with_moment(frame, F.col("v"), formats, "moment")
+    assert read.columns == ["v", "stripped", "moment"]
+    found = read.collect()
+    assert len(found) == len(texts) and sum(r.moment is not None for r in found) > 250
+    for row in found:
+        assert row.moment == plain_moment(row.v, formats), row.v
+
+
+def test_dates_with_names_keep_their_place(spark):
+    frame = column(spark, ["10 May 2023", "10/05/2023", "2023-05-10", "x"], "string")
+    read = cleaning.with_moment(frame, F.col("v"), ["dd/MM/yyyy", "dd MMM yyyy", "yyyy-MM-dd"], "moment")
+    assert [str(r.moment) for r in read.collect()] == ["2023-05-10 00:00:00"] * 3 + ["None"]

@@ -98,6 +98,25 @@ def test_no_cross_join_and_no_window_over_everything(spark, name):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
+@pytest.mark.parametrize("name", ["extract_clean", "retained_detail", "date_quality"])
+def test_text_dates_are_read_once(spark, name):
+    plan = executed(QUERIES[name](spark, FOLDER))
+    assert len(re.findall(r"try_cast\(concat\(", plan)) == 1
+    assert plan.count("translate(") == 1  # one look at the layout of a text
+    generator = re.search(r"Generate inline\(array\(struct\([^\n]*", plan).group()
+    assert "concat" not in generator
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_code_is_generated_for_whole_stages(spark, name):
+    """No stage is interpreted because its code grows too large to compile."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        QUERIES[name](spark, FOLDER).collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+
+
 def test_opening_a_table_starts_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("opening", "opening")
