@@ -429,7 +429,7 @@ ORACLE_SQL: dict[str, str] = {
         select key, count(*) as unit_count, cast(sum(actual_ytd) as bigint) as actual_ytd,
           sum(target_start) as target_start from jk group by key)
       select c.key as report, '1998-W24' as week, rows_read, rows_kept, rows_later, dates_unreadable,
-        coalesce(unit_count, 0) as unit_count, coalesce(actual_ytd, 0) as actual_ytd, target_start,
+        cast(0 as bigint) as amounts_unreadable, coalesce(unit_count, 0) as unit_count, coalesce(actual_ytd, 0) as actual_ytd, target_start,
         cast(actual_ytd as double) / nullif(target_start, 0) as attainment
       from counters c left join shown s on c.key = s.key""",
     "unknown_segments": f"""with {DIRTY}, wanted as (

@@ -157,15 +157,11 @@ def scoreboard_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events_cutoff(spark: SparkSession, folder: str) -> DataFrame:
-    """The same week with both meanings of its last day."""
-    boards_by_cutoff = []
-    for cutoff in weeks.CUTOFFS:
-        spec = d.events_spec(cutoff=cutoff)
-        extract = clean_extract(spec, d.events_wide(spark, folder))
-        targets = clean_targets(spec, d.event_targets(spark, folder))
-        rows = scoreboard(spec, extract, targets, d.EVENTS_WEEK)
-        boards_by_cutoff.append(rows.withColumn("cutoff", F.lit(cutoff)))
-    return boards_by_cutoff[0].unionByName(boards_by_cutoff[1])
+    """The same week with both meanings of its last day, from one tally."""
+    specs = [d.events_spec(name=cutoff, cutoff=cutoff) for cutoff in weeks.CUTOFFS]
+    inputs = RawInputs(d.events_wide(spark, folder), d.event_targets(spark, folder))
+    rows = scoreboards(specs, {s.name: inputs for s in specs}, d.EVENTS_WEEK)
+    return rows.withColumnRenamed("report", "cutoff")
 
 
 def unit_rows(spark: SparkSession, folder: str) -> DataFrame:

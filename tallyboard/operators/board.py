@@ -34,19 +34,23 @@ _TARGETS = ("target_start", "target_annual")
 
 
 def align(activity: DataFrame, targets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Full outer join on the unit: every unit that has activity or a target.
+    """Every unit that has activity or a target: a full outer alignment without
+    a join, by one aggregation over the rows of both.
 
-    Both sides hold a unit once. The activity side comes out of its own
-    aggregation already partitioned by unit, so only the targets are shuffled.
+    ``activity`` holds any number of rows per unit, parts that add up; a NULL
+    ``actual_ytd`` is no activity. ``targets`` hold a unit once. Adding up
+    starts before the only shuffle, so a unit with a third of all rows costs
+    one row per task. Further columns of ``activity`` are added up too.
     """
-    flagged = targets.select(*keys, "unit_code", *_TARGETS, F.lit(True).alias("has_target"))
-    joined = activity.join(flagged, [*keys, "unit_code"], "full")
-    return joined.withColumns(
-        {
-            **{c: F.coalesce(c, F.lit(0)) for c in _COUNTS},
-            "has_activity": F.col("actual_ytd").isNotNull(),
-            "has_target": F.coalesce("has_target", F.lit(False)),
-        }
+    planned = targets.select(*keys, "unit_code", *_TARGETS, F.lit(True).alias("has_target"))
+    further = [c for c in activity.columns if c not in (*keys, "unit_code", *_COUNTS)]
+    rows = activity.unionByName(planned, allowMissingColumns=True)
+    return rows.groupBy(*keys, "unit_code").agg(
+        *(F.sum(c).alias(c) for c in further),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS),
+        *(F.max(c).alias(c) for c in _TARGETS),
+        (F.count("actual_ytd") > 0).alias("has_activity"),
+        (F.count("has_target") > 0).alias("has_target"),
     )
 
 
@@ -61,23 +65,21 @@ def totals(
     A target total is NULL only when every target is. The second total exists
     only if the excluded unit has activity or a target. ``seed`` lists the keys
     that must have a total even without a single unit; a board without keys
-    always has one.
+    always has one. Boards with keys have their excluded unit in a column
+    ``excluded`` of ``aligned`` and ``seed``; a single board gives it as a literal.
     """
-    units = aligned.select(*keys, "unit_code", *_COUNTS, *_TARGETS)
+    group = [*keys, "excluded"] if keys else []
+    units = aligned.select(*keys, "unit_code", *_COUNTS, *_TARGETS, excluded_unit.alias("excluded"))
     if seed is not None:
-        units = units.unionByName(seed.select(*keys), allowMissingColumns=True)
+        units = units.unionByName(seed.select(*group), allowMissingColumns=True)
     figures = (*_COUNTS, *_TARGETS)
     rest = "FILTER (WHERE unit_code <> excluded)"
-    sums = (
-        units.withColumn("excluded", excluded_unit)
-        .groupBy(*keys)
-        .agg(
-            *(F.expr(f"sum({c}) AS all_{c}") for c in figures),
-            *(F.expr(f"sum({c}) {rest} AS rest_{c}") for c in figures),
-            F.expr("max(unit_code = excluded) AS found_excluded"),
-        )
-        .withColumn("excluded", F.when(F.col("found_excluded"), excluded_unit))
+    sums = units.groupBy(*group).agg(
+        *(F.expr(f"sum({c}) AS all_{c}") for c in figures),
+        *(F.expr(f"sum({c}) {rest} AS rest_{c}") for c in figures),
+        F.expr("max(unit_code = excluded) AS found_excluded"),
     )
+    sums = sums.withColumn("excluded", F.when(F.col("found_excluded"), excluded_unit))
 
     def row(label: str, prefix: str, whole: bool) -> Column:
         fields = [f"{label} AS unit_code", f"{whole} AS whole"]

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyboard.functions.weeks import WeekWindow
 from tallyboard.sources.datasets import header
@@ -20,34 +19,22 @@ def wanted_values(spec: ReportSpec) -> dict[str, tuple[str, ...]]:
     return {column: values for column, values in lists.items() if values}
 
 
-def _tests(spec: ReportSpec) -> list[Column]:
-    return [header(column).isin(*values) for column, values in wanted_values(spec).items()]
-
-
-def _all_of(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests)
-
-
-def passes(spec: ReportSpec) -> Column:
-    """TRUE for rows kept by the segment list and the extra filters, never NULL.
-
-    A NULL value is in no list; without any list every row passes.
-    """
-    tests = _tests(spec)
-    return F.coalesce(_all_of(tests), F.lit(False)) if tests else F.lit(True)
-
-
 def segment_filter(spec: ReportSpec, extract: DataFrame) -> DataFrame:
+    """The rows that one report keeps."""
     return wanted_by_any([spec], extract)
 
 
 def wanted_by_any(specs: Iterable[ReportSpec], extract: DataFrame) -> DataFrame:
-    """Rows that at least one of the reports keeps. Written without `passes`,
-    so that the bare predicates can be pushed down."""
-    tests = [_tests(spec) for spec in specs]
-    if not all(tests):
-        return extract  # some report keeps everything
-    return extract.filter(reduce(lambda a, b: a | b, map(_all_of, tests)))
+    """Without rows that no report can keep: where all reports restrict a
+    column, its value is in one of their lists. Bare predicates, one per column
+    however many reports there are, so that they can be pushed down. For one
+    report, or reports with equal lists, these are exactly the kept rows."""
+    lists = [wanted_values(spec) for spec in specs]
+    for column in lists[0]:
+        if all(column in wanted for wanted in lists):
+            values = {value for wanted in lists for value in wanted[column]}
+            extract = extract.filter(header(column).isin(*sorted(values)))
+    return extract
 
 
 def retained_detail(spec: ReportSpec, extract: DataFrame, window: WeekWindow) -> DataFrame:

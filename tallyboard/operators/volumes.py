@@ -26,11 +26,25 @@ def volumes(spec: ReportSpec, extract: DataFrame, window: WeekWindow) -> DataFra
     counts. Counting starts before the shuffle: each task sends one row per
     unit, whatever the weight of a unit.
     """
-    day = F.col("activity_date")
-    kept = segment_filter(spec, extract).filter(
-        window.in_year_to_date(day) & F.col("unit_code").isNotNull()
-    )
-    return kept.groupBy("unit_code").agg(
-        measured(spec, window.in_week(day)).alias("actual_week"),
+    return _counted_rows(spec, extract, window).groupBy("unit_code").agg(
+        measured(spec, window.in_week(F.col("activity_date"))).alias("actual_week"),
         measured(spec).alias("actual_ytd"),
     )
+
+
+def volume_parts(spec: ReportSpec, extract: DataFrame, window: WeekWindow) -> DataFrame:
+    """What every row adds to the volume of its unit, for an aggregation that
+    meets other rows of the unit."""
+    if spec.measure is None:
+        part = F.lit(1).cast("bigint")
+    else:
+        part = F.coalesce("amount", F.lit(0))
+    of_week = F.when(window.in_week(F.col("activity_date")), part)
+    return _counted_rows(spec, extract, window).select(
+        "unit_code", of_week.alias("actual_week"), part.alias("actual_ytd")
+    )
+
+
+def _counted_rows(spec: ReportSpec, extract: DataFrame, window: WeekWindow) -> DataFrame:
+    shown = window.in_year_to_date(F.col("activity_date")) & F.col("unit_code").isNotNull()
+    return segment_filter(spec, extract).filter(shown)

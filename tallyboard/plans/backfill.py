@@ -26,7 +26,8 @@ from tallyboard.operators.board import (
     with_indicators,
 )
 from tallyboard.operators.filters import wanted_by_any, wanted_values
-from tallyboard.operators.tally import by_report, value_keys
+from tallyboard.operators.routing import by_report, name_list, report_facts
+from tallyboard.operators.tally import cutoffs, value_keys
 from tallyboard.operators.volumes import measured
 from tallyboard.plans.many import RawInputs, shared_extracts, targets_by_report, union_all
 from tallyboard.sources.datasets import literal_rows
@@ -103,8 +104,7 @@ def activity_entries(
         )
     )
     if alike:
-        names = F.array(*(F.lit(s.name) for s in specs))
-        kept = weekly.select("*", F.explode(names).alias("report"))
+        kept = weekly.select("*", F.explode(name_list([s.name for s in specs])).alias("report"))
     else:
         kept = by_report(specs, weekly)
     return kept.select("report", "unit_code", F.inline(contributions))
@@ -148,8 +148,7 @@ def board_lines(
         F.col("row_count").alias("presence"),
         "has_target",
     )
-    excluded = [(s.name, s.excluded_unit) for s in specs]
-    every = entries.join(literal_rows(spark, "report string, excluded string", excluded), "report")
+    every = entries.join(report_facts(spark, specs).select("report", "excluded"), "report")
     own = F.col("unit_code") == F.col("excluded")
 
     def line(kind: str, label: Column, counted: Column | None, shows: Column | None) -> Column:
@@ -206,7 +205,11 @@ def weekly_lines(
     start, end = week_span(first, last)
     past = WeekWindow(last).sunday + dt.timedelta(days=1)
     entries = union_all(
-        [activity_entries(specs, extract, start, past) for specs, extract in groups]
+        [
+            activity_entries([s for s in members if s.cutoff == cutoff], extract, start, past)
+            for members, extract in groups
+            for cutoff in cutoffs(members)
+        ]
     ).unionByName(target_entries(targets, start, end), allowMissingColumns=True)
     specs = [s for members, _ in groups for s in members]
     line = ("report", "row_type", "unit_code", "year")

@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyboard.errors import SpecError
 from tallyboard.operators.board import align, board, sort_board
-from tallyboard.operators.quality import run_metrics, warnings
-from tallyboard.operators.tally import activity_by_report, filter_headers, on_board, tally
+from tallyboard.operators.quality import evidence, run_metrics, warnings
+from tallyboard.operators.routing import name_list, report_facts
+from tallyboard.operators.tally import activity_lines, filter_headers, on_board, tally
 from tallyboard.sources.datasets import literal_rows
 from tallyboard.sources.extract import clean_extract
 from tallyboard.sources.targets import clean_targets
@@ -90,10 +91,24 @@ def tally_groups(
 def targets_by_report(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs]
 ) -> DataFrame:
+    """Clean targets with a ``report`` column. Targets that several reports read
+    the same way are read and cleaned once."""
+    shared: list[list[ReportSpec]] = []
+    for spec in specs:
+        for members in shared:
+            if members[0].target_key == spec.target_key and same_data(
+                inputs[members[0].name].targets, inputs[spec.name].targets
+            ):
+                members.append(spec)
+                break
+        else:
+            shared.append([spec])
     return union_all(
         [
-            clean_targets(s, inputs[s.name].targets).withColumn("report", F.lit(s.name))
-            for s in specs
+            clean_targets(members[0], inputs[members[0].name].targets).withColumn(
+                "report", F.explode(name_list([s.name for s in members]))
+            )
+            for members in shared
         ]
     )
 
@@ -116,23 +131,19 @@ def listing(spark: SparkSession, specs: Sequence[ReportSpec]) -> DataFrame:
     return literal_rows(spark, columns, rows)
 
 
-def excluded_units(specs: Sequence[ReportSpec]) -> Column:
-    choices = [F.when(F.col("report") == s.name, F.lit(s.excluded_unit)) for s in specs]
-    return F.coalesce(*choices, F.lit(None).cast("string"))
-
-
 def ledger(
     groups: Sequence[ExtractGroup], targets: DataFrame, counters: bool = True
 ) -> DataFrame:
     """Activity and targets by report and unit, with the run counters."""
-    activity = union_all([activity_by_report(g.specs, g.counted, counters) for g in groups])
+    activity = union_all([activity_lines(g.specs, g.counted, counters) for g in groups])
     return align(activity, targets, KEYS)
 
 
 def boards(specs: Sequence[ReportSpec], entries: DataFrame) -> DataFrame:
     """Unsorted scoreboard rows of every report, from the ledger."""
-    seed = report_list(entries.sparkSession, specs)
-    return board(on_board(entries), excluded_units(specs), KEYS, seed)
+    facts = report_facts(entries.sparkSession, specs).select("report", "excluded")
+    shown = on_board(entries).join(facts, "report")
+    return board(shown, F.col("excluded"), KEYS, facts)
 
 
 def scoreboards(
@@ -152,7 +163,9 @@ def report_warnings(
 
 
 def group_warnings(groups: Sequence[ExtractGroup], targets: DataFrame, week: str) -> DataFrame:
-    return union_all([warnings(g.specs, g.counted, targets, week) for g in groups])
+    specs = [s for g in groups for s in g.specs]
+    gathered = union_all([evidence(g.specs, g.counted, week) for g in groups])
+    return warnings(specs, gathered, targets, week)
 
 
 def report_metrics(

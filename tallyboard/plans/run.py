@@ -13,7 +13,8 @@ from tallyboard.operators.board import sort_board
 from tallyboard.operators.filters import wanted_by_any
 from tallyboard.operators.presentation import block, chart_series, display_rows, kpi_cards
 from tallyboard.operators.quality import UNKNOWN_SEGMENT, segment_check
-from tallyboard.operators.tally import by_report, filter_headers
+from tallyboard.operators.routing import by_report, name_list, report_facts
+from tallyboard.operators.tally import cutoffs, filter_headers, routed
 from tallyboard.plans.many import (
     KEYS,
     ExtractGroup,
@@ -90,8 +91,12 @@ def _details(
     """The kept rows of the year to date of reports that share an extract, in
     one pass over it."""
     extract = clean_extract(specs[0], inputs[specs[0].name].extract, filter_headers(specs))
-    in_year_to_date = WeekWindow(week, specs[0].cutoff).in_year_to_date(F.col("activity_date"))
-    rows = by_report(specs, wanted_by_any(specs, extract).filter(in_year_to_date))
+    shown = {c: WeekWindow(week, c).in_year_to_date(F.col("activity_date")) for c in cutoffs(specs)}
+    longest = next(iter(shown.values()))  # the whole day ends last
+    rows = by_report(specs, wanted_by_any(specs, extract).filter(longest))
+    if len(shown) > 1:
+        rows = rows.join(report_facts(extract.sparkSession, specs), "report")
+        rows = rows.filter(F.coalesce(*(F.when(F.col("cutoff") == c, test) for c, test in shown.items())))
     return rows.select(*ROLE_COLUMNS, "report", F.lit(week).alias("week"))
 
 
@@ -109,7 +114,7 @@ def _write_details(
             continue
         rows = _details(specs, inputs, week)
         write_partitions(rows, path, rebalance=False)
-        busy = by_report(specs, group.counted).filter("rows_ytd > 0").select("report").distinct()
+        busy = routed(specs, group.counted, whole=False).filter("rows_ytd > 0").select("report").distinct()
         for name in {s.name for s in specs} - {row.report for row in busy.collect()}:
             write_report(rows.limit(0), path, week, name)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyboard.functions.weeks import WeekWindow
 from tallyboard.operators.board import align, board, sort_board
-from tallyboard.operators.volumes import volumes
+from tallyboard.operators.volumes import volume_parts
 from tallyboard.spec import ReportSpec
 
 
@@ -17,7 +17,7 @@ def excluded_unit(spec: ReportSpec) -> Column:
 def aligned_units(
     spec: ReportSpec, extract: DataFrame, targets: DataFrame, week: str
 ) -> DataFrame:
-    return align(volumes(spec, extract, WeekWindow(week, spec.cutoff)), targets)
+    return align(volume_parts(spec, extract, WeekWindow(week, spec.cutoff)), targets)
 
 
 def scoreboard(spec: ReportSpec, extract: DataFrame, targets: DataFrame, week: str) -> DataFrame:

@@ -153,11 +153,16 @@ class ReportSpec:
             tuple(self.source_columns[role] for role in SOURCE_ROLES),
             self.measure,
             self.measure_type if self.measure else None,
-            self.cutoff,
+            self.unreadable_amounts if self.measure else None,
             self.date_formats,
             self.text_is_trimmed,
         )
 
+    @property
+    def target_key(self) -> tuple:
+        """Reports with equal keys read and clean their targets the same way."""
+        return (self.targets, tuple(self.target_columns[role] for role in TARGET_ROLES))
+
 
 RULE_CONSTRAINTS: dict[str, Constraint] = {
     "target": _given,
