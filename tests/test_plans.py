@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from conftest import IN_WEEK, WEEK
+
 from showcase import datasets as d
 from showcase.queries import QUERIES
 
@@ -55,6 +57,30 @@ def test_boards_reduced_to_units_compute_no_totals(spark, name):
     assert scans(plan, "orders") == 1
 
 
+def test_boards_need_no_join(spark, make_spec, make_extract, make_targets):
+    """Activity and targets meet in one aggregation; totals add up its rows."""
+    from tallyboard import scoreboard
+    from tallyboard.sources.extract import clean_extract
+    from tallyboard.sources.targets import clean_targets
+
+    spec = make_spec()
+    extract = clean_extract(spec, make_extract([(IN_WEEK, f"U{k}") for k in range(50)]))
+    plan = executed(scoreboard(spec, extract, clean_targets(spec, make_targets({"U1": (1.0, 1.0)})), WEEK))
+    assert "Join" not in plan and "SortAggregate" not in plan
+    assert len(re.findall(r"\bSort \[", plan)) <= 1
+    assert len(re.findall(r"(?<!, )Exchange hashpartitioning", plan)) == 1 and "ReusedExchange" in plan
+
+
+def test_both_cutoffs_read_the_extract_once(spark):
+    plan = executed(QUERIES["events_cutoff"](spark, FOLDER))
+    assert scans(plan, "events") == 2  # once as the extract, once to derive the targets of its units
+
+
+def test_targets_are_read_once(spark):
+    # As part of both extracts of orders that need it, and as targets.
+    assert scans(executed(QUERIES["warnings"](spark, FOLDER)), "nation") <= 3
+
+
 def test_many_reports_share_one_scan(spark):
     plan = executed(QUERIES["multi_report"](spark, FOLDER))
     assert scans(plan, "orders") == 1 and scans(plan, "events") == 1
