@@ -59,8 +59,8 @@ def orders_by_region(spark: SparkSession, folder: str) -> DataFrame:
 
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The same extract as a careless export would deliver it: everything is
-    text, dates come in three notations, some are unreadable or missing, names
-    are padded or missing."""
+    text, dates come in three notations, some are unreadable or missing, so are
+    some amounts, names are padded or missing."""
     key = F.col("o_orderkey")
     hour = F.make_interval(hours=(key % 24).cast("int"))
     moment = F.col("o_orderdate") + hour
@@ -83,12 +83,22 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
         .when(key % 5 == 0, F.concat(F.lit("\u2003 "), F.col("n_name"), F.lit(" ")))
         .otherwise(F.col("n_name"))
     )
+    money = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    amount_text = (
+        F.when(key % 40 == 0, "n/a")
+        .when(key % 40 == 1, None)
+        .when(key % 40 == 2, " ")
+        .when(key % 40 == 3, "1.234")  # more digits than the declared type holds
+        .when(key % 7 == 0, F.concat(F.lit("\u00a0"), money))
+        .otherwise(money)
+    )
     return orders_wide(spark, folder).select(
         day_text.alias(" Case date "),
         segment_text.alias("Segment"),
         unit_text.alias("Unit code "),
         F.col("o_orderpriority").alias("Priority"),
         key.alias("Reference"),
+        amount_text.alias("Amount"),
     )
 
 
@@ -197,6 +207,18 @@ def dirty_spec(**changes) -> ReportSpec:
     return orders_spec(**{**fields, **changes})
 
 
+def amounts_spec(**changes) -> ReportSpec:
+    fields = dict(
+        name="amounts",
+        measure="Amount",
+        measure_type="decimal(18,2)",
+        unreadable_amounts="exclude",
+        excluded_unit="NATION_7",
+        segments=("BUILDING", "MACHINERY"),
+    )
+    return dirty_spec(**{**fields, **changes})
+
+
 def events_spec(**changes) -> ReportSpec:
     fields = dict(
         name="events",

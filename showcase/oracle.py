@@ -34,12 +34,19 @@ dirty as (
     case when o_orderkey % 13 = 0 then null
          when o_orderkey % 17 = 0 then ' '
          when o_orderkey % 5 = 0 then chr(8195) || ' ' || n_name || ' '
-         else n_name end as unit_text
+         else n_name end as unit_text,
+    case when o_orderkey % 40 = 0 then 'n/a' when o_orderkey % 40 = 1 then null
+         when o_orderkey % 40 = 2 then ' ' when o_orderkey % 40 = 3 then '1.234'
+         when o_orderkey % 7 = 0 then chr(160) || cast(cast(o_totalprice as decimal(18,2)) as varchar)
+         else cast(cast(o_totalprice as decimal(18,2)) as varchar) end as amount_text,
+    case when o_orderkey % 40 > 3 then cast(o_totalprice as decimal(18,2)) end as amount,
+    o_orderkey % 40 in (0, 3) as amount_unreadable
   from wide),
 cases as (
   select coalesce(try_strptime(day_text, '%Y-%m-%d'), try_strptime(day_text, '%Y-%m-%d %H:%M:%S'),
                   try_strptime(day_text, '%d/%m/%Y')) as moment,
-    day_text, trim(segment_text, {SPACES}) as segment, trim(unit_text, {SPACES}) as unit_code
+    day_text, trim(segment_text, {SPACES}) as segment, trim(unit_text, {SPACES}) as unit_code,
+    amount_text, amount, amount_unreadable
   from dirty)"""
 
 NATION_TARGETS = """
@@ -268,6 +275,42 @@ def expected_values(names: list[str]) -> str:
 
 ALL_REPORTS = list(REPORTS)
 
+# ---------------------------------------------------------------- amounts
+AMOUNTS = {"amounts": ("segment in ('BUILDING', 'MACHINERY')", "'NATION_7'"), "all amounts": ("true", "cast(null as varchar)")}
+
+
+def of_amounts(select: str) -> str:
+    """``select`` with {name}, {kept} and {excluded}, for both reports of amounts."""
+    return " union all ".join(
+        select.format(name=name, kept=kept, excluded=excluded) for name, (kept, excluded) in AMOUNTS.items()
+    )
+
+
+AMOUNT_ACTIVITY = """select '{name}' as key, unit_code,
+    coalesce(sum(amount) filter (where moment >= timestamp '1998-06-08'), 0) as actual_week,
+    coalesce(sum(amount), 0) as actual_ytd
+  from cases where {kept} and unit_code is not null and moment >= timestamp '1998-01-01'
+    and moment < timestamp '1998-06-15' group by unit_code"""
+AMOUNT_COUNTERS = """select '{name}' as key, count(*) as rows_read, count(*) filter (where {kept}) as rows_kept,
+    count(*) filter (where {kept} and moment >= timestamp '1998-06-15') as rows_later,
+    count(*) filter (where moment is null and day_text is not null) as dates_unreadable,
+    count(*) filter (where amount_unreadable) as amounts_unreadable,
+    count(*) filter (where {kept} and amount_unreadable) as kept_unreadable from cases"""
+AMOUNT_SEED = "select '{name}' as key, {excluded} as excluded"
+AMOUNTS_UNTARGETED = """select '{name}' as key, unit_code, count(*) as n from cases
+  where {kept} and moment >= timestamp '1998-01-01' and moment < timestamp '1998-06-15'
+    and unit_code not in (select unit_code from targets) group by unit_code"""
+AMOUNT_BOARDS = f"""with {DIRTY}, {NATION_TARGETS.strip()},
+seed as ({of_amounts(AMOUNT_SEED)}),
+activity as ({of_amounts(AMOUNT_ACTIVITY)}),
+planned as (select s.key, t.* from seed s cross join targets t),
+jk as (
+  select coalesce(a.key, p.key) as key, coalesce(a.unit_code, p.unit_code) as unit_code,
+    cast(coalesce(actual_week, 0) as decimal(38,2)) as actual_week,
+    cast(coalesce(actual_ytd, 0) as decimal(38,2)) as actual_ytd, target_start, target_annual
+  from activity a full join planned p on a.key = p.key and a.unit_code = p.unit_code),
+counters as ({of_amounts(AMOUNT_COUNTERS)})"""
+
 # --------------------------------------------------------------- backfill
 def backfill(
     targets: str = NATION_TARGETS,
@@ -432,6 +475,32 @@ ORACLE_SQL: dict[str, str] = {
         cast(0 as bigint) as amounts_unreadable, coalesce(unit_count, 0) as unit_count, coalesce(actual_ytd, 0) as actual_ytd, target_start,
         cast(actual_ytd as double) / nullif(target_start, 0) as attainment
       from counters c left join shown s on c.key = s.key""",
+    "scoreboard_amounts": f"""{AMOUNT_BOARDS}, {BOARD.format(shown="double").strip()}
+      select key as report, {COLUMNS} from board""",
+    "amount_warnings": f"""{AMOUNT_BOARDS},
+      rows_without as ({of_amounts(AMOUNTS_UNTARGETED)})
+      select key as report, '1998-W24' as week, code, subject, cast(n as bigint) as n from (
+        select key, 'later_rows' as code, '1998-06-14' as subject, rows_later as n from counters where rows_later > 0
+        union all select key, 'unreadable_amounts', 'Amount', kept_unreadable from counters where kept_unreadable > 0
+        union all select key, 'nothing_kept', '', 0 from counters where rows_kept = 0
+        union all select key, 'unit_without_target', unit_code, n from rows_without
+        union all select 'amounts', 'unknown_segment', v, 0 from (values ('BUILDING'), ('MACHINERY')) as w(v)
+          where v not in (select segment from cases where segment is not null)
+        union all select s.key, 'excluded_unit_missing', excluded, 0 from seed s where excluded is not null
+          and not exists (select 1 from jk where jk.key = s.key and jk.unit_code = s.excluded))""",
+    "amount_metrics": f"""{AMOUNT_BOARDS},
+      shown as (
+        select key, count(*) as unit_count, sum(actual_ytd) as actual_ytd, sum(target_start) as target_start
+        from jk group by key)
+      select c.key as report, '1998-W24' as week, rows_read, rows_kept, rows_later, dates_unreadable,
+        amounts_unreadable, unit_count, cast(actual_ytd as double) as actual_ytd, target_start,
+        cast(actual_ytd as double) / nullif(target_start, 0) as attainment
+      from counters c join shown s on c.key = s.key""",
+    "rejected_values": f"""with {DIRTY}
+      select segment, unit_code, 'Amount' as "column", amount_text as value, 'unreadable_amount' as reason
+      from cases where amount_unreadable
+      union all select segment, unit_code, 'Case date', day_text, 'unreadable_date'
+      from cases where moment is null and day_text is not null""",
     "unknown_segments": f"""with {DIRTY}, wanted as (
         select v as segment from (values ('BUILDING'), ('MACHINERY'), ('SPACECRAFT')) as w(v)),
       present as (select distinct segment from cases where segment is not null)
@@ -491,6 +560,7 @@ ORACLE_SQL: dict[str, str] = {
         {integer_text("actual_ytd")} || ' year to date', {GAP_CLASS}
       from board where row_type = 'total_excl'""",
     "chart_series": f"""{CUSTOMERS} select unit_code, attainment,
+      row_number() over (order by attainment desc, unit_code) as rank,
       {percent_text("attainment", 0)} as bar_label
       from board where row_type = 'unit' and attainment is not null""",
 }

@@ -20,7 +20,13 @@ from tallyboard.operators.volumes import volumes
 from tallyboard.plans.backfill import backfill, backfill_reports
 from tallyboard.plans.many import RawInputs, report_metrics, report_warnings, scoreboards
 from tallyboard.plans.scoreboard import aligned_units, scoreboard
-from tallyboard.sources.extract import ROLE_COLUMNS, clean_extract, date_quality, segments_of
+from tallyboard.sources.extract import (
+    ROLE_COLUMNS,
+    clean_extract,
+    date_quality,
+    rejected_values,
+    segments_of,
+)
 from tallyboard.sources.targets import clean_targets, duplicate_targets
 from tallyboard.spec import ReportSpec
 
@@ -214,6 +220,33 @@ def unknown_segments(spark: SparkSession, folder: str) -> DataFrame:
     return segment_check(spec, segments_of(spec, d.dirty_orders(spark, folder)))
 
 
+def _amounts(spark: SparkSession, folder: str) -> tuple[list[ReportSpec], dict[str, RawInputs]]:
+    """Sums of a text column of which some values are no amounts."""
+    inputs = RawInputs(d.dirty_orders(spark, folder), d.nation_targets(spark, folder))
+    specs = [d.amounts_spec(), d.amounts_spec(name="all amounts", segments=(), excluded_unit=None)]
+    return specs, {s.name: inputs for s in specs}
+
+
+def scoreboard_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    specs, inputs = _amounts(spark, folder)
+    return _as_double(scoreboards(specs, inputs, d.WEEK))
+
+
+def amount_warnings(spark: SparkSession, folder: str) -> DataFrame:
+    specs, inputs = _amounts(spark, folder)
+    return report_warnings(specs, inputs, d.WEEK)
+
+
+def amount_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    specs, inputs = _amounts(spark, folder)
+    rows = report_metrics(specs, inputs, d.WEEK)
+    return rows.withColumn("actual_ytd", F.col("actual_ytd").cast("double"))
+
+
+def rejected_values_query(spark: SparkSession, folder: str) -> DataFrame:
+    return rejected_values(d.amounts_spec(), d.dirty_orders(spark, folder))
+
+
 # -------------------------------------------------------------------- weeks
 def week_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """Every day on which something happened, with its week."""
@@ -328,6 +361,10 @@ QUERIES: dict[str, Query] = {
     "warnings": warnings_query,
     "run_metrics": run_metrics_query,
     "unknown_segments": unknown_segments,
+    "scoreboard_amounts": scoreboard_amounts,
+    "amount_warnings": amount_warnings,
+    "amount_metrics": amount_metrics,
+    "rejected_values": rejected_values_query,
     "week_dimension": week_dimension,
     "week_parsing": week_parsing,
     "backfill_weeks": backfill_weeks,

@@ -15,6 +15,8 @@ from tallyboard.functions.display import (
     percent_text,
 )
 from tallyboard.operators.board import TOTAL, TOTAL_EXCLUDED, UNIT
+from tallyboard.operators.ranking import with_rank
+from tallyboard.sinks.scratch import written
 from tallyboard.spec import ReportSpec
 
 # Headers of the published scoreboard, by board column.
@@ -131,15 +133,11 @@ def kpi_cards(spec: ReportSpec, rows: DataFrame) -> DataFrame:
 
 
 def chart_series(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Unit bars, best attainment first, equal ones by code.
-
-    The order is the sort itself: numbering the bars would need a window over
-    all units at once, in a single task.
-    """
-    bars = rows.filter((F.col("row_type") == UNIT) & F.col("attainment").isNotNull())
-    return bars.select(
-        *keys,
-        "unit_code",
-        "attainment",
-        percent_text(F.col("attainment"), 0).alias("bar_label"),
-    ).orderBy(*keys, F.col("attainment").desc(), "unit_code")
+    """Unit bars with their ``rank``: best attainment first, equal ones by code.
+    The bars are written once, as ranks look at them several times; the rank
+    outlives the order of rows."""
+    found = rows.filter((F.col("row_type") == UNIT) & F.col("attainment").isNotNull())
+    bars = written(found.select(*keys, "unit_code", "attainment"), "bars")
+    ranked = with_rank(bars, "attainment", "unit_code", keys)
+    label = percent_text(F.col("attainment"), 0).alias("bar_label")
+    return ranked.select(*keys, "rank", "unit_code", "attainment", label).orderBy(*keys, "rank")

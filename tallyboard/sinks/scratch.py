@@ -2,10 +2,39 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyboard.errors import TallyError
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows``, written once to storage that the cluster shares and read back,
+    for results that look at them several times. The table goes when the
+    process ends. Without ``spark.checkpoint.dir`` only a local session has a
+    place that all its tasks see."""
+    spark = rows.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise TallyError("set spark.checkpoint.dir to a folder that the cluster shares")
+        folder = "file://" + tempfile.mkdtemp(prefix="run-")
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    except Exception:  # the session may be gone when the process ends
+        return
+
 
 class Scratch:
     """A folder of one run, in ``spark.checkpoint.dir`` or else under the output

@@ -50,13 +50,21 @@ def test_counting_starts_before_the_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("name", ["unit_rows", "chart_series"])
-def test_boards_reduced_to_units_compute_no_totals(spark, name):
-    plan = executed(QUERIES[name](spark, FOLDER))
+def test_boards_reduced_to_units_compute_no_totals(spark):
+    plan = executed(QUERIES["unit_rows"](spark, FOLDER))
     assert "SinglePartition" not in plan
     assert scans(plan, "orders") == 1
 
 
+def test_ranks_are_counted_in_parts(spark):
+    """The extract is read when the bars are written; a rank is a position in a
+    part and the rows of the parts before."""
+    plan = executed(QUERIES["chart_series"](spark, "/root/testdata/sf0.01"))
+    assert scans(plan, "orders") == 0
+    positions = re.findall(r"\bWindow \[row_number\(\)[^\n]*", plan)
+    assert positions and all("[part#" in p for p in positions)
+
+
 def test_boards_need_no_join(spark, make_spec, make_extract, make_targets):
     """Activity and targets meet in one aggregation; totals add up its rows."""
     from tallyboard import scoreboard
