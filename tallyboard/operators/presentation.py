@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -132,12 +132,16 @@ def kpi_cards(spec: ReportSpec, rows: DataFrame) -> DataFrame:
     )
 
 
-def chart_series(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def chart_series(
+    rows: DataFrame,
+    keys: Sequence[str] = (),
+    keep: Callable[[DataFrame, str], DataFrame] = written,
+) -> DataFrame:
     """Unit bars with their ``rank``: best attainment first, equal ones by code.
-    The bars are written once, as ranks look at them several times; the rank
+    ``keep`` writes the bars once, as ranks look at them several times; the rank
     outlives the order of rows."""
     found = rows.filter((F.col("row_type") == UNIT) & F.col("attainment").isNotNull())
-    bars = written(found.select(*keys, "unit_code", "attainment"), "bars")
+    bars = keep(found.select(*keys, "unit_code", "attainment"), "bars")
     ranked = with_rank(bars, "attainment", "unit_code", keys)
     label = percent_text(F.col("attainment"), 0).alias("bar_label")
-    return ranked.select(*keys, "rank", "unit_code", "attainment", label).orderBy(*keys, "rank")
+    return ranked.select(*keys, "unit_code", "attainment", label, "rank").orderBy(*keys, "rank")

@@ -42,10 +42,11 @@ from tallyboard.sources.extract import (
     ROLE_COLUMNS,
     clean_extract,
     refuse_unreadable_dates,
+    rejected_values,
     segments_of,
 )
 from tallyboard.sources.landing import literal_path
-from tallyboard.sources.targets import clean_targets, require_unique_targets
+from tallyboard.sources.targets import clean_targets, duplicate_targets, refuse_duplicates
 from tallyboard.spec import ReportBook, ReportSpec
 
 
@@ -85,6 +86,28 @@ def _check_dates(groups: Sequence[ExtractGroup], inputs: Mapping[str, RawInputs]
             refuse_unreadable_dates(spec, inputs[spec.name].extract)
 
 
+def _check_targets(targets: DataFrame, out: str, week: str, reports: Sequence[str], scratch: Scratch) -> None:
+    """One job over the targets of all reports. Offenders are written as
+    ``duplicate_targets`` before the run stops."""
+    found = scratch.keep(duplicate_targets(targets, KEYS), "duplicate_targets")
+    if not found.isEmpty():
+        write_findings(found.withColumn("week", F.lit(week)), f"{out}/duplicate_targets", week, reports)
+        refuse_duplicates(found.orderBy(*KEYS, "unit_code"))
+
+
+def _write_rejected(
+    groups: Sequence[ExtractGroup], inputs: Mapping[str, RawInputs], path: str, week: str
+) -> None:
+    """The values that could not be read, once per report that reads them. Only
+    extracts whose tally counts some are looked at again."""
+    for group in groups:
+        names = [s.name for s in group.specs]
+        unread = group.counted.agg(F.sum("dates_unreadable"), F.sum("amounts_unreadable")).first()
+        rows = rejected_values(group.specs[0], inputs[names[0]].extract)
+        rows = rows.select("*", F.explode(name_list(names)).alias("report"), F.lit(week).alias("week"))
+        write_findings(rows if any(unread) else rows.limit(0), path, week, names)
+
+
 def _details(
     specs: Sequence[ReportSpec], inputs: Mapping[str, RawInputs], week: str
 ) -> DataFrame:
@@ -159,6 +182,7 @@ def run(
     destination: str | None = None,
     template: str | None = None,
     keep_detail: bool = False,
+    keep_rejected: bool = False,
     today: dt.date | None = None,
 ) -> RunOutcome:
     """Runs the named reports (all by default) for one week (the current one).
@@ -170,7 +194,8 @@ def run(
     one column of it if a requested segment is not there. ``out`` is a folder
     shared by the cluster; it receives, by week and report, ``scoreboard``,
     ``run_metrics``, ``warnings``, ``segments``, what readers see of the board
-    (``display``, ``cards``, ``chart``), and with ``keep_detail`` ``detail``.
+    (``display``, ``cards``, ``chart``), with ``keep_detail`` ``detail`` and with
+    ``keep_rejected`` ``rejected``, the dates and amounts that cannot be read.
     """
     specs = book.select(names)
     week = WeekWindow(week or current_week(today)).week
@@ -180,12 +205,11 @@ def run(
     if inputs is None:
         inputs = open_inputs(spark, specs, landing)
     groups = tally_groups(specs, inputs, week)
-    for spec in specs:
-        require_unique_targets(spec, clean_targets(spec, inputs[spec.name].targets))
     targets = targets_by_report(specs, inputs)
     reports = [s.name for s in specs]
 
     with Scratch(spark, out) as scratch:
+        _check_targets(targets, out, week, reports, scratch)
         groups = [
             ExtractGroup(g.specs, scratch.keep(g.counted, f"tally_{i}"))
             for i, g in enumerate(groups)
@@ -220,7 +244,9 @@ def run(
         ]
         write_partitions(display_rows(board_rows, PARTITIONS), f"{out}/display")
         write_partitions(union_all(cards), f"{out}/cards")
-        write_findings(chart_series(board_rows, PARTITIONS), f"{out}/chart", week, reports)
+        write_findings(chart_series(board_rows, PARTITIONS, scratch.keep), f"{out}/chart", week, reports)
+        if keep_rejected:
+            _write_rejected(groups, inputs, f"{out}/rejected", week)
 
         published = None
         kept = set(reports) if keep_detail else set()

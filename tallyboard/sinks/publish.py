@@ -3,6 +3,13 @@
 A target table plays the part of a prepared sheet: its header stays as it is
 and its rows are replaced as a whole. Columns are matched by position. A target
 or a report that is not there is reported and skipped; the other rules go on.
+
+Blocks are published together or not at all. All are first computed and written
+beside the tables; a manifest that names them is the decision to publish, and
+only then are tables replaced. A failure before the manifest leaves every table
+as it was. After it, the next run (or ``finish_publishing``) replaces the tables
+from what was staged, those already replaced included. One run at a time may
+publish to a destination.
 """
 
 from __future__ import annotations
@@ -10,11 +17,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tallyboard.errors import PublishError
+from tallyboard.sources.datasets import literal_rows
 from tallyboard.spec import PublishRule
 
+# One line per block of a run: where it is staged and which table it replaces.
+MANIFEST = (
+    "number int, path string, table string, model string, target string, block string, report string"
+)
+
 # Block name -> DataFrame, asked only for the blocks some rule publishes.
 Blocks = Callable[[str], DataFrame]
 
@@ -62,21 +75,59 @@ def publish(
     reports: Mapping[str, Blocks],
     destination: str,
     template: str | None = None,
+    staging: str | None = None,
 ) -> PublishOutcome:
     """Writes the blocks of all ``rules`` into the tables of ``destination``.
 
     ``template`` is a database whose tables define the targets. Targets missing
     from the destination are created empty in its image; the template itself is
-    only ever read.
+    only ever read. ``staging`` is a folder that the cluster shares, by default
+    one in the destination's own.
     """
+    check_destination(spark, destination, template)
+    staging = staging or staging_of(spark, destination)
+    finish_publishing(spark, destination, staging)
     planned, warnings = plan(spark, rules, reports, destination, template)
+    entries = []
+    for number, (rule, table, model, rows) in enumerate(planned):
+        path = f"{staging}/blocks/{number}"
+        rows.toDF(*(f"c{i}" for i in range(len(rows.columns)))).write.mode("overwrite").parquet(path)
+        entries.append((number, path, table, model, rule.target, rule.block, rule.report))
+    if entries:
+        manifest = literal_rows(spark, MANIFEST, entries).coalesce(1)
+        manifest.write.mode("overwrite").parquet(f"{staging}/manifest")
+    return PublishOutcome(finish_publishing(spark, destination, staging), tuple(warnings))
+
+
+def staging_of(spark: SparkSession, destination: str) -> str:
+    return spark.catalog.getDatabase(destination).locationUri.rstrip("/") + "/_staged"
+
+
+def finish_publishing(
+    spark: SparkSession, destination: str, staging: str | None = None
+) -> tuple[Published, ...]:
+    """Replaces the tables that a manifest names and clears it away. Without a
+    manifest nothing was decided and nothing happens."""
+    staging = staging or staging_of(spark, destination)
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/manifest")
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Spark marks a folder whose files are all there.
+    decided = system.exists(spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS"))
     done = []
-    for rule, table, model, rows in planned:
-        if model != table:
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} LIKE {model}")
-        rows.write.insertInto(table, overwrite=True)
-        done.append(Published(rule.target, rule.block, rule.report, spark.table(table).count()))
-    return PublishOutcome(tuple(done), tuple(warnings))
+    if decided:
+        entries = spark.read.schema(MANIFEST).parquet(f"{staging}/manifest").orderBy("number").collect()
+        for entry in entries:
+            done.append(Published(entry.target, entry.block, entry.report, _replace(spark, entry)))
+    system.delete(where, True)
+    system.delete(where.getParent(), True)
+    return tuple(done)
+
+
+def _replace(spark: SparkSession, entry: Row) -> int:
+    if entry.model != entry.table:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {entry.table} LIKE {entry.model}")
+    spark.read.parquet(entry.path).write.insertInto(entry.table, overwrite=True)
+    return spark.table(entry.table).count()
 
 
 def plan(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tallyboard.errors import ContractError
@@ -31,17 +33,28 @@ def clean_targets(spec: ReportSpec, raw: DataFrame) -> DataFrame:
     ).filter(F.col("unit_code").isNotNull())
 
 
-def duplicate_targets(targets: DataFrame) -> DataFrame:
-    """Units that have several target rows."""
-    rows = targets.groupBy("unit_code").agg(F.count("*").alias("target_rows"))
-    return rows.filter("target_rows > 1").orderBy("unit_code")
+def duplicate_targets(targets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Units that have several target rows; ``keys`` tell the targets of several
+    reports apart."""
+    rows = targets.groupBy(*keys, "unit_code").agg(F.count("*").alias("target_rows"))
+    return rows.filter("target_rows > 1").orderBy(*keys, "unit_code")
 
 
 def require_unique_targets(spec: ReportSpec, targets: DataFrame) -> None:
     """Runs one small job; every later step relies on unique units."""
-    named = [row.unit_code for row in duplicate_targets(targets).limit(_NAMED + 1).collect()]
-    if named:
-        more = ", and more: duplicate_targets() has them all" if len(named) > _NAMED else ""
-        raise ContractError(
-            f"the targets of report {spec.name!r} hold several rows for: {named[:_NAMED]}{more}"
-        )
+    refuse_duplicates(duplicate_targets(targets.withColumn("report", F.lit(spec.name)), ["report"]))
+
+
+def refuse_duplicates(found: DataFrame) -> None:
+    """The error raised for duplicate targets, by ``report``, of any number of
+    reports; it names the first offenders of each."""
+    rows = found.select("report", "unit_code").limit(_NAMED + 1).collect()
+    if not rows:
+        return
+    named: dict[str, list[str]] = {}
+    for row in rows[:_NAMED]:
+        named.setdefault(row.report, []).append(row.unit_code)
+    lines = [f"the targets of report {report!r} hold several rows for: {units}" for report, units in named.items()]
+    if len(rows) > _NAMED:
+        lines.append("and more: duplicate_targets has them all")
+    raise ContractError("; ".join(lines))

@@ -101,6 +101,23 @@ def test_bad_deliveries_write_nothing(spark, book, inputs, make_extract, make_ta
     assert not (tmp_path / "scoreboard").exists()
 
 
+def test_offending_targets_and_rejected_values_are_written(spark, book, inputs, make_extract, make_targets, tmp_path):
+    out = str(tmp_path)
+    twice = make_targets(TARGETS).unionAll(make_targets(TARGETS))
+    with pytest.raises(ContractError, match="'churn' hold several rows"):
+        run(spark, book, out, week=WEEK, inputs={**inputs, "churn": RawInputs(inputs["churn"].extract, twice)})
+    offenders = stored(spark, out, "duplicate_targets").collect()
+    assert {(r.report, r.unit_code, r.target_rows) for r in offenders} == {("churn", unit, 2) for unit in TARGETS}
+
+    mixed = make_extract([("2023-05-10",), ("soon", "U02")], "string")
+    read = {**inputs, "churn": RawInputs(mixed, inputs["churn"].targets)}
+    run(spark, book, out, week=WEEK, inputs=read, keep_rejected=True)
+    rejected = stored(spark, out, "rejected").collect()
+    assert [(r.report, r.unit_code, r.value, r.reason) for r in rejected] == [("churn", "U02", "soon", "unreadable_date")]
+    run(spark, book, out, week=WEEK, inputs=inputs, keep_rejected=True)
+    assert stored(spark, out, "rejected").count() == 0
+
+
 def test_from_landing_folder_to_published_tables(spark, make_spec, make_extract, make_targets, tmp_path):
     landing, out = tmp_path / "landing", str(tmp_path / "out")
     landing.mkdir()

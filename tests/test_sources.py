@@ -5,8 +5,13 @@ from conftest import IN_WEEK
 
 from tallyboard import ContractError, Feed, LandingError
 from tallyboard.sources.datasets import choose, open_feed, read_file, strip_headers
-from tallyboard.sources.extract import clean_extract, date_quality, refuse_unreadable_dates
-from tallyboard.sources.targets import clean_targets, duplicate_targets, require_unique_targets
+from tallyboard.sources.extract import clean_extract, date_quality, refuse_unreadable_dates, rejected_values
+from tallyboard.sources.targets import (
+    clean_targets,
+    duplicate_targets,
+    refuse_duplicates,
+    require_unique_targets,
+)
 
 
 def test_all_missing_columns_are_named(spark, make_spec):
@@ -139,3 +144,57 @@ def test_files_by_suffix(spark, tmp_path):
 def test_landing_feed_needs_a_folder(spark):
     with pytest.raises(LandingError, match="no landing folder"):
         open_feed(spark, Feed(pattern="*.csv"), None, "source")
+
+
+AMOUNTS = [
+    ("12.50", 12.5, None), (" 3 ", 3.0, None), ("1.234", None, "x"), ("n/a", None, "x"), ("", None, None),
+    (" ", None, None), (None, None, None), ("1e400", None, "x"), ("99999999999999999999", None, "x"), ("-0", 0.0, None),
+]
+
+
+def amounts(spark, make_spec, policy):
+    rows = [(IN_WEEK, "U01", "Retail", text) for text, *_ in AMOUNTS]
+    raw = spark.createDataFrame(rows, "`Opened on` timestamp_ntz, `Unit code` string, Segment string, Amount string")
+    return make_spec(measure="Amount", measure_type="decimal(18,2)", unreadable_amounts=policy), raw
+
+
+def test_excluded_amounts_are_counted_and_named(spark, make_spec):
+    spec, raw = amounts(spark, make_spec, "exclude")
+    found = clean_extract(spec, raw).select("amount", "amount_unreadable").collect()
+    assert [(None if r.amount is None else float(r.amount), r.amount_unreadable) for r in found] == [
+        (value, bad == "x") for _, value, bad in AMOUNTS
+    ]
+    rejected = rejected_values(spec, raw).collect()
+    assert sorted((r.unit_code, r.column, r.value, r.reason) for r in rejected) == sorted(
+        ("U01", "Amount", text, "unreadable_amount") for text, _, bad in AMOUNTS if bad
+    )
+
+
+def test_refused_amounts_stop_the_job(spark, make_spec):
+    spec, raw = amounts(spark, make_spec, "refuse")
+    with pytest.raises(Exception, match="no decimal.18,2. in 'Amount'"):
+        clean_extract(spec, raw).collect()
+    assert rejected_values(spec, raw).count() == 4  # which ones, whatever the policy
+
+
+def test_rejected_dates_and_amounts(spark, make_spec):
+    raw = spark.createDataFrame(
+        [("soon", "U1", "Retail", "n/a"), ("2023-05-10", "U2", " x ", "1"), (None, None, None, None)],
+        "`Opened on` string, `Unit code` string, Segment string, Amount string",
+    )
+    spec = make_spec(measure="Amount", measure_type="double")
+    assert {tuple(r) for r in rejected_values(spec, raw).collect()} == {
+        ("Retail", "U1", "Amount", "n/a", "unreadable_amount"), ("Retail", "U1", "Opened on", "soon", "unreadable_date"),
+    }
+    typed = raw.withColumns({"Opened on": raw["Opened on"].try_cast("date"), "Amount": raw["Amount"].try_cast("int")})
+    assert rejected_values(make_spec(measure="Amount"), typed).collect() == []
+
+
+def test_duplicates_of_all_reports_in_one_table(spark, make_spec):
+    rows = [("a", "U1"), ("a", "U1"), ("a", "U2"), ("b", "U1"), ("b", "U3"), ("b", "U3"), ("b", "U3")]
+    targets = spark.createDataFrame(rows, "report string, unit_code string")
+    found = duplicate_targets(targets, ["report"])
+    assert [tuple(r) for r in found.collect()] == [("a", "U1", 2), ("b", "U3", 3)]
+    with pytest.raises(ContractError, match="'a' hold several rows for: .'U1'.; .*'b' hold several rows for: .'U3'."):
+        refuse_duplicates(found)
+    refuse_duplicates(found.limit(0))
