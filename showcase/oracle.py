@@ -389,6 +389,12 @@ BACKFILL_SIGNUPS = backfill_of_events(
 )
 
 
+BACKFILL_REPORTS = f"""select 'orders' as report, * from ({BACKFILL})
+      union all select 'everything' as report, * from ({BACKFILL_ALL})
+      union all select 'urgent' as report, * from ({BACKFILL_URGENT})
+      union all select 'events' as report, * from ({BACKFILL_SIGNUPS})"""
+
+
 # ----------------------------------------------------------- presentation
 def integer_text(value: str, form: str = "{:,}") -> str:
     rounded = f"cast(round_even({value}, 0) as bigint)"
@@ -530,10 +536,8 @@ ORACLE_SQL: dict[str, str] = {
     "backfill_weeks": BACKFILL,
     "backfill_events": BACKFILL_EVENTS,
     "backfill_sum": BACKFILL_SUM,
-    "backfill_reports": f"""select 'orders' as report, * from ({BACKFILL})
-      union all select 'everything' as report, * from ({BACKFILL_ALL})
-      union all select 'urgent' as report, * from ({BACKFILL_URGENT})
-      union all select 'events' as report, * from ({BACKFILL_SIGNUPS})""",
+    "backfill_reports": BACKFILL_REPORTS,
+    "backfill_kept": BACKFILL_REPORTS,
     "block_scoreboard": f"""{SCOREBOARD} select unit_code as "Unit", actual_week as "Actual week",
       actual_ytd as "Actual year to date", target_start as "Start-of-year target",
       attainment as "Attainment", gap as "Gap", target_annual as "Annual target",

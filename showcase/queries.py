@@ -18,8 +18,10 @@ from tallyboard.operators.filters import retained_detail, segment_filter
 from tallyboard.operators.quality import segment_check
 from tallyboard.operators.volumes import volumes
 from tallyboard.plans.backfill import backfill, backfill_reports
+from tallyboard.plans.history import History, backfill_kept
 from tallyboard.plans.many import RawInputs, report_metrics, report_warnings, scoreboards
 from tallyboard.plans.scoreboard import aligned_units, scoreboard
+from tallyboard.sinks.scratch import shared_path
 from tallyboard.sources.extract import (
     ROLE_COLUMNS,
     clean_extract,
@@ -313,6 +315,12 @@ def backfill_reports_query(spark: SparkSession, folder: str) -> DataFrame:
     return backfill_reports(specs, inputs, d.FIRST_WEEK, d.LAST_WEEK)
 
 
+def backfill_kept_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Every week from daily totals that are counted once and kept."""
+    specs, inputs = _many(spark, folder)
+    return backfill_kept(specs, inputs, d.FIRST_WEEK, d.LAST_WEEK, History(spark, shared_path(spark, "history")))
+
+
 # ------------------------------------------------------------- presentation
 def block_scoreboard(spark: SparkSession, folder: str) -> DataFrame:
     rows = _nation_board(spark, folder)
@@ -371,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "backfill_events": backfill_events,
     "backfill_sum": backfill_sum,
     "backfill_reports": backfill_reports_query,
+    "backfill_kept": backfill_kept_query,
     "block_scoreboard": block_scoreboard,
     "block_targets": block_targets,
     "display_rows": display_rows,

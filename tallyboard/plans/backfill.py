@@ -11,7 +11,7 @@ sums are taken and the weeks are spelled out.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -34,6 +34,8 @@ from tallyboard.sources.datasets import literal_rows
 from tallyboard.spec import ReportSpec
 
 KEYS = ("report", "monday")
+# Reports, their extract, the first day that counts and the day after the last.
+EntriesFrom = Callable[[list[ReportSpec], DataFrame, dt.date, dt.date], list[DataFrame]]
 _TARGETS = ("target_start", "target_annual")
 
 
@@ -47,7 +49,7 @@ def _first_monday(year: int) -> dt.date:
 
 
 def activity_entries(
-    specs: Sequence[ReportSpec], extract: DataFrame, first: dt.date, end: dt.date
+    specs: Sequence[ReportSpec], extract: DataFrame, first: dt.date, end: dt.date, kept: bool = False
 ) -> DataFrame:
     """``report, unit_code, year, monday, of_week, measured, row_count``: what
     each week adds to the cumulation of ``year``, the civil year of its Monday.
@@ -57,6 +59,8 @@ def activity_entries(
     the first case. Days of January before the year's first Monday count twice:
     in the straddling week, for the old year, and from the first Monday on, for
     the new one.
+
+    ``kept`` tells that the extract is already added up by day (`daily_totals`).
     """
     spec = specs[0]
     day = F.col("activity_date")
@@ -64,6 +68,8 @@ def activity_entries(
     late = F.lit(False)
     if spec.cutoff == "midnight":
         late = day > F.date_add(monday, 6).cast("timestamp_ntz")
+        if kept:
+            late = (day == F.date_add(monday, 6)) & F.col("after_midnight")
     entry = F.when(late, F.date_add(monday, 7)).otherwise(monday)
 
     # Nothing before 1 January of the first week's year can matter.
@@ -78,7 +84,10 @@ def activity_entries(
         late.alias("late"),
         F.year(day).alias("day_year"),
         *([] if alike else value_keys(specs)),
-    ).agg(measured(spec).alias("measured"), F.count("*").alias("row_count"))
+    ).agg(
+        (F.sum("measured") if kept else measured(spec)).alias("measured"),
+        (F.sum("row_count") if kept else F.count("*")).alias("row_count"),
+    )
 
     week_year = F.year("monday")
     own = F.when(~F.col("late"), F.col("measured"))
@@ -104,10 +113,20 @@ def activity_entries(
         )
     )
     if alike:
-        kept = weekly.select("*", F.explode(name_list([s.name for s in specs])).alias("report"))
+        rows = weekly.select("*", F.explode(name_list([s.name for s in specs])).alias("report"))
     else:
-        kept = by_report(specs, weekly)
-    return kept.select("report", "unit_code", F.inline(contributions))
+        rows = by_report(specs, weekly)
+    return rows.select("report", "unit_code", F.inline(contributions))
+
+
+def entries_of(
+    specs: Sequence[ReportSpec], extract: DataFrame, first: dt.date, end: dt.date, kept: bool = False
+) -> list[DataFrame]:
+    """Entries of reports that share an extract, by what their last day means."""
+    return [
+        activity_entries([s for s in specs if s.cutoff == cutoff], extract, first, end, kept)
+        for cutoff in cutoffs(specs)
+    ]
 
 
 def target_entries(targets: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
@@ -194,6 +213,7 @@ def weekly_lines(
     targets: DataFrame,
     first: str,
     last: str,
+    entries_from: EntriesFrom = entries_of,
 ) -> DataFrame:
     """Every line of every board with its figures, week by week. A group is the
     reports that share an extract; ``targets`` hold a unit once per ``report``.
@@ -205,11 +225,7 @@ def weekly_lines(
     start, end = week_span(first, last)
     past = WeekWindow(last).sunday + dt.timedelta(days=1)
     entries = union_all(
-        [
-            activity_entries([s for s in members if s.cutoff == cutoff], extract, start, past)
-            for members, extract in groups
-            for cutoff in cutoffs(members)
-        ]
+        [e for members, extract in groups for e in entries_from(members, extract, start, past)]
     ).unionByName(target_entries(targets, start, end), allowMissingColumns=True)
     specs = [s for members, _ in groups for s in members]
     line = ("report", "row_type", "unit_code", "year")
@@ -255,13 +271,15 @@ def weekly_lines(
     )
 
 
-def _boards(
+def boards_of_entries(
     groups: Sequence[tuple[Sequence[ReportSpec], DataFrame]],
     targets: DataFrame,
     first: str,
     last: str,
+    entries_from: EntriesFrom = entries_of,
 ) -> DataFrame:
-    rows = with_indicators(weekly_lines(groups, targets, first, last), KEYS)
+    """Board rows of every week and report, in no particular order."""
+    rows = with_indicators(weekly_lines(groups, targets, first, last, entries_from), KEYS)
     return rows.select("report", week_id(F.col("monday")).alias("week"), *BOARD_COLUMNS)
 
 
@@ -272,7 +290,7 @@ def backfill(
     column: for each week exactly the rows of a run of that week, in no
     particular order."""
     planned = targets.withColumn("report", F.lit(spec.name))
-    return _boards([([spec], extract)], planned, first, last).drop("report")
+    return boards_of_entries([([spec], extract)], planned, first, last).drop("report")
 
 
 def backfill_reports(
@@ -280,4 +298,6 @@ def backfill_reports(
 ) -> DataFrame:
     """Every week of every report, ready for the weekly sink. Reports that share
     an extract share its scan; all share one pass over their lines."""
-    return _boards(shared_extracts(specs, inputs), targets_by_report(specs, inputs), first, last)
+    return boards_of_entries(
+        shared_extracts(specs, inputs), targets_by_report(specs, inputs), first, last
+    )

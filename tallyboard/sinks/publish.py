@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from tallyboard.errors import PublishError
+from tallyboard.sinks.scratch import delete, is_complete
 from tallyboard.sources.datasets import literal_rows
 from tallyboard.spec import PublishRule
 
@@ -109,17 +110,13 @@ def finish_publishing(
     """Replaces the tables that a manifest names and clears it away. Without a
     manifest nothing was decided and nothing happens."""
     staging = staging or staging_of(spark, destination)
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/manifest")
-    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    # Spark marks a folder whose files are all there.
-    decided = system.exists(spark._jvm.org.apache.hadoop.fs.Path(where, "_SUCCESS"))
     done = []
-    if decided:
+    if is_complete(spark, f"{staging}/manifest"):
         entries = spark.read.schema(MANIFEST).parquet(f"{staging}/manifest").orderBy("number").collect()
         for entry in entries:
             done.append(Published(entry.target, entry.block, entry.report, _replace(spark, entry)))
-    system.delete(where, True)
-    system.delete(where.getParent(), True)
+    delete(spark, f"{staging}/manifest")
+    delete(spark, staging)
     return tuple(done)
 
 
