@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import os
+import re
 import tempfile
 import uuid
 import weakref
@@ -26,10 +27,12 @@ _shipped: weakref.WeakSet = weakref.WeakSet()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none."""
+    """The folder that all executors share; a temporary one only for a local session that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = "file://" + os.path.realpath(tempfile.mkdtemp(prefix="run-"))
@@ -92,6 +95,11 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def quoted(rows: DataFrame) -> list[Column]:
+    """The columns by their names, whatever characters these hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in rows.columns]
+
+
 def row_key() -> Column:
     """A long that tells the rows of a scan apart; write it to a table before it is used twice."""
     return F.monotonically_increasing_id()

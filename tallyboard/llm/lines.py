@@ -1,52 +1,52 @@
 """Fuzzy deduplication of lines.
 
-Lines are normalised: lower case, digits as 0, no ASCII punctuation. Equal normalised lines are one. The others are joined by
-pigeonhole over their words: where e edits are allowed, the e + 1 first words of
-two lines, in one order of all words, have a word in common, whatever the order.
-Words that are rare in a sample come first, which only keeps the keys small. An
-edit changes at most two bits of the parity of a line's words, so candidates
-further apart are none. The rest is verified by the edit distance of the words:
-no pair that it accepts is lost. Of each connected group the first occurrence
+Lines are normalised: lower case, words parted by single spaces; digits and
+punctuation count. Equal lines are one. Two others are near if at most 10% of
+the words of the longer one, rounded down, must be inserted, deleted or
+replaced, and none of these holds a digit: lines that differ in a figure, a year
+or an amount tell different facts. So an edit is tolerated from ten words on.
+
+Candidates are joined by pigeonhole over pairs of neighbouring words: an edit
+breaks at most two of them, so where e edits are allowed, the 2e + 1 first pairs
+of two lines, in one order of all pairs, have one in common, whatever the order.
+Pairs that are frequent in a sample come last, which only keeps the keys small.
+Candidates must agree in their figures and, as an edit changes at most two bits
+of it, nearly in the parity of their words; the rest is verified, first by the
+words that one line has and the other lacks, then by the edit distance. No pair
+that the rule accepts is lost. Of each connected group the first occurrence
 stays, by id, text and line number.
 
-`simhashes`, `DISTANCE` and `blocks_for` find no candidates any more: near-equal
-lines differ in up to 42 of 64 SimHash bits.
+This is not SimHash: near lines differ in up to 42 of 64 of its bits, and blocks
+that find nine in ten of them need some fifty keys a line (see the README).
 
-Lines of fewer than `min_words` normalised words always stay. Null and empty
-texts have no lines to remove and stay as they are. Rows with equal id and text
-are one document and lose the same lines; null ids come first. No documents
+Lines of fewer than `min_words` words are too short to be told from phrases that
+writers share: they go only where `short_documents` documents or more hold them.
+Lines without words always stay. Null and empty texts stay as they are. Rows
+with equal id and text are one document and lose the same lines; null ids come
+first. A line may be as long as a text. Further columns of the caller pass
+whatever they are called; one called lines_removed is replaced. No documents
 give no rows.
 """
 
 from __future__ import annotations
 
-import math
-import string
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, dropped, mixed, ship, stored, text_bytes, word_hashes
+from .common import batches, dropped, mixed, quoted, ship, stored, text_bytes, word_hashes
 from .links import linked
 from .near import text_key
 
-#: SimHash bits in which near-equal lines may differ: any, as no lower bound keeps all of them.
-DISTANCE = 64
-#: Documents whose words are counted for the order of all words, and the commonest words that are told apart by their count.
+#: Documents whose word pairs are counted for the order of all pairs, and the commonest pairs that are told apart by their count.
 SAMPLE, COMMON = 4000, 1 << 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-#: ASCII digits as 0; ASCII punctuation goes.
-_DIGITS = bytes(ord("0") if chr(i) in string.digits else i for i in range(256))
-_PUNCTUATION = string.punctuation.encode()
-
-
 def normalised(text: bytes) -> bytes:
-    return text.decode("utf-8", "replace").lower().encode().translate(_DIGITS, _PUNCTUATION)
+    return text.decode("utf-8", "replace").lower().encode()
 
 
 def line_words(line: bytes) -> np.ndarray:
@@ -55,27 +55,53 @@ def line_words(line: bytes) -> np.ndarray:
     return word_hashes(words, len(words))
 
 
-#: The bits of a byte as eight counters of a byte.
-_COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy().view(np.uint64).ravel()
-
-
-def simhashes(words: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-    """The SimHash of the distinct words of each line, by 40 bits of their hashes; `line` numbers each word's line.
-
-    Counting a word once keeps the common words of a language from ruling the long lines.
-    """
-    keys = (line.astype(np.uint64) << np.uint64(40)) | (words >> np.uint64(24))
-    keys.sort()
-    keys = keys[np.r_[True, keys[1:] != keys[:-1]]]
-    line, words = (keys >> np.uint64(40)).astype(np.int64), mixed(keys & np.uint64(2**40 - 1))
-    sizes = np.bincount(line, minlength=lines)
-    begins = np.cumsum(sizes) - sizes
-    place = np.arange(len(words)) - np.repeat(begins, sizes)
-    parts = np.flatnonzero(place % 255 == 0)  # so many fit a counter
-    spread = _COUNTERS[words.astype(">u8").view(np.uint8).reshape(-1, 8)]
-    votes = np.add.reduceat(spread, parts, axis=0).view(np.uint8)
-    votes = np.add.reduceat(votes, np.searchsorted(parts, begins), axis=0, dtype=np.int32)
-    return np.packbits(2 * votes > sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+class Lines:
+    """The words of all lines of some texts: hashes, the sizes and begins of lines, each word's line, words with digits."""
+
+    def __init__(self, texts: list[bytes]):
+        texts = [normalised(text) for text in texts]
+        data = b"\n".join(texts) + b"\n"
+        raw = np.frombuffer(data, np.uint8)
+        ends = np.flatnonzero(raw == 10)
+        text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        self.row = np.searchsorted(text_ends, ends)
+        self.number = np.arange(len(ends)) - np.searchsorted(ends, np.r_[-1, text_ends[:-1]] + 1)[self.row]
+        space = _SPACE[raw]
+        at = np.flatnonzero(~space & np.r_[True, space[:-1]])
+        words = data.split()
+        self.words = word_hashes(words, len(words))
+        digit = (raw >= 48) & (raw <= 57)
+        self.figure = np.add.reduceat(digit, at, dtype=np.int64) > 0 if len(at) else np.zeros(0, bool)
+        self._measure(np.searchsorted(ends, at), len(ends))
+
+    def _measure(self, line: np.ndarray, lines: int) -> None:
+        self.line, self.sizes = line, np.bincount(line, minlength=lines)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def keep(self, chosen: np.ndarray) -> None:
+        """Leaves the chosen lines only."""
+        words = chosen[self.line]
+        self.words, self.figure = self.words[words], self.figure[words]
+        self.row, self.number = self.row[chosen], self.number[chosen]
+        self._measure((np.cumsum(chosen) - 1)[self.line[words]], int(chosen.sum()))
+
+    def place(self) -> np.ndarray:
+        return np.arange(len(self.words)) - self.begins[self.line]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The sum of some 64-bit values of the words of each line; every line has a word."""
+        return np.add.reduceat(values, self.begins)
+
+    def figures(self) -> np.ndarray:
+        """A hash of the words with digits of each line, in their order."""
+        before = np.cumsum(self.figure) - self.figure
+        order = before - before[self.begins][self.line]
+        return self.sums(np.where(self.figure, mixed(self.words ^ mixed(order.astype(np.uint64) + np.uint64(7))), np.uint64(0)))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """A hash for each word and its follower in the line, and their lines."""
+        follows = self.line[1:] == self.line[:-1]
+        return neighbours(self.words)[follows], self.line[:-1][follows]
 
 
 def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
@@ -112,12 +138,6 @@ def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     return False
 
 
-def blocks_for(lines: int) -> int:
-    """The least number of blocks whose agreeing ones have more bits than the count of lines, by two; nine if none have."""
-    wanted = math.log2(max(lines, 2)) + 2
-    return next((b for b in range(DISTANCE + 1, 10) if 64 * (b - DISTANCE) / b >= wanted), 9)
-
-
 def allowed(words: np.ndarray, percent: int) -> np.ndarray:
     """The most edits between a line of so many words and any line near it, itself up to 100 / percent as long."""
     return (100 - percent) * (100 * words // percent) // 100
@@ -134,18 +154,20 @@ def tokens(words: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return numbers, (keys >> np.uint64(40)).astype(np.int64)
 
 
-def first_words(words: np.ndarray, sizes: np.ndarray, most: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each line with edits allowed the `most` + 1 first tokens in the order of all tokens, and how many these are.
+def first_pairs(lines: Lines, most: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line with edits allowed the 2 * `most` + 1 first tokens in the order of all tokens, and how many these are.
 
     A token is ordered and named by 44 bits: its rank among the common ones and
     28 of its own. Tokens of one name only make more candidates.
     """
-    found, counts = [np.zeros(0, np.uint64)], np.where(most > 0, np.minimum(most + 1, sizes), 0)
+    pairs, line = lines.pairs()
+    sizes = np.maximum(lines.sizes - 1, 0)
+    found, counts = [np.zeros(0, np.uint64)], np.where(most > 0, np.minimum(2 * most + 1, sizes), 0)
     begins = np.cumsum(sizes) - sizes
     for start in range(0, len(sizes), 1 << 20):
         own = slice(start, start + (1 << 20))
         line = np.repeat(np.arange(len(sizes[own])), sizes[own])
-        numbers, line = tokens(words[begins[start] : begins[start] + len(line)], line)
+        numbers, line = tokens(pairs[begins[start] : begins[start] + len(line)], line)
         rank = np.zeros(len(numbers), np.uint64)
         if len(common):
             at = np.minimum(np.searchsorted(common, numbers), len(common) - 1)
@@ -162,21 +184,15 @@ def parities(words: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(words) & np.uint64(63)), begins)
 
 
-def common_words(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+def common_pairs(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """The commonest tokens of sampled documents, sorted, and their ranks from 1, the commonest last."""
     share = sample / max(docs.count(), 1)
     drawn = docs.where(F.pmod(text_key(), F.lit(1_000_000)) < share * 1_000_000)
 
     def count(iterator):
         for batch in batches(iterator, 1 << 20):
-            data = b"\n".join(normalised(text) for text in batch.column(0).to_pylist()) + b"\n"
-            raw = np.frombuffer(data, np.uint8)
-            space = _SPACE[raw]
-            at = np.flatnonzero(~space & np.r_[True, space[:-1]])
-            words = data.split()
-            if not words:
-                continue
-            numbers, _ = tokens(word_hashes(words, len(words)), np.searchsorted(np.flatnonzero(raw == 10), at))
+            lines = Lines(batch.column(0).to_pylist())
+            numbers, _ = tokens(*lines.pairs())
             numbers, n = np.unique(numbers, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(numbers.view(np.int64)), pa.array(n)], names=["token", "n"])
 
@@ -187,75 +203,62 @@ def common_words(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.
     return common[order], (len(top) - order).astype(np.uint64)
 
 
-def all_lines(docs: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """doc_id, text_key, line, the hash of the normalised line, its parity, word count and keys, for all lines long enough."""
-    common, ranks = common_words(docs)
+def all_lines(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_key, line, the hash of the normalised line, its parity, figures, word count and keys, for all lines with words."""
+    common, ranks = common_pairs(docs)
 
     def measure(iterator):
         for batch in batches(iterator, 1 << 20):
-            texts = batch.column(0).to_pylist()
-            texts = [normalised(text) for text in texts]
-            data = b"\n".join(texts) + b"\n"
-            raw = np.frombuffer(data, np.uint8)
-            ends = np.flatnonzero(raw == 10)
-            text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-            row = np.searchsorted(text_ends, ends)
-            number = np.arange(len(ends)) - np.searchsorted(ends, np.r_[-1, text_ends[:-1]] + 1)[row]
-            space = _SPACE[raw]
-            at = np.flatnonzero(~space & np.r_[True, space[:-1]])
-            words = data.split()
-            hashes = word_hashes(words, len(words))
-            line = np.searchsorted(ends, at)
-            sizes = np.bincount(line, minlength=len(ends))
-            long = sizes >= min_words
-            kept = long[line]
-            hashes = hashes[kept]
-            sizes, row, number = sizes[long], row[long], number[long]
-            if not len(sizes):
+            lines = Lines(batch.column(0).to_pylist())
+            lines.keep(lines.sizes > 0)
+            if not len(lines.sizes):
                 continue
-            begins = np.cumsum(sizes) - sizes
-            place = np.arange(len(hashes)) - np.repeat(begins, sizes)
-            high, low = (np.add.reduceat(mixed(hashes ^ mixed(place.astype(np.uint64) + np.uint64(seed))), begins) for seed in (1, 1 << 40))
-            keys, counts = first_words(hashes, sizes, allowed(sizes, percent), common, ranks)
-            taken = pa.array(row)
+            place = lines.place().astype(np.uint64)
+            high, low = (lines.sums(mixed(lines.words ^ mixed(place + np.uint64(seed)))) for seed in (1, 1 << 40))
+            keys, counts = first_pairs(lines, allowed(lines.sizes, percent), common, ranks)
+            taken = pa.array(lines.row)
+            numbers = (high, low, parities(lines.words, lines.begins), lines.figures())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1).take(taken),
                     batch.column(2).take(taken),
-                    pa.array(number.astype(np.int32)),
-                    pa.array(high.view(np.int64)),
-                    pa.array(low.view(np.int64)),
-                    pa.array(parities(hashes, begins).view(np.int64)),
-                    pa.array(sizes.astype(np.int32)),
+                    pa.array(lines.number.astype(np.int32)),
+                    *(pa.array(x.view(np.int64)) for x in numbers),
+                    pa.array(lines.sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys.view(np.int64))),
                 ],
-                names=["doc_id", "text_key", "line", "high", "low", "parity", "n_words", "keys"],
+                names=["doc_id", "text_key", "line", "high", "low", "parity", "figures", "n_words", "keys"],
             )
 
     return docs.select(text_bytes().alias("text"), F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key")).mapInArrow(
-        measure, "doc_id long, text_key long, line int, high long, low long, parity long, n_words int, keys array<bigint>"
+        measure, "doc_id long, text_key long, line int, high long, low long, parity long, figures long, n_words int, keys array<bigint>"
     )
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short_documents: int = 20) -> DataFrame:
     """(doc_id, text_key, lines): the numbers of the lines to remove from each document that loses any."""
     ship(docs.sparkSession)
-    every = stored(all_lines(docs, min_words, percent).withColumn("row", F.monotonically_increasing_id()), "lines")
+    every = stored(all_lines(docs, percent).withColumn("row", F.monotonically_increasing_id()), "lines")
+    short = F.col("n_words") < min_words
+    holders = every.where(short).select("high", "low", "doc_id", "text_key").distinct()
+    widely = holders.groupBy("high", "low").count().where(F.col("count") >= short_documents).select("high", "low")
+    counted = every.where(~short).unionByName(every.where(short).join(widely, ["high", "low"], "left_semi"))
     distinct = stored(
-        every.groupBy("high", "low").agg(
+        counted.groupBy("high", "low").agg(
             F.min("row").alias("node"),
             F.min(F.struct("doc_id", "text_key", "line")).alias("first"),
             F.count("*").alias("held"),
-            F.first("parity").alias("parity"),
-            F.first("n_words").alias("n_words"),
-            F.first("keys").alias("keys"),
+            *(F.first(x).alias(x) for x in ("parity", "figures", "n_words", "keys")),
         ),
         "distinct",
     )
-    keyed = distinct.select("node", "parity", "n_words", F.explode(F.array_distinct("keys")).alias("key"))
-    # Equal lines are one here; the buffer of a key with many holders goes to disk.
-    counted = keyed.withColumn("holders", F.count("*").over(Window.partitionBy("key")))
-    postings = stored(counted.where("holders > 1").select("key", "node", "parity", "n_words"), "postings")
+    own = ("parity", "figures", "n_words")
+    keyed = distinct.select("node", *own, F.explode(F.array_distinct("keys")).alias("key"))
+    shared = keyed.groupBy("key", "figures").count().where("count > 1").select("key", "figures")
+    postings = keyed.join(shared, ["key", "figures"], "left_semi")
+    # Lines near each other have the same figures, so these belong to the key.
+    key = F.xxhash64("key", "figures").alias("key")
+    postings = stored(postings.select(key, "node", *own), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
         candidates = stored(pairs, "candidates")
@@ -269,7 +272,8 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> Da
         n, m = F.col(f"{a}n_words"), F.col(f"{b}n_words")
         edits = F.floor((100 - percent) * F.greatest(n, m) / 100)
         apart = F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity")))
-        return (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
+        same = F.col(f"{a}figures") == F.col(f"{b}figures")
+        return same & (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
 
     labels = linked(postings, verified, close)
     grouped = distinct.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -277,7 +281,9 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> Da
     again = grouped.join(groups.where("group_held > 1"), "label").select("high", "low", "group_first")
     here = F.struct("doc_id", "text_key", "line")
     gone = every.join(again, ["high", "low"]).where(~here.eqNullSafe(F.col("group_first")))
-    return stored(gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines")), "gone")
+    result = stored(gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines")), "gone")
+    dropped(every, distinct, postings)
+    return result
 
 
 def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -300,6 +306,42 @@ def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return built.groupBy("node").agg(F.first("words").alias("words"))
 
 
+def may_be_near(left: list[np.ndarray], right: list[np.ndarray], most: np.ndarray) -> np.ndarray:
+    """Whether each of two lists of lines lacks at most `most` words of the other, however often they are there.
+
+    An edit puts in or takes out one word of either line at most.
+    """
+    sizes = [np.array([len(x) for x in side], np.int64) for side in (left, right)]
+    pair = np.concatenate([np.repeat(np.arange(len(most)), n) for n in sizes])
+    side = np.repeat(np.array([1, -1]), [n.sum() for n in sizes])
+    words = np.concatenate([*left, *right]) if len(pair) else np.zeros(0, np.uint64)
+    keys = (pair.astype(np.uint64) << np.uint64(40)) | (words >> np.uint64(24))
+    order = np.argsort(keys, kind="stable")
+    keys, side = keys[order], side[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])[: len(keys)]
+    excess = np.add.reduceat(side, first) if len(keys) else np.zeros(0, np.int64)
+    of = (keys[first] >> np.uint64(40)).astype(np.int64)
+    over, under = (np.bincount(of, np.maximum(sign * excess, 0), len(most)) for sign in (1, -1))
+    return np.maximum(over, under) <= most
+
+
+def neighbours(words: np.ndarray) -> np.ndarray:
+    """A hash for each word and its follower."""
+    with np.errstate(over="ignore"):
+        return mixed(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+
+
+def near_lines(x: np.ndarray, y: np.ndarray, most: int) -> bool:
+    """Whether so many edits turn one line into the other; what both begin and end with is left aside."""
+    shorter = min(len(x), len(y))
+    differ = np.flatnonzero(x[:shorter] != y[:shorter])
+    same = int(differ[0]) if len(differ) else shorter
+    x, y, shorter = x[same:], y[same:], shorter - same
+    differ = np.flatnonzero(x[len(x) - shorter :][::-1] != y[len(y) - shorter :][::-1])
+    same = int(differ[0]) if len(differ) else shorter
+    return edits_within(x[: len(x) - same], y[: len(y) - same], most)
+
+
 def similar(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
     """The pairs whose words differ by few enough edits for their length."""
     one = words.select(F.col("node").alias("a"), F.col("words").alias("left"))
@@ -307,24 +349,30 @@ def similar(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
 
     def compare(iterator):
         for batch in iterator:
-            keep = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                keep.append(edits_within(x, y, (100 - percent) * max(len(x), len(y)) // 100))
-            rows = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(rows.columns[:2], names=["a", "b"])
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                left, right = ([np.frombuffer(w, np.uint64) for w in part.column(c).to_pylist()] for c in (2, 3))
+                most = np.array([(100 - percent) * max(len(x), len(y)) // 100 for x, y in zip(left, right)])
+                keep = may_be_near(left, right, most)
+                # An edit breaks two pairs of neighbours: words in another order are told here.
+                keep &= may_be_near([neighbours(x) for x in left], [neighbours(x) for x in right], 2 * most)
+                for i in np.flatnonzero(keep):
+                    keep[i] = near_lines(left[i], right[i], int(most[i]))
+                rows = part.filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(rows.columns[:2], names=["a", "b"])
 
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
-def without_repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short_documents: int = 20) -> DataFrame:
     """`docs` without the repeated lines in the text, and lines_removed, their number."""
-    gone = repeated_lines(docs, min_words, percent).select(
-        F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text"), F.col("lines").alias("gone_lines")
-    )
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (text_key() == F.col("gone_text"))
-    joined = docs.drop("lines_removed").join(gone, on, "left")
-    rest = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("gone_lines", i))
-    text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    kept = [text.alias(x) if x == "text" else F.col(f"`{x}`") for x in docs.columns if x != "lines_removed"]
-    return joined.select(*kept, F.coalesce(F.size("gone_lines"), F.lit(0)).cast("long").alias("lines_removed"))
+    gone = repeated_lines(docs, min_words, percent, short_documents)
+    gone = gone.select(F.struct(F.col("doc_id"), F.col("text_key")).alias("document"), F.col("lines").alias("gone"))
+    # The caller's columns are packed while others stand beside them.
+    held = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key")).alias("document"), F.struct(*quoted(docs)).alias("row"))
+    joined = held.join(gone, held["document"].eqNullSafe(gone["document"]), "left").select("row", "gone")
+    whole = F.col("row").getField("text")
+    rest = F.filter(F.split(whole, "\n", -1), lambda x, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(rest, "\n"))
+    kept = [(text if x == "text" else F.col("row").getField(x)).alias(x) for x in docs.columns if x != "lines_removed"]
+    return joined.select(*kept, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("lines_removed"))
