@@ -100,6 +100,16 @@ def quoted(rows: DataFrame) -> list[Column]:
     return [F.col("`" + name.replace("`", "``") + "`") for name in rows.columns]
 
 
+def packed_row(rows: DataFrame) -> Column:
+    """All columns as one, `row`, so that names of the caller's meet none of an operator's."""
+    return F.struct(*quoted(rows)).alias("row")
+
+
+def unpacked(names: Iterable[str]) -> list[Column]:
+    """The columns of `row` again."""
+    return [F.col("row").getField(name).alias(name) for name in names]
+
+
 def row_key() -> Column:
     """A long that tells the rows of a scan apart; write it to a table before it is used twice."""
     return F.monotonically_increasing_id()

@@ -7,8 +7,8 @@ of a document is the mean of its lines' forward-backward marginals of "good",
 weighted by their characters.
 
 Training uses the `sample` labelled ids with the smallest hashes, one text of
-each and at most `sample_lines` of its lines; both are bounds of the training
-sample only. Every document is scored whole. Null and empty texts, which have no line
+each and at most `sample_lines` neighbouring lines from a place in it that a
+hash chooses; both are bounds of the training sample only. Every document is scored whole. Null and empty texts, which have no line
 with a word, get the share of good documents in the sample; without labels that
 is one half and every score is 0.5. Several labels of one id count as one, good
 if at least half of them are. Null ids are scored and have no label. No
@@ -17,6 +17,8 @@ documents give no rows.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -182,9 +184,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, sample_lines:
 
     def features(iterator):
         for batch in batches(iterator, 2 << 20):
-            found, document, _ = line_features(batch.column(0).to_pylist())
+            texts = batch.column(0).to_pylist()
+            found, document, _ = line_features(texts)
             for i, label in enumerate(batch.column(1).to_pylist()):
-                own = found[np.searchsorted(document, i) : np.searchsorted(document, i, side="right")][:sample_lines]
+                own = found[np.searchsorted(document, i) : np.searchsorted(document, i, side="right")]
+                # Of a longer text a run of neighbouring lines, from anywhere in it by a hash.
+                start = zlib.crc32(texts[i]) % max(1, len(own) - sample_lines + 1)
+                own = own[start : start + sample_lines]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([label], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([own.astype("<f4").tobytes()], pa.binary())],
                     names=["label", "lines", "features"],

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, dropped, mixed, quoted, ship, stored, text_bytes, word_hashes
+from .common import batches, dropped, mixed, packed_row, ship, stored, text_bytes, word_hashes
 from .links import linked
 from .near import text_key
 
@@ -369,7 +369,7 @@ def without_repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 9
     gone = repeated_lines(docs, min_words, percent, short_documents)
     gone = gone.select(F.struct(F.col("doc_id"), F.col("text_key")).alias("document"), F.col("lines").alias("gone"))
     # The caller's columns are packed while others stand beside them.
-    held = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key")).alias("document"), F.struct(*quoted(docs)).alias("row"))
+    held = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key")).alias("document"), packed_row(docs))
     joined = held.join(gone, held["document"].eqNullSafe(gone["document"]), "left").select("row", "gone")
     whole = F.col("row").getField("text")
     rest = F.filter(F.split(whole, "\n", -1), lambda x, i: ~F.array_contains("gone", i))

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, dropped, stored
+from .common import WORD, dropped, packed_row, stored, unpacked
 
 #: Weights are rounded to so many parts.
 PARTS = 1_000_000_000
@@ -99,13 +99,17 @@ def mixed_sources(
     in random order.
     """
     own = ["mix_tokens", "mix_epoch", "mix_order"]
-    rows = docs.drop(*own).withColumns({"mix_tokens": token_count(F.col("text")), "mix_source": source_key()})
-    slim = stored(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "mix_source", "mix_tokens"), "tokens")
+    names = docs.drop(*own).columns
+    rows = docs.select(
+        packed_row(docs), F.col("doc_id").cast("string").alias("doc_id"), token_count(F.col("text")).alias("mix_tokens"), source_key().alias("mix_source")
+    )
+    slim = stored(rows.select("doc_id", "mix_source", "mix_tokens"), "tokens")
     sources = stored(slim.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("rows")), "sources")
     size = sources.agg(F.sum("tokens"), F.count("*"), F.max("rows"), F.max("tokens")).first()
     total, count, most_rows, most_tokens = (x or 0 for x in size)
     if not total:
-        return rows.drop("mix_source").withColumns({"mix_epoch": F.lit(0).cast("long"), "mix_order": F.lit("")}).limit(0)
+        empty = rows.select(*unpacked(names), "mix_tokens", F.lit(0).cast("long").alias("mix_epoch"), F.lit("").alias("mix_order"))
+        return empty.limit(0)
     entropy = None if min_entropy_share is None else min_entropy_share * math.log(count)
     if cover:
         alpha = exponent(sources, total, total, entropy, None)
@@ -160,4 +164,4 @@ def mixed_sources(
     extra = F.when(F.col("last_order") <= F.col("until"), 1).otherwise(0)
     copies = decided.withColumn("copies", F.col("passes") + extra).where("copies > 0")
     copies = copies.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    return copies.withColumn("mix_order", order(F.col("mix_epoch"))).select(*docs.drop(*own).columns, *own)
+    return copies.withColumn("mix_order", order(F.col("mix_epoch"))).select(*unpacked(names), *own)

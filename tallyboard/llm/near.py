@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, dropped, gram_hashes, sequence_hash, ship, stored, text_bytes, word_hashes
+from .common import batches, dropped, gram_hashes, packed_row, sequence_hash, ship, stored, text_bytes, unpacked, word_hashes
 from .links import linked
 
 COORDINATES, AGREEING = 64, 28
@@ -176,7 +176,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """One row of `docs` for each group, with all its columns; rows with equal id and text are one document."""
+    """One row of `docs` for each group, with all its columns, whatever they are called; rows with equal id and text are one document."""
     decided = near_duplicates(docs, size, percent)
     keep = stored(
         decided.where("kept")
@@ -185,10 +185,10 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -
         .select("keep_id", "keep_text", (F.col("keep_rows") > 1).alias("keep_one")),
         "keep",
     )
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")) & (text_key() == F.col("keep_text"))
-    chosen = docs.join(keep, on)
+    held = docs.select(packed_row(docs), F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"))
+    chosen = held.join(keep, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_key") == F.col("keep_text")))
+    names = unpacked(docs.columns)
     if keep.where("keep_one").isEmpty():
-        return chosen.select(*(docs[x] for x in docs.columns))
-    names = [docs[x] for x in docs.columns]
-    once = chosen.where("keep_one").groupBy("keep_id", "keep_text").agg(F.first(F.struct(*names)).alias("row")).select("row.*")
+        return chosen.select(*names)
+    once = chosen.where("keep_one").groupBy("keep_id", "keep_text").agg(F.first("row").alias("row")).select(*names)
     return chosen.where(~F.col("keep_one")).select(*names).unionByName(once)

@@ -29,6 +29,8 @@ from .tokens import vocabulary_file, word_tokenizer
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Bytes of text that make about one token; it only sets the number of blocks.
 BYTES_PER_TOKEN = 2
+#: Documents of a block at most, on average; each of its pieces holds a number for every window of the block while they are merged.
+BLOCK_PIECES = 16384
 
 
 def differencing(lengths: np.ndarray, windows: int) -> np.ndarray:
@@ -110,7 +112,7 @@ def pack(
     ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
     tokens = (size["bytes"] or 0) // BYTES_PER_TOKEN + size["rows"]
-    blocks = max(1, -(-tokens // (block_windows * window)))
+    blocks = max(1, -(-tokens // (block_windows * window)), -(-size["rows"] // BLOCK_PIECES))
 
     def pieces(iterator):
         memory, seen = word_tokenizer(vocabulary_file(tokenizer)), 0

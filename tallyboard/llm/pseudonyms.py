@@ -1,8 +1,10 @@
 """Format-preserving pseudonyms for personal data, in column expressions alone.
 
 Numbers and dates are found by pattern and validated: payment cards by their
-check digit, IBANs by their remainder, addresses of four octets, telephone and
-social security numbers by their parts, dates by the calendar. A valid value is
+check digit, IBANs by their remainder, addresses of four octets and social
+security numbers by their parts, dates by the calendar; telephone numbers have
+no rule, ten digits written (123) 456-7890 or 123-456-7890 are one, other layouts
+and cards in groups other than four are not found. A valid value is
 replaced by a keyed permutation of all values of its format, a Feistel network
 on its digits, so equal values stay equal in all documents and different ones
 different; check digits are computed anew, and a value that would leave the
@@ -21,8 +23,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed_row, unpacked
+
 ROUNDS = 8
-#: Attempts to stay inside a format; a domain is filled by at least two thirds, so the last one is never reached.
+#: Attempts to stay inside a format. Dates and social security numbers fill at least 73% of the digits they are
+#: permuted in, so that one value in 10^22 would need more; addresses are permuted in their own 32 bits.
 WALKS = 40
 FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31
 
@@ -63,6 +68,18 @@ def feistel(digits: Column, key: str, kind: str) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), first, turn, lambda s: F.concat(s["left"], s["right"]))
 
 
+def feistel_32(number: Column, key: str, kind: str) -> Column:
+    """A keyed permutation of the numbers of 32 bits."""
+
+    def turn(state: Column, step: Column) -> Column:
+        left, right = state["left"], state["right"]
+        seed = F.concat_ws("|", F.lit(key), F.lit(kind), F.lit("bits"), step.cast("string"), right.cast("string"))
+        return F.struct(right.alias("left"), ((left + _number(seed) % 65536) % 65536).alias("right"))
+
+    first = F.struct(F.shiftright(number, 16).alias("left"), (number % 65536).alias("right"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), first, turn, lambda s: s["left"] * 65536 + s["right"])
+
+
 def walked(value: Column, key: str, kind: str, valid: Callable[[Column], Column]) -> Column:
     """The permutation applied until its result is valid again."""
     first = F.struct(value.alias("value"), F.lit(False).alias("done"))
@@ -173,7 +190,7 @@ def pseudonym(kind: str, text: Column, key: str) -> Column:
     if kind == "ip":
         octets = F.split(text, r"\.")
         number = octets[0].cast("long") * 16777216 + octets[1].cast("long") * 65536 + octets[2].cast("long") * 256 + octets[3].cast("long")
-        moved = walked(F.lpad(number.cast("string"), 10, "0"), key, kind, lambda x: x.cast("long") < 4294967296).cast("long")
+        moved = feistel_32(number, key, kind)
         parts = lambda x: [F.floor(x / d).cast("long") % 256 for d in (16777216, 65536, 256, 1)]
         return F.transform(F.array(moved), lambda x: F.concat_ws(".", *(p.cast("string") for p in parts(x))))[0]
     if kind == "phone":
@@ -206,13 +223,15 @@ def pseudonym(kind: str, text: Column, key: str) -> Column:
 def pseudonymised(docs: DataFrame, key: str, column: str = "text", secrets: bool = True) -> DataFrame:
     """`docs` with the text replaced and pii_counts, a map from kind to the number of values replaced.
 
-    `key` selects the permutations; keep it apart from the result.
+    `key` selects the permutations; keep it apart from the result. Further
+    columns of the caller pass whatever they are called, none shows a finding; a
+    column called pii_counts is replaced. A text may be as long as memory holds.
     """
     patterns = PATTERNS | (SECRETS if secrets else {})
     anything = "|".join(f"(?:{x})" for x in patterns.values())
-    text = F.col(f"`{column}`")
+    text = F.col("row").getField(column)
     likely = text.rlike(r"[0-9@]|password=")
-    found = docs.drop("pii_counts").withColumns(
+    found = docs.select(packed_row(docs)).withColumns(
         {
             "pii_found": F.when(likely, F.regexp_extract_all(text, F.lit(anything), F.lit(0))),
             "pii_between": F.when(likely, F.split(text, anything, -1)),
@@ -239,7 +258,8 @@ def pseudonymised(docs: DataFrame, key: str, column: str = "text", secrets: bool
         return F.coalesce(F.size(F.filter("pii_new", lambda x: x["kind"] == kind)), F.lit(0)).cast("long")
 
     counts = F.create_map(*(x for kind in patterns for x in (F.lit(kind), F.when(likely, count(kind)).otherwise(F.lit(0).cast("long")))))
-    kept = [F.coalesce(joined, text).alias(column) if x == column else F.col(f"`{x}`") for x in docs.columns if x != "pii_counts"]
+    names = [x for x in docs.columns if x != "pii_counts"]
+    kept = [F.coalesce(joined, text).alias(x) if x == column else c for x, c in zip(names, unpacked(names))]
     return new.select(*kept, counts.alias("pii_counts"))
 
 

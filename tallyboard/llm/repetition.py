@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, mixed, ship, text_bytes, word_hashes
+from .common import batches, mixed, quoted, ship, text_bytes, word_hashes
 
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
@@ -169,12 +169,15 @@ def judged(counted: DataFrame, max_covered: float, max_longest: int, min_words:
 
 
 def without_repetitive(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of `docs` that the rules keep, with all their columns; decided row by row without a join."""
+    """The rows of `docs` that the rules keep, with all their columns, whatever they are called; decided row by row without a join."""
     ship(docs.sparkSession)
     rules = {"max_covered": 0.30, "max_longest": 60, "min_words": 20, "max_repeat_words": 0.30} | limits
     share, allowed = round(100 * rules["max_repeat_words"]), round(100 * rules["max_covered"])
     names = docs.columns
-    marked = docs.select(text_bytes().alias("text_as_bytes"), *(F.col(f"`{x}`") for x in names))
+    first = "text_as_bytes"
+    while first.lower() in map(str.lower, names):
+        first += "_"
+    marked = docs.select(text_bytes().alias(first), *quoted(docs))
 
     def keep(iterator):
         for batch in batches(iterator, 2 << 20):
