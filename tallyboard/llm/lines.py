@@ -252,6 +252,9 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
         ),
         "distinct",
     )
+    # The keys are the bulk of both tables: each is dropped as soon as a slim one is written.
+    slim = stored(every.select("doc_id", "text_key", "line", "high", "low"), "slim")
+    dropped(every)
     own = ("parity", "figures", "n_words")
     keyed = distinct.select("node", *own, F.explode(F.array_distinct("keys")).alias("key"))
     shared = keyed.groupBy("key", "figures").count().where("count > 1").select("key", "figures")
@@ -259,11 +262,13 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
     # Lines near each other have the same figures, so these belong to the key.
     key = F.xxhash64("key", "figures").alias("key")
     postings = stored(postings.select(key, "node", *own), "postings")
+    nodes = stored(distinct.select("node", "first", "held", "high", "low"), "nodes")
+    dropped(distinct)
 
     def verified(pairs: DataFrame) -> DataFrame:
         candidates = stored(pairs, "candidates")
-        nodes = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        words = stored(words_of(docs, distinct.join(nodes, "node", "left_semi").select("node", "first.*")), "words")
+        asked = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        words = stored(words_of(docs, nodes.join(asked, "node", "left_semi").select("node", "first.*")), "words")
         links = stored(similar(candidates, words, percent), "links")
         dropped(candidates, words)
         return links
@@ -276,13 +281,13 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
         return same & (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
 
     labels = linked(postings, verified, close)
-    grouped = distinct.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = grouped.groupBy("label").agg(F.min("first").alias("group_first"), F.sum("held").alias("group_held"))
     again = grouped.join(groups.where("group_held > 1"), "label").select("high", "low", "group_first")
     here = F.struct("doc_id", "text_key", "line")
-    gone = every.join(again, ["high", "low"]).where(~here.eqNullSafe(F.col("group_first")))
+    gone = slim.join(again, ["high", "low"]).where(~here.eqNullSafe(F.col("group_first")))
     result = stored(gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines")), "gone")
-    dropped(every, distinct, postings)
+    dropped(slim, nodes, postings)
     return result
 
 

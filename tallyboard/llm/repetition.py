@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import batches, mixed, quoted, ship, text_bytes, word_hashes
 
@@ -174,10 +175,9 @@ def without_repetitive(docs: DataFrame, **limits) -> DataFrame:
     rules = {"max_covered": 0.30, "max_longest": 60, "min_words": 20, "max_repeat_words": 0.30} | limits
     share, allowed = round(100 * rules["max_repeat_words"]), round(100 * rules["max_covered"])
     names = docs.columns
-    first = "text_as_bytes"
-    while first.lower() in map(str.lower, names):
-        first += "_"
-    marked = docs.select(text_bytes().alias(first), *quoted(docs))
+    # By position: a name of the caller's may be any text.
+    fields = [T.StructField(f"c{i}", field.dataType) for i, field in enumerate(docs.schema)]
+    marked = docs.select(text_bytes(), *quoted(docs)).toDF("text", *(f.name for f in fields))
 
     def keep(iterator):
         for batch in batches(iterator, 2 << 20):
@@ -186,6 +186,6 @@ def without_repetitive(docs: DataFrame, **limits) -> DataFrame:
             base = (n < rules["min_words"]) | (100 * again > share * n)
             repeated = (100 * found["covered_words"] > allowed * n) | (found["longest_repeat"] > rules["max_longest"])
             rows = batch.filter(pa.array(~base & ~repeated))
-            yield pa.RecordBatch.from_arrays(rows.columns[1:], names=names)
+            yield pa.RecordBatch.from_arrays(rows.columns[1:], names=[f.name for f in fields])
 
-    return marked.mapInArrow(keep, docs.schema)
+    return marked.mapInArrow(keep, T.StructType(fields)).toDF(*names)
