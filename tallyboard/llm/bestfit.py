@@ -100,17 +100,22 @@ def pack_ids(
 
     def segments(iterator):
         memory, seen = word_tokenizer(vocabulary_file(tokenizer)), 0
+        end = end_id.to_bytes(4, "little")
         for batch in batches(iterator, 4 << 20):
             rows = []
-            for doc, data in zip(batch.column(1).to_pylist(), memory.ids(batch.column(0).to_pylist())):
-                ids = np.append(np.frombuffer(data, "<u4"), np.uint32(end_id))
-                if id_bytes == 2 and int(ids.max()) > 0xFFFF:
-                    raise ValueError("this vocabulary needs id_bytes=4")
-                raw = ids.astype(kind).tobytes()
-                for start in range(0, len(ids), length):
+            found = list(memory.ids(batch.column(0).to_pylist()))
+            every = np.frombuffer(end.join([*found, b""]), "<u4")  # each document's ids and the one that ends it
+            if id_bytes == 2 and len(every) and int(every.max()) > 0xFFFF:
+                raise ValueError("this vocabulary needs id_bytes=4")
+            raw, at = memoryview(every.astype(kind).tobytes()), 0
+            for doc, data in zip(batch.column(1).to_pylist(), found):
+                size = len(data) // 4 + 1
+                salt = size + int.from_bytes(data[:4] or end, "little")
+                for start in range(0, size, length):
                     seen += 1
-                    part = raw[id_bytes * start : id_bytes * (start + length)]
-                    rows.append((doc, start, part, seen * 1_000_003 + len(ids) + int(ids[0])))
+                    part = raw[id_bytes * (at + start) : id_bytes * (at + min(start + length, size))]
+                    rows.append((doc, start, bytes(part), seen * 1_000_003 + salt))
+                at += size
             if rows:
                 doc, start, part, salt = zip(*rows)
                 block = mixed(np.array(salt, np.uint64)) % np.uint64(blocks)
@@ -122,15 +127,18 @@ def pack_ids(
     def place(key, group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(n=group["ids"].map(len) // id_bytes)
         group = group.sort_values(["n", "doc_id", "start"], ascending=[False, True, True], kind="stable")
-        group = group.assign(at=best_fit(group["n"].tolist(), length))
+        at = np.array(best_fit(group["n"].tolist(), length))
+        order = np.argsort(at, kind="stable")
+        at, sizes = at[order], group["n"].to_numpy()[order]
+        ids, docs_all, starts = (group[x].to_numpy()[order].tolist() for x in ("ids", "doc_id", "start"))
+        docs_all = [None if pd.isna(x) else int(x) for x in docs_all]
+        firsts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         rows = []
-        for at, own in group.groupby("at", sort=True):
-            ends = np.cumsum(own["n"].to_numpy())
-            total = int(ends[-1])
-            pad = np.full(length - total, pad_id, kind).tobytes()
-            bounds = [0, *ends.tolist()]
-            docs_here = [None if pd.isna(x) else int(x) for x in own["doc_id"]]
-            rows.append(((int(key[0]) << 24) + int(at), total, b"".join(own["ids"]) + pad, bounds, bounds[:-1], docs_here, own["start"].tolist()))
+        for first, last in zip(firsts.tolist(), [*firsts[1:].tolist(), len(at)]):
+            bounds = [0, *np.cumsum(sizes[first:last]).tolist()]
+            pad = np.full(length - bounds[-1], pad_id, kind).tobytes()
+            sequence = (int(key[0]) << 24) + int(at[first])
+            rows.append((sequence, bounds[-1], b"".join(ids[first:last]) + pad, bounds, bounds[:-1], docs_all[first:last], starts[first:last]))
         return pd.DataFrame(rows, columns=["sequence_id", "n_tokens", "ids", "cu_seqlens", "position_resets", "doc_ids", "doc_starts"])
 
     cut = docs.select(text_bytes().alias("text"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(
