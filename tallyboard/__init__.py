@@ -10,6 +10,7 @@ from tallyboard.errors import (
 )
 from tallyboard.functions.weeks import WeekWindow, current_week, week_of
 from tallyboard.plans.backfill import backfill
+from tallyboard.plans.history import History, backfill_kept
 from tallyboard.plans.many import RawInputs, scoreboards
 from tallyboard.plans.run import RunOutcome, run
 from tallyboard.plans.scoreboard import scoreboard
@@ -18,6 +19,7 @@ from tallyboard.spec import Feed, PublishRule, ReportBook, ReportSpec
 __all__ = [
     "ContractError",
     "Feed",
+    "History",
     "LandingError",
     "PublishError",
     "PublishRule",
@@ -30,6 +32,7 @@ __all__ = [
     "WeekError",
     "WeekWindow",
     "backfill",
+    "backfill_kept",
     "current_week",
     "run",
     "scoreboard",
