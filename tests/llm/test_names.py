@@ -106,3 +106,18 @@ def test_addresses_are_permuted_in_their_own_bits(spark):
     table = spark.range(4000).select((F.col("id") * 1_073_741).alias("n"))
     moved = [r.m for r in table.select(pseudonyms.feistel_32(F.col("n") % (1 << 32), "k", "ip").alias("m")).collect()]
     assert len(set(moved)) == 4000 and all(0 <= m < 1 << 32 for m in moved)
+
+
+@pytest.mark.parametrize("master, refused", [("local[4]", False), ("local", False), ("spark://host:7077", True), ("local-cluster[3,2,1024]", True)])
+def test_a_cluster_needs_a_shared_folder(master, refused):
+    """Without spark.checkpoint.dir only a local session has a folder that all its tasks see."""
+    from types import SimpleNamespace
+
+    from tallyboard.llm.common import shared_folder
+
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, applicationId=f"test {master}"))
+    if refused:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+    else:
+        assert shared_folder(session).startswith("file:///")
