@@ -6,10 +6,10 @@ the words of the longer one, rounded down, must be inserted, deleted or
 replaced, and none of these holds a digit: lines that differ in a figure, a year
 or an amount tell different facts. So an edit is tolerated from ten words on.
 
-Candidates are joined by pigeonhole over pairs of neighbouring words: an edit
-breaks at most two of them, so where e edits are allowed, the 2e + 1 first pairs
-of two lines, in one order of all pairs, have one in common, whatever the order.
-Pairs that are frequent in a sample come last, which only keeps the keys small.
+Candidates are joined by pigeonhole over runs of three words: an edit breaks at
+most three of them, so where e edits are allowed, the 3e + 1 first runs of two
+lines, in one order of all runs, have one in common, whatever the order. Runs
+that are frequent in a sample come last, which only keeps the keys small.
 Candidates must agree in their figures and, as an edit changes at most two bits
 of it, nearly in the parity of their words; the rest is verified, first by the
 words that one line has and the other lacks, then by the edit distance. No pair
@@ -30,6 +30,8 @@ give no rows.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,8 +41,10 @@ from .common import batches, dropped, mixed, packed_row, ship, stored, text_byte
 from .links import linked
 from .near import text_key
 
-#: Documents whose word pairs are counted for the order of all pairs, and the commonest pairs that are told apart by their count.
+#: Words of a run that is a key. Documents whose runs are counted for the order of all runs, and the commonest runs that are told apart by their count.
+RUN = 3
 SAMPLE, COMMON = 4000, 1 << 16
+_DIGIT = re.compile(rb"[0-9]")
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -50,9 +54,14 @@ def normalised(text: bytes) -> bytes:
 
 
 def line_words(line: bytes) -> np.ndarray:
-    """The normalised words of a line as hashes."""
+    """The normalised words of a line as hashes, odd for words with a digit."""
     words = normalised(line).split()
-    return word_hashes(words, len(words))
+    digit = np.fromiter((bool(_DIGIT.search(w)) for w in words), bool, len(words))
+    return told_figures(word_hashes(words, len(words)), digit)
+
+
+def told_figures(hashes: np.ndarray, digit: np.ndarray) -> np.ndarray:
+    return (hashes & ~np.uint64(1)) | digit.astype(np.uint64)
 
 
 class Lines:
@@ -72,6 +81,7 @@ class Lines:
         self.words = word_hashes(words, len(words))
         digit = (raw >= 48) & (raw <= 57)
         self.figure = np.add.reduceat(digit, at, dtype=np.int64) > 0 if len(at) else np.zeros(0, bool)
+        self.words = told_figures(self.words, self.figure)
         self._measure(np.searchsorted(ends, at), len(ends))
 
     def _measure(self, line: np.ndarray, lines: int) -> None:
@@ -98,10 +108,14 @@ class Lines:
         order = before - before[self.begins][self.line]
         return self.sums(np.where(self.figure, mixed(self.words ^ mixed(order.astype(np.uint64) + np.uint64(7))), np.uint64(0)))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """A hash for each word and its follower in the line, and their lines."""
-        follows = self.line[1:] == self.line[:-1]
-        return neighbours(self.words)[follows], self.line[:-1][follows]
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """A hash for each word and its followers in the line, and their lines."""
+        first = self.line[: max(len(self.line) - RUN + 1, 0)]
+        whole = first == self.line[RUN - 1 :]
+        hashes = self.words
+        for _ in range(RUN - 1):
+            hashes = chained(hashes, self.words)
+        return hashes[whole], first[whole]
 
 
 def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
@@ -154,20 +168,20 @@ def tokens(words: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return numbers, (keys >> np.uint64(40)).astype(np.int64)
 
 
-def first_pairs(lines: Lines, most: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each line with edits allowed the 2 * `most` + 1 first tokens in the order of all tokens, and how many these are.
+def first_runs(lines: Lines, most: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line with edits allowed the RUN * `most` + 1 first tokens in the order of all tokens, and how many these are.
 
     A token is ordered and named by 44 bits: its rank among the common ones and
     28 of its own. Tokens of one name only make more candidates.
     """
-    pairs, line = lines.pairs()
-    sizes = np.maximum(lines.sizes - 1, 0)
-    found, counts = [np.zeros(0, np.uint64)], np.where(most > 0, np.minimum(2 * most + 1, sizes), 0)
+    runs, line = lines.runs()
+    sizes = np.maximum(lines.sizes - RUN + 1, 0)
+    found, counts = [np.zeros(0, np.uint64)], np.where(most > 0, np.minimum(RUN * most + 1, sizes), 0)
     begins = np.cumsum(sizes) - sizes
     for start in range(0, len(sizes), 1 << 20):
         own = slice(start, start + (1 << 20))
         line = np.repeat(np.arange(len(sizes[own])), sizes[own])
-        numbers, line = tokens(pairs[begins[start] : begins[start] + len(line)], line)
+        numbers, line = tokens(runs[begins[start] : begins[start] + len(line)], line)
         rank = np.zeros(len(numbers), np.uint64)
         if len(common):
             at = np.minimum(np.searchsorted(common, numbers), len(common) - 1)
@@ -184,7 +198,7 @@ def parities(words: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(words) & np.uint64(63)), begins)
 
 
-def common_pairs(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+def common_runs(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """The commonest tokens of sampled documents, sorted, and their ranks from 1, the commonest last."""
     share = sample / max(docs.count(), 1)
     drawn = docs.where(F.pmod(text_key(), F.lit(1_000_000)) < share * 1_000_000)
@@ -192,7 +206,7 @@ def common_pairs(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.
     def count(iterator):
         for batch in batches(iterator, 1 << 20):
             lines = Lines(batch.column(0).to_pylist())
-            numbers, _ = tokens(*lines.pairs())
+            numbers, _ = tokens(*lines.runs())
             numbers, n = np.unique(numbers, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(numbers.view(np.int64)), pa.array(n)], names=["token", "n"])
 
@@ -205,7 +219,7 @@ def common_pairs(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.
 
 def all_lines(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, text_key, line, the hash of the normalised line, its parity, figures, word count and keys, for all lines with words."""
-    common, ranks = common_pairs(docs)
+    common, ranks = common_runs(docs)
 
     def measure(iterator):
         for batch in batches(iterator, 1 << 20):
@@ -215,7 +229,7 @@ def all_lines(docs: DataFrame, percent: int) -> DataFrame:
                 continue
             place = lines.place().astype(np.uint64)
             high, low = (lines.sums(mixed(lines.words ^ mixed(place + np.uint64(seed)))) for seed in (1, 1 << 40))
-            keys, counts = first_pairs(lines, allowed(lines.sizes, percent), common, ranks)
+            keys, counts = first_runs(lines, allowed(lines.sizes, percent), common, ranks)
             taken = pa.array(lines.row)
             numbers = (high, low, parities(lines.words, lines.begins), lines.figures())
             yield pa.RecordBatch.from_arrays(
@@ -255,13 +269,11 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
     # The keys are the bulk of both tables: each is dropped as soon as a slim one is written.
     slim = stored(every.select("doc_id", "text_key", "line", "high", "low"), "slim")
     dropped(every)
-    own = ("parity", "figures", "n_words")
-    keyed = distinct.select("node", *own, F.explode(F.array_distinct("keys")).alias("key"))
-    shared = keyed.groupBy("key", "figures").count().where("count > 1").select("key", "figures")
-    postings = keyed.join(shared, ["key", "figures"], "left_semi")
     # Lines near each other have the same figures, so these belong to the key.
-    key = F.xxhash64("key", "figures").alias("key")
-    postings = stored(postings.select(key, "node", *own), "postings")
+    keyed = distinct.select("node", "parity", "n_words", "figures", F.explode(F.array_distinct("keys")).alias("run"))
+    keyed = keyed.select(F.xxhash64("run", "figures").alias("key"), "node", "parity", "n_words")
+    shared = keyed.groupBy("key").count().where("count > 1").select("key")
+    postings = stored(keyed.join(shared, "key", "left_semi"), "postings")
     nodes = stored(distinct.select("node", "first", "held", "high", "low"), "nodes")
     dropped(distinct)
 
@@ -277,8 +289,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
         n, m = F.col(f"{a}n_words"), F.col(f"{b}n_words")
         edits = F.floor((100 - percent) * F.greatest(n, m) / 100)
         apart = F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity")))
-        same = F.col(f"{a}figures") == F.col(f"{b}figures")
-        return same & (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
+        return (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
 
     labels = linked(postings, verified, close)
     grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -330,10 +341,15 @@ def may_be_near(left: list[np.ndarray], right: list[np.ndarray], most: np.ndarra
     return np.maximum(over, under) <= most
 
 
-def neighbours(words: np.ndarray) -> np.ndarray:
-    """A hash for each word and its follower."""
+def chained(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The hash of each run, made one word longer; a run ends where its last word does."""
     with np.errstate(over="ignore"):
-        return mixed(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+        return mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[len(words) - len(hashes) + 1 :])
+
+
+def same_figures(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether the words with digits are the same, in the same order."""
+    return np.array_equal(x[x & np.uint64(1) == 1], y[y & np.uint64(1) == 1])
 
 
 def near_lines(x: np.ndarray, y: np.ndarray, most: int) -> bool:
@@ -360,9 +376,9 @@ def similar(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
                 most = np.array([(100 - percent) * max(len(x), len(y)) // 100 for x, y in zip(left, right)])
                 keep = may_be_near(left, right, most)
                 # An edit breaks two pairs of neighbours: words in another order are told here.
-                keep &= may_be_near([neighbours(x) for x in left], [neighbours(x) for x in right], 2 * most)
+                keep &= may_be_near([chained(x, x) for x in left], [chained(x, x) for x in right], 2 * most)
                 for i in np.flatnonzero(keep):
-                    keep[i] = near_lines(left[i], right[i], int(most[i]))
+                    keep[i] = same_figures(left[i], right[i]) and near_lines(left[i], right[i], int(most[i]))
                 rows = part.filter(pa.array(keep, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(rows.columns[:2], names=["a", "b"])
 
