@@ -6,9 +6,9 @@ the words of the longer one, rounded down, must be inserted, deleted or
 replaced, and none of these holds a digit: lines that differ in a figure, a year
 or an amount tell different facts. So an edit is tolerated from ten words on.
 
-Candidates are joined by pigeonhole over runs of three words: an edit breaks at
-most three of them, so where e edits are allowed, the 3e + 1 first runs of two
-lines, in one order of all runs, have one in common, whatever the order. Runs
+Candidates are joined by pigeonhole over runs of RUN words, two here: an edit
+breaks at most two of them, so where e edits are allowed, the 2e + 1 first runs of
+two lines, in one order of all runs, have one in common, whatever the order. Runs
 that are frequent in a sample come last, which only keeps the keys small.
 Candidates must agree in their figures and, as an edit changes at most two bits
 of it, nearly in the parity of their words; the rest is verified, first by the
@@ -42,7 +42,7 @@ from .links import linked
 from .near import text_key
 
 #: Words of a run that is a key. Documents whose runs are counted for the order of all runs, and the commonest runs that are told apart by their count.
-RUN = 3
+RUN = 2
 SAMPLE, COMMON = 4000, 1 << 16
 _DIGIT = re.compile(rb"[0-9]")
 _SPACE = np.zeros(256, bool)
