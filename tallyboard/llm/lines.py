@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, dropped, mixed, packed_row, ship, stored, text_bytes, word_hashes
-from .links import linked
+from .links import linked, paired
 from .near import text_key
 
 #: Words of a run that is a key. Documents whose runs are counted for the order of all runs, and the commonest runs that are told apart by their count.
@@ -269,11 +269,16 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
     # The keys are the bulk of both tables: each is dropped as soon as a slim one is written.
     slim = stored(every.select("doc_id", "text_key", "line", "high", "low"), "slim")
     dropped(every)
+
+    def close(a: str, b: str) -> Column:
+        n, m = F.col(f"{a}n_words"), F.col(f"{b}n_words")
+        edits = F.floor((100 - percent) * F.greatest(n, m) / 100)
+        apart = F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity")))
+        return (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
+
     # Lines near each other have the same figures, so these belong to the key.
     keyed = distinct.select("node", "parity", "n_words", "figures", F.explode(F.array_distinct("keys")).alias("run"))
-    keyed = keyed.select(F.xxhash64("run", "figures").alias("key"), "node", "parity", "n_words")
-    shared = keyed.groupBy("key").count().where("count > 1").select("key")
-    postings = stored(keyed.join(shared, "key", "left_semi"), "postings")
+    met = paired(keyed.select(F.xxhash64("run", "figures").alias("key"), "node", "parity", "n_words"), may_be_close(percent))
     nodes = stored(distinct.select("node", "first", "held", "high", "low"), "nodes")
     dropped(distinct)
 
@@ -285,23 +290,29 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
         dropped(candidates, words)
         return links
 
-    def close(a: str, b: str) -> Column:
-        n, m = F.col(f"{a}n_words"), F.col(f"{b}n_words")
-        edits = F.floor((100 - percent) * F.greatest(n, m) / 100)
-        apart = F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity")))
-        return (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
-
-    labels = linked(postings, verified, close)
+    labels = linked(met, verified, close)
     grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = grouped.groupBy("label").agg(F.min("first").alias("group_first"), F.sum("held").alias("group_held"))
     again = grouped.join(groups.where("group_held > 1"), "label").select("high", "low", "group_first")
     here = F.struct("doc_id", "text_key", "line")
     gone = slim.join(again, ["high", "low"]).where(~here.eqNullSafe(F.col("group_first")))
     result = stored(gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines")), "gone")
-    dropped(slim, nodes, postings)
+    dropped(slim, nodes)
     return result
 
 
+def may_be_close(percent: int):
+    """What two near lines' parities and numbers of words agree to, on arrays."""
+
+    def close(a: dict, b: dict) -> np.ndarray:
+        n, m = a["n_words"], b["n_words"]
+        edits = (100 - percent) * np.maximum(n, m) // 100
+        apart = np.bitwise_count(a["parity"].view(np.uint64) ^ b["parity"].view(np.uint64)).astype(np.int64)
+        return (apart <= 2 * edits - abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
+
+    return close
+
+
 def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, words) of the lines (node, doc_id, text_key, line); a text is read once for all its lines."""
     asked = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).agg(F.collect_list(F.struct("line", "node")).alias("asked"))

@@ -4,19 +4,25 @@ A group of m near copies shares keys m times m; its pairs are never all made.
 Every member of a key is first paired with the key's smallest members only.
 What these links have not joined, pairs of two other members in different
 components, is paired in a second step, so no link between components is lost.
+Members of a key are streamed in their order: each meets at most LEADERS others.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import dropped, stored
 
 #: Members of a key that all others are paired with first; it changes the work, not the components.
 LEADERS = 8
+#: Members of a key up to which those behind the leaders are compared where they lie; it changes the work, not the components.
+WHOLE = 256
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -47,40 +53,117 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
 
 
-def linked(postings: DataFrame, verified: Callable[[DataFrame], DataFrame], may_link=None) -> DataFrame:
+def meeting(iterator, own: list[str], near: Callable[[dict, dict], np.ndarray], most: int, bound: int):
+    """Of postings that come by key and node: each with a leader it may link with, and those that others behind the leaders may link with.
+
+    The last key of a batch waits for the next one; of a key with more than
+    `bound` members, whose others all stay, only the leaders are remembered.
+    """
+    names = ["key", "node", *own]
+    rows, given, large = {x: np.zeros(0, np.int64) for x in names}, 0, None
+    for batch in itertools.chain(iterator, [None]):
+        if batch is not None:
+            rows = {x: np.concatenate([rows[x], batch.column(x).to_numpy(zero_copy_only=False)]) for x in names}
+        key = rows["key"]
+        if not len(key):
+            continue
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[starts, len(key)])
+        whole = sizes <= bound
+        whole[0] &= large is None or int(key[0]) != large
+        waits = batch is not None and bool(whole[-1])
+        end = int(starts[-1]) if waits else len(key)
+        first = np.repeat(starts, sizes)[:end]
+        rank, of_whole = np.arange(end) - first, np.repeat(whole, sizes)[:end]
+
+        def fit(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return near({x: rows[x][i] for x in own}, {x: rows[x][j] for x in own})
+
+        leaders, members = [], []
+        later = np.arange(given, end)
+        for k in range(most):
+            later = later[rank[later] > k]
+            met = later[fit(first[later] + k, later)]
+            leaders.append(rows["node"][first[met] + k])
+            members.append(met)
+        behind = (rank >= most) & ~of_whole
+        behind[:given] = False
+        later, apart = np.flatnonzero((rank >= most) & of_whole), 1
+        while len(later := later[rank[later] >= most + apart]):
+            met = later[fit(later - apart, later)]
+            behind[met] = behind[met - apart] = True
+            apart += 1
+        behind = np.flatnonzero(behind)
+        taken, leader = np.concatenate([*members, behind]), np.concatenate([*leaders, np.zeros(len(behind), np.int64)])
+        without = np.arange(len(taken)) >= len(taken) - len(behind)
+        yield pa.RecordBatch.from_arrays([*(pa.array(rows[x][taken]) for x in names), pa.array(leader, mask=without)], names=[*names, "leader"])
+        if waits:
+            rows, given, large = {x: v[end:] for x, v in rows.items()}, 0, None
+        elif batch is not None:
+            start, large = int(starts[-1]), int(key[-1])
+            rows, given = {x: v[start : start + most] for x, v in rows.items()}, most
+
+
+def paired(postings: DataFrame, near: Callable[[dict, dict], np.ndarray]) -> DataFrame:
+    """A stored table of (key, node, ..., leader): postings with a leader of their key, and with null those that stand behind the leaders.
+
+    `postings` has (key, node, ...), longs, one row per key and node; it is dealt
+    out and sorted once. `near` is a cheap necessary condition of links on the
+    columns of postings as arrays. Behind the leaders are left out, in keys of up
+    to WHOLE members, those that may link with no other one there.
+    """
+    names = postings.columns
+    own, most, whole = [x for x in names if x not in ("key", "node")], LEADERS, WHOLE
+    postings = postings.select(*(F.col(x).cast("long").alias(x) for x in ["key", "node", *own]))
+
+    def meet(iterator):
+        yield from meeting(iterator, own, near, most, whole)
+
+    dealt = postings.repartition("key").sortWithinPartitions("key", "node")
+    return stored(dealt.mapInArrow(meet, ", ".join(f"{x} long" for x in ["key", "node", *own, "leader"])), "paired")
+
+
+def linked(
+    met: DataFrame,
+    verified: Callable[[DataFrame], DataFrame],
+    may_link: Callable[[str, str], Column] | None = None,
+    able: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Components of verified links between nodes with a common key: (node, label), without lone nodes.
 
-    `postings` is a stored table of (key, node, ...), one row per key and node.
-    `verified` keeps the pairs (a, b), a < b, that are links. `may_link` is a
-    cheap necessary condition on the columns of two postings, given by prefix.
+    `met` comes from `paired` and is deleted. `may_link` is the condition given
+    there, on the columns of two postings, given by prefix.
+    `verified` stores the pairs (a, b), a < b, that are links. `able` leaves out
+    of (key, node, ..., label) what can prove to have no link to another label.
     """
-    own = [x for x in postings.columns if x not in ("key", "node")]
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-    leaders = stored(postings.withColumn("rank", rank).where(F.col("rank") <= LEADERS), "leaders")
-
-    def pairs(left: DataFrame, right: DataFrame, condition=None) -> DataFrame:
-        a = left.select(*(F.col(x).alias(f"a_{x}") for x in left.columns))
-        b = right.select(*(F.col(x).alias(f"b_{x}") for x in right.columns))
-        on = (F.col("a_key") == F.col("b_key")) & (F.col("a_node") < F.col("b_node"))
-        if condition is not None:
-            on = on & condition
-        if may_link is not None:
-            on = on & may_link("a_", "b_")
-        return a.join(b, on).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-
-    first = stored(verified(pairs(leaders.drop("rank"), postings)), "links")
+    own = [x for x in met.columns if x not in ("key", "node", "leader")]
+    pairs = met.where("leader is not null").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    first = verified(pairs)
     labels = stored(components(first), "labels")
-    last = leaders.groupBy("key").agg(F.max("node").alias("last"), F.count("*").alias("n")).where(F.col("n") == LEADERS)
-    rest = postings.join(last.select("key", "last"), "key").where("node > last").select("key", "node", *own)
+    rest = met.where("leader is null").select("key", "node", *own)
     rest = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rest = stored(rest, "rest")
-    split = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    rest_split = stored(rest.join(split, "key", "left_semi"), "split")
-    dropped(rest, leaders)
+    dropped(first, met)
+
+    def split(members: DataFrame) -> DataFrame:
+        of_several = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+        return stored(members.join(of_several, "key", "left_semi"), "split")
+
+    rest_split = split(rest)
+    dropped(rest)
+    if able is not None and not rest_split.isEmpty():
+        left = split(able(rest_split))
+        dropped(rest_split)
+        rest_split = left
     if rest_split.isEmpty():
+        dropped(rest_split)
         return labels
-    second = verified(pairs(rest_split, rest_split, F.col("a_label") != F.col("b_label")))
-    every = stored(first.select("a", "b").union(second.select("a", "b")), "links")
+    a, b = (rest_split.select(*(F.col(x).alias(f"{side}_{x}") for x in rest_split.columns)) for side in "ab")
+    on = (F.col("a_key") == F.col("b_key")) & (F.col("a_node") < F.col("b_node")) & (F.col("a_label") != F.col("b_label"))
+    if may_link is not None:
+        on = on & may_link("a_", "b_")
+    second = verified(a.join(b, on).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())
+    every = stored(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(second.select("a", "b")), "links")
     result = stored(components(every), "labels")
-    dropped(first, labels, rest_split, every)
+    dropped(labels, rest_split, every, second)
     return result

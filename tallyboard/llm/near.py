@@ -20,11 +20,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches, dropped, gram_hashes, packed_row, sequence_hash, ship, stored, text_bytes, unpacked, word_hashes
-from .links import linked
+from .links import linked, paired
 
 COORDINATES, AGREEING = 64, 28
 PREFIX = COORDINATES - AGREEING + 1
@@ -129,7 +129,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         ),
         "classes",
     )
-    postings = stored(prefix_postings(classes), "postings")
 
     def agree(pairs: DataFrame) -> DataFrame:
         one = classes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
@@ -137,11 +136,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         matches = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
         return pairs.join(one, "a").join(two, "b").where(matches >= AGREEING).select("a", "b")
 
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        wanted = classes.join(nodes, "node", "left_semi").select("node", F.col("first.doc_id").alias("d"), F.col("first.text_key").alias("t"))
+        return whole_sets(docs, wanted, size)
+
     def verified(pairs: DataFrame) -> DataFrame:
         candidates = stored(agree(pairs), "candidates")
-        nodes = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = classes.join(nodes, "node", "left_semi").select("node", F.col("first.doc_id").alias("d"), F.col("first.text_key").alias("t"))
-        sets = stored(whole_sets(docs, wanted, size), "sets")
+        sets = stored(sets_of(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
         links = stored(confirmed(candidates, sets, percent), "links")
         dropped(candidates, sets)
         return links
@@ -150,7 +151,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         n, m = F.col(f"{a}n"), F.col(f"{b}n")
         return (100 * n >= percent * m) & (100 * m >= percent * n)
 
-    labels = linked(postings, verified, sizes)
+    def able(members: DataFrame) -> DataFrame:
+        labels = members.select("node", "label").distinct()
+        return reaching(members, foreign_shingles(sets_of(labels).join(labels, "node")), percent)
+
+    labels = linked(paired(prefix_postings(classes), lambda a, b: (100 * a["n"] >= percent * b["n"]) & (100 * b["n"] >= percent * a["n"])), verified, sizes, able)
     grouped = classes.select("high", "low", "node", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
     placed = grouped.join(least, "label").select("high", "low", "component_id", F.col("label").alias("group_key"))
@@ -161,6 +166,37 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     )
 
 
+def foreign_shingles(sets: DataFrame) -> DataFrame:
+    """(node, foreign): of the shingles of each node, how many a node with another label has too; nodes without one are left out.
+
+    `sets` has (node, shingles, label).
+    """
+
+    def spread(iterator):
+        for batch in batches(iterator, 4 << 20):
+            own = [np.frombuffer(x, np.uint64) for x in batch.column(0).to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
+            values = pa.array(np.concatenate(own).view(np.int64))
+            yield pa.RecordBatch.from_arrays([values, batch.column(1).take(row), batch.column(2).take(row)], names=["shingle", "node", "label"])
+
+    held = sets.select("shingles", "node", "label").mapInArrow(spread, "shingle long, node long, label long")
+    holders = Window.partitionBy("shingle")
+    several = F.min("label").over(holders) < F.max("label").over(holders)
+    return held.select("node", several.alias("several")).where("several").groupBy("node").agg(F.count("*").alias("foreign"))
+
+
+def reaching(members: DataFrame, foreign: DataFrame, percent: int) -> DataFrame:
+    """The members (key, node, n, ...) of a key that have shingles enough in common with other labels to link with the smallest member of the key.
+
+    Sets of n and m shingles with s in common link if (100 + percent) * s >=
+    percent * (n + m); s is at most what a node shares with all other labels.
+    """
+    least = members.groupBy("key").agg(F.min("n").alias("m"))
+    known = members.join(least, "key").join(foreign, "node")
+    enough = ((100 + percent) * F.col("foreign") >= percent * (F.col("n") + F.col("m"))) & (100 * F.col("foreign") >= percent * F.col("n"))
+    return known.where(enough).select(*members.columns)
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(node, shingles) of the wanted documents (node, d, t)."""
     texts = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"))
