@@ -11,7 +11,7 @@ breaks at most two of them, so where e edits are allowed, the 2e + 1 first runs
 two lines, in one order of all runs, have one in common, whatever the order. Runs
 that are frequent in a sample come last, which only keeps the keys small.
 Candidates must agree in their figures and, as an edit changes at most two bits
-of it, nearly in the parity of their words; the rest is verified, first by the
+of it, nearly in the parity of their words, then in a wider one; the rest is verified, first by the
 words that one line has and the other lacks, then by the edit distance. No pair
 that the rule accepts is lost. Of each connected group the first occurrence
 stays, by id, text and line number.
@@ -43,6 +43,8 @@ from .near import text_key
 
 #: Words of a run that is a key. Documents whose runs are counted for the order of all runs, and the commonest runs that are told apart by their count.
 RUN = 2
+#: Numbers of 64 bits that hold the parities by which candidates are told before their words are read.
+WIDE = 4
 SAMPLE, COMMON = 4000, 1 << 16
 _DIGIT = re.compile(rb"[0-9]")
 _SPACE = np.zeros(256, bool)
@@ -198,6 +200,13 @@ def parities(words: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(words) & np.uint64(63)), begins)
 
 
+def wide_parities(words: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+    """As `parities`, of WIDE * 64 bits: lines of hundreds of words are told apart by them too."""
+    spread = mixed(words ^ np.uint64(0x5851F42D4C957F2D))
+    bit, part = np.uint64(1) << (spread & np.uint64(63)), (spread >> np.uint64(32)) % np.uint64(WIDE)
+    return [np.bitwise_xor.reduceat(np.where(part == i, bit, np.uint64(0)), begins) for i in range(WIDE)]
+
+
 def common_runs(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """The commonest tokens of sampled documents, sorted, and their ranks from 1, the commonest last."""
     share = sample / max(docs.count(), 1)
@@ -218,7 +227,7 @@ def common_runs(docs: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.n
 
 
 def all_lines(docs: DataFrame, percent: int) -> DataFrame:
-    """doc_id, text_key, line, the hash of the normalised line, its parity, figures, word count and keys, for all lines with words."""
+    """doc_id, text_key, line, the hash of the normalised line, its parity, figures, word count, keys and wide parity, for all lines with words."""
     common, ranks = common_runs(docs)
 
     def measure(iterator):
@@ -231,6 +240,7 @@ def all_lines(docs: DataFrame, percent: int) -> DataFrame:
             high, low = (lines.sums(mixed(lines.words ^ mixed(place + np.uint64(seed)))) for seed in (1, 1 << 40))
             keys, counts = first_runs(lines, allowed(lines.sizes, percent), common, ranks)
             taken = pa.array(lines.row)
+            wide = np.stack(wide_parities(lines.words, lines.begins), 1).ravel().view(np.int64)
             numbers = (high, low, parities(lines.words, lines.begins), lines.figures())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -240,12 +250,13 @@ def all_lines(docs: DataFrame, percent: int) -> DataFrame:
                     *(pa.array(x.view(np.int64)) for x in numbers),
                     pa.array(lines.sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys.view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(lines.sizes) + 1, dtype=np.int32) * WIDE), pa.array(wide)),
                 ],
-                names=["doc_id", "text_key", "line", "high", "low", "parity", "figures", "n_words", "keys"],
+                names=["doc_id", "text_key", "line", "high", "low", "parity", "figures", "n_words", "keys", "wide"],
             )
 
     return docs.select(text_bytes().alias("text"), F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key")).mapInArrow(
-        measure, "doc_id long, text_key long, line int, high long, low long, parity long, figures long, n_words int, keys array<bigint>"
+        measure, "doc_id long, text_key long, line int, high long, low long, parity long, figures long, n_words int, keys array<bigint>, wide array<bigint>"
     )
 
 
@@ -262,7 +273,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
             F.min("row").alias("node"),
             F.min(F.struct("doc_id", "text_key", "line")).alias("first"),
             F.count("*").alias("held"),
-            *(F.first(x).alias(x) for x in ("parity", "figures", "n_words", "keys")),
+            *(F.first(x).alias(x) for x in ("parity", "figures", "n_words", "keys", "wide")),
         ),
         "distinct",
     )
@@ -270,20 +281,24 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, percent: int = 90, short
     slim = stored(every.select("doc_id", "text_key", "line", "high", "low"), "slim")
     dropped(every)
 
-    def close(a: str, b: str) -> Column:
+    def within(a: str, b: str, apart: Column) -> Column:
         n, m = F.col(f"{a}n_words"), F.col(f"{b}n_words")
         edits = F.floor((100 - percent) * F.greatest(n, m) / 100)
-        apart = F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity")))
         return (apart <= 2 * edits - F.abs(n - m)) & (100 * n >= percent * m) & (100 * m >= percent * n)
 
+    def close(a: str, b: str) -> Column:
+        return within(a, b, F.bit_count(F.col(f"{a}parity").bitwiseXOR(F.col(f"{b}parity"))))
+
     # Lines near each other have the same figures, so these belong to the key.
     keyed = distinct.select("node", "parity", "n_words", "figures", F.explode(F.array_distinct("keys")).alias("run"))
     met = paired(keyed.select(F.xxhash64("run", "figures").alias("key"), "node", "parity", "n_words"), may_be_close(percent))
-    nodes = stored(distinct.select("node", "first", "held", "high", "low"), "nodes")
+    nodes = stored(distinct.select("node", "first", "held", "high", "low", "n_words", "wide"), "nodes")
     dropped(distinct)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        candidates = stored(pairs, "candidates")
+        one, two = (nodes.select(F.col("node").alias(x), *(F.col(y).alias(f"{x}_{y}") for y in ("n_words", "wide"))) for x in "ab")
+        bits = (F.bit_count(F.col("a_wide")[i].bitwiseXOR(F.col("b_wide")[i])) for i in range(WIDE))
+        candidates = stored(pairs.join(one, "a").join(two, "b").where(within("a_", "b_", sum(bits))).select("a", "b"), "candidates")
         asked = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         words = stored(words_of(docs, nodes.join(asked, "node", "left_semi").select("node", "first.*")), "words")
         links = stored(similar(candidates, words, percent), "links")
